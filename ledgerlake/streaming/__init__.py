@@ -1,0 +1,8 @@
+"""Streaming.
+
+The pipeline this library rebuilds is a batch, full-refresh pipeline: it has
+no stream source, watermark, time window or state store, so this package holds
+no operator. Incremental loads are out of scope by design (every run replaces
+the raw layer), and the calendar grouping of the daily-volume mart is a batch
+group-by, not a window.
+"""
