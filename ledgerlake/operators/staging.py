@@ -1,7 +1,9 @@
 """Staging (silver) models: rename raw columns to English and type them.
 
-Each model is a pure projection, so it is inlined into whatever reads it and
-Catalyst prunes the raw scan to the columns actually used downstream.
+Each model is declared once as a projection spec (raw table + ``(SQL
+expression, output name)`` pairs). The same spec builds the DataFrame (for
+lazy, inlined use: Catalyst then prunes the raw scan to the columns actually
+used downstream) and the permanent ``CREATE VIEW`` of the staging layer.
 """
 
 from __future__ import annotations
@@ -12,14 +14,9 @@ from pyspark.sql import types as T
 
 from ledgerlake.schemas import MONEY
 
-
-def _rename(raw: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:
-    return raw.select([F.col(src).alias(dst) for src, dst in mapping])
-
-
-def stg_agencies(raw: DataFrame) -> DataFrame:
-    """T-01: agencies."""
-    return _rename(raw, [
+# model -> (raw table, [(expression over the raw columns, output column)])
+STAGING_SPECS: dict[str, tuple[str, list[tuple[str, str]]]] = {
+    "stg_agencies": ("agencias", [
         ("cod_agencia", "agency_id"),
         ("nome", "agency_name"),
         ("endereco", "address"),
@@ -27,27 +24,20 @@ def stg_agencies(raw: DataFrame) -> DataFrame:
         ("uf", "state"),
         ("data_abertura", "opening_date"),
         ("tipo_agencia", "agency_type"),
-    ])
-
-
-def stg_clients(raw: DataFrame) -> DataFrame:
-    """T-02: clients; the full name is NULL when either name part is NULL."""
-    return raw.select(
-        F.col("cod_cliente").alias("client_id"),
-        F.concat(F.col("primeiro_nome"), F.lit(" "), F.col("ultimo_nome")).alias("client_full_name"),
-        F.col("email"),
-        F.col("tipo_cliente").alias("client_type"),
-        F.col("data_inclusao").alias("onboarding_date"),
-        F.col("cpfcnpj").alias("cpf_cnpj"),
-        F.col("data_nascimento").alias("birth_date"),
-        F.col("endereco").alias("address"),
-        F.col("cep").alias("postal_code"),
-    )
-
-
-def stg_employees(raw: DataFrame) -> DataFrame:
-    """T-03: employees."""
-    return _rename(raw, [
+    ]),
+    # The full name is NULL when either name part is NULL (concat propagates NULL).
+    "stg_clients": ("clientes", [
+        ("cod_cliente", "client_id"),
+        ("concat(primeiro_nome, ' ', ultimo_nome)", "client_full_name"),
+        ("email", "email"),
+        ("tipo_cliente", "client_type"),
+        ("data_inclusao", "onboarding_date"),
+        ("cpfcnpj", "cpf_cnpj"),
+        ("data_nascimento", "birth_date"),
+        ("endereco", "address"),
+        ("cep", "postal_code"),
+    ]),
+    "stg_employees": ("colaboradores", [
         ("cod_colaborador", "employee_id"),
         ("primeiro_nome", "first_name"),
         ("ultimo_nome", "last_name"),
@@ -56,17 +46,12 @@ def stg_employees(raw: DataFrame) -> DataFrame:
         ("data_nascimento", "birth_date"),
         ("endereco", "address"),
         ("cep", "postal_code"),
-    ])
-
-
-def stg_employee_agency(raw: DataFrame) -> DataFrame:
-    """T-04: employee-agency bridge (N:N)."""
-    return _rename(raw, [("cod_colaborador", "employee_id"), ("cod_agencia", "agency_id")])
-
-
-def stg_accounts(raw: DataFrame) -> DataFrame:
-    """T-05: accounts."""
-    return _rename(raw, [
+    ]),
+    "stg_employee_agency": ("colaborador_agencia", [
+        ("cod_colaborador", "employee_id"),
+        ("cod_agencia", "agency_id"),
+    ]),
+    "stg_accounts": ("contas", [
         ("num_conta", "account_id"),
         ("cod_cliente", "client_id"),
         ("cod_agencia", "agency_id"),
@@ -76,12 +61,8 @@ def stg_accounts(raw: DataFrame) -> DataFrame:
         ("saldo_total", "total_balance"),
         ("saldo_disponivel", "available_balance"),
         ("data_ultimo_lancamento", "last_posting_date"),
-    ])
-
-
-def stg_proposals(raw: DataFrame) -> DataFrame:
-    """T-06: credit proposals."""
-    return _rename(raw, [
+    ]),
+    "stg_proposals": ("propostas_credito", [
         ("cod_proposta", "proposal_id"),
         ("cod_cliente", "client_id"),
         ("cod_colaborador", "employee_id"),
@@ -94,45 +75,83 @@ def stg_proposals(raw: DataFrame) -> DataFrame:
         ("quantidade_parcelas", "installment_count"),
         ("carencia", "grace_period"),
         ("status_proposta", "proposal_status"),
-    ])
+    ]),
+    # The transactions extract is landed as text. Casts run under ANSI rules,
+    # so a malformed value fails the query rather than silently becoming NULL;
+    # ``transaction_cast_report`` counts such rows first.
+    "stg_transactions": ("transacoes", [
+        ("CAST(cod_transacao AS BIGINT)", "transaction_id"),
+        ("CAST(num_conta AS BIGINT)", "account_id"),
+        ("CAST(data_transacao AS TIMESTAMP)", "transaction_at"),
+        ("nome_transacao", "transaction_type"),
+        (f"CAST(valor_transacao AS {MONEY.simpleString()})", "transaction_amount"),
+    ]),
+}
+
+
+def stage(name: str, raw: DataFrame) -> DataFrame:
+    """Apply the projection of staging model ``name`` to its raw table."""
+    _, columns = STAGING_SPECS[name]
+    return raw.select([F.expr(e).alias(out) for e, out in columns])
+
+
+def view_sql(name: str, raw_db: str = "raw", staging_db: str = "staging") -> str:
+    """``CREATE OR REPLACE VIEW`` statement of staging model ``name``."""
+    table, columns = STAGING_SPECS[name]
+    select = ",\n    ".join(f"{e} AS {out}" for e, out in columns)
+    return (f"CREATE OR REPLACE VIEW {staging_db}.{name} AS\nSELECT\n    {select}\n"
+            f"FROM {raw_db}.{table}")
 
 
-# Declared types of the staged transactions (the landed extract is text).
-TRANSACTION_TYPES = [
-    ("cod_transacao", "transaction_id", T.LongType()),
-    ("num_conta", "account_id", T.LongType()),
-    ("data_transacao", "transaction_at", T.TimestampType()),
-    ("nome_transacao", "transaction_type", T.StringType()),
-    ("valor_transacao", "transaction_amount", MONEY),
-]
+def stg_agencies(raw: DataFrame) -> DataFrame:
+    """T-01: agencies."""
+    return stage("stg_agencies", raw)
 
 
-def stg_transactions(raw: DataFrame) -> DataFrame:
-    """T-07: transactions, cast from the landed text.
+def stg_clients(raw: DataFrame) -> DataFrame:
+    """T-02: clients; full name = first || ' ' || last."""
+    return stage("stg_clients", raw)
 
-    Casts run under ANSI rules, so a malformed value fails the query (as the
-    reference's database does) rather than silently becoming NULL; use
-    :func:`transaction_cast_report` first to count and locate such rows.
-    """
-    return raw.select([F.col(src).cast(dtype).alias(dst) for src, dst, dtype in TRANSACTION_TYPES])
+
+def stg_employees(raw: DataFrame) -> DataFrame:
+    """T-03: employees."""
+    return stage("stg_employees", raw)
+
+
+def stg_employee_agency(raw: DataFrame) -> DataFrame:
+    """T-04: employee-agency bridge (N:N)."""
+    return stage("stg_employee_agency", raw)
+
+
+def stg_accounts(raw: DataFrame) -> DataFrame:
+    """T-05: accounts."""
+    return stage("stg_accounts", raw)
+
+
+def stg_proposals(raw: DataFrame) -> DataFrame:
+    """T-06: credit proposals."""
+    return stage("stg_proposals", raw)
+
+
+def stg_transactions(raw: DataFrame) -> DataFrame:
+    """T-07: transactions, cast from the landed text (no-op casts on typed input)."""
+    return stage("stg_transactions", raw)
 
 
 def transaction_cast_report(raw: DataFrame) -> DataFrame:
-    """One row: rows whose value does not cast, per column, and amounts that lose scale.
+    """One row: per typed column, present values that do not cast; amounts that lose scale.
 
     A single aggregate over the landed table (one scan, partial aggregation
     on every task); it never fails, so it can run before the strict cast.
     """
-    aggs = []
-    for src, dst, dtype in TRANSACTION_TYPES:
-        if isinstance(dtype, T.StringType):
-            continue
-        present = F.col(src).isNotNull()
-        bad = present & F.try_cast(F.col(src), dtype).isNull() if hasattr(F, "try_cast") \
-            else present & F.expr(f"try_cast({src} AS {dtype.simpleString()})").isNull()
-        aggs.append(F.count_if(bad).alias(f"bad_{dst}"))
-    wide = F.expr("try_cast(valor_transacao AS decimal(38, 10))")
-    narrow = F.expr(f"try_cast(valor_transacao AS {MONEY.simpleString()})")
+    targets = [("cod_transacao", "transaction_id", T.LongType()),
+               ("num_conta", "account_id", T.LongType()),
+               ("data_transacao", "transaction_at", T.TimestampType()),
+               ("valor_transacao", "transaction_amount", MONEY)]
+    aggs = [F.count_if(F.col(src).isNotNull() & F.col(src).try_cast(dtype).isNull())
+            .alias(f"bad_{dst}") for src, dst, dtype in targets]
+    wide = F.col("valor_transacao").try_cast(T.DecimalType(38, 10))
+    narrow = F.col("valor_transacao").try_cast(MONEY)
     aggs.append(F.count_if(wide.isNotNull() & narrow.isNotNull() & (wide != narrow))
                 .alias("scale_loss_transaction_amount"))
     aggs.append(F.count(F.lit(1)).alias("total_rows"))

@@ -19,6 +19,7 @@ from ledgerlake.operators.credit import agency_performance, credit_funnel, credi
 from ledgerlake.operators.cross_sell import cross_sell
 from ledgerlake.operators.drivers import driver_ranking
 from ledgerlake.operators.engagement import client_engagement, commercial_kpis
+from ledgerlake.operators.quality import quality_dashboard
 from ledgerlake.operators.volume import daily_volume
 
 # Staging model -> (raw table, builder).
@@ -45,6 +46,8 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "credit_kpis": (credit_kpis, ("credit_funnel",)),
     "cross_sell": (cross_sell, ("stg_accounts", "stg_clients", "stg_proposals")),
     "driver_ranking": (driver_ranking, ("client_engagement",)),
+    "quality_dashboard": (quality_dashboard,
+                          ("stg_clients", "stg_agencies", "stg_accounts", "stg_proposals")),
 }
 
 # Layer of each model (raw tables are the bronze layer).

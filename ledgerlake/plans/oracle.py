@@ -289,3 +289,93 @@ def with_ctes(body: str, *roots: str, rename: dict[str, str] | None = None) -> s
         visit(root)
     parts = [f"{name} AS ({CTE[rename.get(name, name)][1]}\n)" for name in order]
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# --- live quality dashboard and generic checks ---------------------------------
+
+def _orphans(model: str, noun: str) -> str:
+    return f"""
+        SELECT '{model}' AS model_name, 'client_id' AS column_name, 'relationships' AS test_type,
+               'FAIL' AS status, count(*) AS failure_count,
+               'Found ' || count(*) || ' {noun}(s) referencing non-existent client(s)' AS message
+        FROM {model} c LEFT JOIN stg_clients cl ON c.client_id = cl.client_id
+        WHERE cl.client_id IS NULL"""
+
+
+def _nulls(model: str, key: str) -> str:
+    return f"""
+        SELECT '{model}' AS model_name, '{key}' AS column_name, 'not_null' AS test_type,
+               CASE WHEN count(*) FILTER (WHERE {key} IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+               count(*) FILTER (WHERE {key} IS NULL) AS failure_count,
+               'null check on {key}' AS message
+        FROM {model}"""
+
+
+def _dups(model: str, key: str) -> str:
+    return f"""
+        SELECT '{model}' AS model_name, '{key}' AS column_name, 'unique' AS test_type,
+               CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+               count(*) AS failure_count, 'uniqueness check on {key}' AS message
+        FROM (SELECT {key} FROM {model} GROUP BY {key} HAVING count(*) > 1) dup"""
+
+
+_KEYS = (("stg_clients", "client_id"), ("stg_agencies", "agency_id"),
+         ("stg_proposals", "proposal_id"), ("stg_accounts", "account_id"))
+_mart("quality_dashboard", ("stg_clients", "stg_agencies", "stg_accounts", "stg_proposals"),
+      "\n UNION ALL ".join([_orphans("stg_accounts", "account"), _orphans("stg_proposals", "proposal")]
+                           + [_nulls(m, k) for m, k in _KEYS] + [_dups(m, k) for m, k in _KEYS]))
+
+
+def sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def check_count_sql(check) -> str:
+    """Failing-record count of one generic test, in the usual data-test SQL."""
+    m, c = check.model, check.column
+    if check.kind == "not_null":
+        return f"SELECT count(*) FROM {m} WHERE {c} IS NULL"
+    if check.kind == "unique":
+        return (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1) t")
+    if check.kind == "unique_combination":
+        cols = ", ".join(check.columns)
+        return f"SELECT count(*) FROM (SELECT {cols} FROM {m} GROUP BY {cols} HAVING count(*) > 1) t"
+    if check.kind == "accepted_values":
+        vals = ", ".join(sql_literal(v) for v in check.values)
+        return (f"SELECT count(*) FROM (SELECT {c} AS value_field FROM {m} GROUP BY {c}) t "
+                f"WHERE value_field NOT IN ({vals})")
+    if check.kind == "relationships":
+        return (f"SELECT count(*) FROM {m} child LEFT JOIN {check.to} parent "
+                f"ON child.{c} = parent.{check.to_column} "
+                f"WHERE child.{c} IS NOT NULL AND parent.{check.to_column} IS NULL")
+    if check.kind == "expression":
+        return f"SELECT count(*) FROM {m} WHERE NOT ({check.expression})"
+    if check.kind == "range":
+        conds = []
+        if check.min_value is not None:
+            conds.append(f"{c} >{'=' if check.inclusive else ''} {check.min_value}")
+        if check.max_value is not None:
+            conds.append(f"{c} <{'=' if check.inclusive else ''} {check.max_value}")
+        return f"SELECT count(*) FROM {m} WHERE NOT ({' AND '.join(conds)})"
+    raise ValueError(check.kind)
+
+
+def checks_sql(checks) -> str:
+    """One row per test with outcome and message, as ``run_checks`` returns them."""
+    rows = []
+    for c in checks:
+        column = c.column or ",".join(c.columns) or None
+        rows.append(
+            f"SELECT {sql_literal(c.name)} AS test_name, {sql_literal(c.kind)} AS test_type, "
+            f"{sql_literal(c.model)} AS model_name, "
+            f"{sql_literal(column) if column else 'CAST(NULL AS VARCHAR)'} AS column_name, "
+            f"{sql_literal(c.severity)} AS severity, CAST(({check_count_sql(c)}) AS BIGINT) AS failures")
+    body = "\n UNION ALL ".join(rows)
+    return f"""SELECT *,
+        CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status,
+        CASE WHEN failures = 0 THEN '' ELSE 'Got ' || failures || ' results, configured to '
+             || CASE WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END || ' if != 0' END AS message
+    FROM ({body}) t"""

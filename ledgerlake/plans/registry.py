@@ -16,7 +16,18 @@ from pyspark.sql import types as T
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.dashboards import DASHBOARDS, dash_volume_anomaly
 from ledgerlake.plans.models import MARTS, STAGING, Models
+from ledgerlake.operators.quality import (
+    Check,
+    check_pk_duplicates,
+    check_rank_dense,
+    check_single_row,
+    declared_checks,
+    run_checks,
+)
+from ledgerlake.operators.staging import transaction_cast_report
+from ledgerlake.schemas import RAW_KEYS
 from ledgerlake.session import configure
+from ledgerlake.sources.gate import load_counts
 from ledgerlake.sources.crosswalk import RawLayer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +137,8 @@ MODEL_COLUMNS: dict[str, list[tuple[str, str]]] = {
                     ("avg_interest_rate_pct", "d")],
     "cross_sell": [("client_fk", "b"), ("client_full_name", ""), ("account_fk", "b"),
                    ("total_balance", "d"), ("agency_fk", "b")],
+    "quality_dashboard": [("model_name", ""), ("column_name", ""), ("test_type", ""),
+                          ("status", ""), ("failure_count", "b"), ("message", "")],
     "driver_ranking": [("driver", ""), ("correlation", "d"), ("abs_correlation", "d"),
                        ("r_squared_pct", "d"), ("direction", ""), ("sample_size", "b"),
                        ("t_statistic", "d"), ("significant_at_5pct", ""), ("impact_rank", "b")],
@@ -256,6 +269,117 @@ def _anomaly_query(tx_source: str, **params) -> QueryFn:
     return run
 
 
+CHECK_COLUMNS = [("test_name", ""), ("test_type", ""), ("model_name", ""), ("column_name", ""),
+                 ("severity", ""), ("failures", "b"), ("status", ""), ("message", "")]
+
+
+def _data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared test suite (catalog tests excluded: they need written tables)."""
+    return comparable(run_checks(declared_checks(include_catalog=False),
+                                 models_for(spark, sf_dir)))
+
+
+def _data_tests_sql() -> str:
+    checks = declared_checks(include_catalog=False)
+    models = sorted({c.model for c in checks} | {c.to for c in checks if c.to})
+    return O.with_ctes(select_normalized(CHECK_COLUMNS, f"({O.checks_sql(checks)}) q"), *models)
+
+
+# Orphan documents: the relationship test on a pair of tables that has orphans.
+ORPHAN_DOCUMENTS = Check("relationships", "documents", "doc_id", to="labels",
+                         to_column="doc_id", severity="warn")
+
+
+def _orphan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")}
+    return comparable(run_checks([ORPHAN_DOCUMENTS], tables))
+
+
+def _raw_load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(load_counts(RawLayer(spark, sf_dir).as_dict()))
+
+
+def _raw_load_gate_sql() -> str:
+    raw_of = {"stg_agencies": "agencias", "stg_clients": "clientes", "stg_employees": "colaboradores",
+              "stg_employee_agency": "colaborador_agencia", "stg_accounts": "contas",
+              "stg_proposals": "propostas_credito", "stg_transactions": "transacoes"}
+    body = " UNION ALL ".join(f"SELECT '{raw}' AS table_name, count(*) AS row_count FROM {stg}"
+                              for stg, raw in raw_of.items())
+    return O.with_ctes(select_normalized([("table_name", ""), ("row_count", "b")], f"({body}) q"),
+                       *raw_of)
+
+
+def _pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = RawLayer(spark, sf_dir)
+    keys = {t: RAW_KEYS[t] for t in RAW_KEYS}
+    return comparable(check_pk_duplicates({t: raw[t] for t in keys}, keys))
+
+
+def _pk_duplicates_sql() -> str:
+    parts = []
+    for stg, raw, key in (("stg_agencies", "agencias", "agency_id"),
+                          ("stg_clients", "clientes", "client_id"),
+                          ("stg_employees", "colaboradores", "employee_id"),
+                          ("stg_accounts", "contas", "account_id"),
+                          ("stg_proposals", "propostas_credito", "proposal_id"),
+                          ("stg_transactions", "transacoes", "transaction_id")):
+        parts.append(f"SELECT '{raw}' AS table_name, count(*) - count(DISTINCT {key}) AS duplicate_keys "
+                     f"FROM {stg}")
+    parts.append("SELECT 'colaborador_agencia' AS table_name, count(*) - (SELECT count(*) FROM "
+                 "(SELECT DISTINCT employee_id, agency_id FROM stg_employee_agency "
+                 "WHERE employee_id IS NOT NULL AND agency_id IS NOT NULL) d) AS duplicate_keys "
+                 "FROM stg_employee_agency")
+    body = " UNION ALL ".join(parts)
+    return O.with_ctes(select_normalized([("table_name", ""), ("duplicate_keys", "b")], f"({body}) q"),
+                       "stg_agencies", "stg_clients", "stg_employees", "stg_employee_agency",
+                       "stg_accounts", "stg_proposals", "stg_transactions")
+
+
+def _rank_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(check_rank_dense(models_for(spark, sf_dir)["driver_ranking"], "impact_rank"))
+
+
+def _rank_dense_sql() -> str:
+    body = """SELECT min(impact_rank) AS min_rank, max(impact_rank) AS max_rank, count(*) AS total,
+        count(DISTINCT impact_rank) AS distinct_ranks,
+        coalesce(min(impact_rank) = 1 AND max(impact_rank) = count(*)
+                 AND count(DISTINCT impact_rank) = count(*), count(*) = 0) AS is_dense
+        FROM driver_ranking"""
+    cols = [("min_rank", "b"), ("max_rank", "b"), ("total", "b"), ("distinct_ranks", "b"),
+            ("is_dense", "")]
+    return O.with_ctes(select_normalized(cols, f"({body}) q"), "driver_ranking")
+
+
+def _single_row(mart: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(check_single_row(models_for(spark, sf_dir)[mart]))
+    return run
+
+
+def _single_row_sql(mart: str) -> str:
+    body = f"SELECT count(*) AS row_count, count(*) = 1 AS is_single_row FROM {mart}"
+    return O.with_ctes(select_normalized([("row_count", "b"), ("is_single_row", "")],
+                                         f"({body}) q"), mart)
+
+
+def _cast_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(transaction_cast_report(RawLayer(spark, sf_dir)["transacoes"]))
+
+
+def _cast_report_sql() -> str:
+    body = """SELECT
+        count(*) FILTER (WHERE l_orderkey IS NOT NULL AND try_cast(l_orderkey * 10 + l_linenumber AS BIGINT) IS NULL) AS bad_transaction_id,
+        count(*) FILTER (WHERE l_orderkey IS NOT NULL AND try_cast(l_orderkey AS BIGINT) IS NULL) AS bad_account_id,
+        count(*) FILTER (WHERE l_shipdate IS NOT NULL AND try_cast(l_shipdate AS TIMESTAMP) IS NULL) AS bad_transaction_at,
+        count(*) FILTER (WHERE l_extendedprice IS NOT NULL AND try_cast(l_extendedprice AS DECIMAL(18,2)) IS NULL) AS bad_transaction_amount,
+        count(*) FILTER (WHERE CAST(l_extendedprice AS DECIMAL(38,10)) <> CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,10))) AS scale_loss_transaction_amount,
+        count(*) AS total_rows
+        FROM lineitem"""
+    cols = [("bad_transaction_id", "b"), ("bad_account_id", "b"), ("bad_transaction_at", "b"),
+            ("bad_transaction_amount", "b"), ("scale_loss_transaction_amount", "b"), ("total_rows", "b")]
+    return select_normalized(cols, f"({body}) q")
+
+
 def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     queries: dict[str, QueryFn] = {}
     sql: dict[str, str] = {}
@@ -280,4 +404,20 @@ def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
         queries[key] = _anomaly_query("events", year=2024, month=1, sigmas=sigmas)
         sql[key] = dashboard_oracle("dash_volume_anomaly", "events", year=2024, month=1,
                                     sigmas=sigmas)
+    queries["data_tests"] = _data_tests
+    sql["data_tests"] = _data_tests_sql()
+    queries["orphan_documents_labels"] = _orphan_documents
+    sql["orphan_documents_labels"] = select_normalized(
+        CHECK_COLUMNS, f"({O.checks_sql([ORPHAN_DOCUMENTS])}) q")
+    queries["raw_load_gate"] = _raw_load_gate
+    sql["raw_load_gate"] = _raw_load_gate_sql()
+    queries["pk_duplicates_raw"] = _pk_duplicates
+    sql["pk_duplicates_raw"] = _pk_duplicates_sql()
+    queries["rank_dense_driver_ranking"] = _rank_dense
+    sql["rank_dense_driver_ranking"] = _rank_dense_sql()
+    for mart in ("commercial_kpis", "credit_kpis"):
+        queries[f"single_row_{mart}"] = _single_row(mart)
+        sql[f"single_row_{mart}"] = _single_row_sql(mart)
+    queries["transaction_cast_report"] = _cast_report
+    sql["transaction_cast_report"] = _cast_report_sql()
     return queries, sql
