@@ -19,9 +19,7 @@ def transactions_by_account(tx: DataFrame) -> DataFrame:
 
     This is the only pass over the transactions for the recency models; the
     partial aggregate runs on every task before the shuffle, so the shuffle
-    carries at most one row per account per task. Rows with a NULL or unknown
-    account id keep their own group, so the global latest time below still
-    sees every transaction.
+    carries at most one row per account per task, however skewed the accounts.
     """
     return tx.groupBy("account_id").agg(
         F.count("transaction_id").alias("tx_count"),
@@ -30,9 +28,13 @@ def transactions_by_account(tx: DataFrame) -> DataFrame:
     )
 
 
-def reference_date(per_account: DataFrame) -> DataFrame:
-    """One row: the date of the latest transaction in the data (not today)."""
-    return per_account.agg(F.to_date(F.max("last_transaction_at")).alias("reference_date"))
+def reference_date(tx: DataFrame) -> DataFrame:
+    """One row: the date of the latest transaction in the data set (not today).
+
+    A global aggregate over one column: every task reduces its rows to one
+    value before the single-row final step, and the result is broadcast.
+    """
+    return tx.agg(F.to_date(F.max("transaction_at")).alias("reference_date"))
 
 
 def account_activity(accounts: DataFrame, tx: DataFrame, active_days: int = ACTIVE_DAYS) -> DataFrame:
@@ -44,19 +46,18 @@ def account_activity(accounts: DataFrame, tx: DataFrame, active_days: int = ACTI
     """
     last = (tx.groupBy("account_id")
             .agg(F.max("transaction_at").alias("last_transaction_at")))
-    ref = reference_date(last)
+    ref = reference_date(tx)
     acc = accounts.select("account_id", "client_id", "agency_id", "total_balance")
-    joined = (acc.join(last, "account_id", "left")
-              .crossJoin(F.broadcast(ref))
-              .withColumn("last_transaction_date", F.to_date("last_transaction_at")))
-    days = days_between("reference_date", "last_transaction_date")
+    joined = acc.join(last, "account_id", "left").crossJoin(F.broadcast(ref))
+    last_date = F.to_date("last_transaction_at")
+    days = days_between("reference_date", last_date)
     return joined.select(
         F.col("account_id").alias("account_sk"),
         F.col("client_id").alias("client_fk"),
         F.col("agency_id").alias("agency_fk"),
         F.col("total_balance"),
-        F.col("last_transaction_date"),
+        last_date.alias("last_transaction_date"),
         days.alias("days_since_last_transaction"),
-        recency_status("last_transaction_date", days, [(active_days, ACTIVE)],
+        recency_status(last_date, days, [(active_days, ACTIVE)],
                        NEVER_USED, DORMANT).alias("activity_status"),
     )

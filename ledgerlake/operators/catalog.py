@@ -35,13 +35,18 @@ def _statistics(spark: SparkSession, qualified: str) -> tuple[int, int]:
 
 
 def model_catalog(spark: SparkSession, databases: tuple[str, ...] = ("raw", "staging", "marts"),
-                  analyze: bool = True) -> DataFrame:
+                  analyze: bool = True, known_rows: dict[str, int] | None = None) -> DataFrame:
     """One row per table or view of the layered databases.
 
     ``(model_name, schema_name, materialization, row_count, total_size,
     table_size, description, medallion_layer, captured_at)``, sorted by schema
     and name. Views report 0 rows and 0 bytes.
+
+    ``known_rows`` (``"db.table" -> rows``, e.g. counted while writing) lets the
+    statistics be refreshed with ``NOSCAN`` (file sizes only), so a large
+    table is never scanned again just to count it.
     """
+    known_rows = known_rows or {}
     entries = []
     for db in databases:
         if not spark.catalog.databaseExists(db):
@@ -55,8 +60,10 @@ def model_catalog(spark: SparkSession, databases: tuple[str, ...] = ("raw", "sta
             else:
                 kind = "table"
                 if analyze:
-                    spark.sql(f"ANALYZE TABLE {qualified} COMPUTE STATISTICS")
+                    noscan = " NOSCAN" if qualified in known_rows else ""
+                    spark.sql(f"ANALYZE TABLE {qualified} COMPUTE STATISTICS{noscan}")
                 nbytes, nrows = _statistics(spark, qualified)
+                nrows = known_rows.get(qualified, nrows)
             entries.append((t.name, db, kind, nrows, nbytes, t.description))
     base = spark.createDataFrame(
         entries, "model_name string, schema_name string, materialization string, "

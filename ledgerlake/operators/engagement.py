@@ -31,12 +31,11 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
 
     Plan: transactions are aggregated per account first (count, sum and max
     compose exactly), so the join to accounts and the per-client aggregate
-    work on account-sized data; the same per-account result also yields the
-    reference date. The per-client aggregate is hash-partitioned by client,
+    work on account-sized data. The per-client aggregate is hash-partitioned by client,
     and the joins to clients and approved clients reuse that partitioning.
     """
     per_account = transactions_by_account(tx)
-    ref = reference_date(per_account)
+    ref = reference_date(tx)
     per_client = (accounts.select("account_id", "client_id", "total_balance")
                   .join(per_account, "account_id", "left")
                   .groupBy("client_id")
@@ -49,26 +48,26 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
     joined = (clients.select("client_id", "client_full_name", "client_type", "onboarding_date")
               .join(per_client, "client_id", "inner")
               .join(approved_flag, "client_id", "left")
-              .crossJoin(F.broadcast(ref))
-              .withColumn("transaction_count", F.coalesce(F.col("tx_count"), F.lit(0).cast("long")))
-              .withColumn("last_transaction_date", F.to_date("last_transaction_at"))
-              .withColumn("onboarding_day", F.to_date("onboarding_date")))
-    recency = days_between("reference_date", "last_transaction_date")
+              .crossJoin(F.broadcast(ref)))
+    tx_count = F.coalesce(F.col("tx_count"), F.lit(0).cast("long"))
+    last_date = F.to_date("last_transaction_at")
+    onboarding_day = F.to_date("onboarding_date")
+    recency = days_between("reference_date", last_date)
     return joined.select(
         F.col("client_id").alias("client_sk"),
         "client_full_name",
         "client_type",
-        F.col("onboarding_day").alias("onboarding_date"),
+        onboarding_day.alias("onboarding_date"),
         "account_count",
         "total_balance",
-        "transaction_count",
+        tx_count.alias("transaction_count"),
         F.coalesce(F.col("tx_amount"), F.lit(0)).alias("transaction_total_amount"),
-        exact_ratio("transaction_count", "account_count", 2).alias("avg_tx_per_account"),
-        "last_transaction_date",
+        exact_ratio(tx_count, "account_count", 2).alias("avg_tx_per_account"),
+        last_date.alias("last_transaction_date"),
         recency.alias("days_since_last_transaction"),
-        days_between("reference_date", "onboarding_day").alias("relationship_days"),
+        days_between("reference_date", onboarding_day).alias("relationship_days"),
         F.col("_approved").isNotNull().alias("has_approved_credit"),
-        recency_status("last_transaction_date", recency,
+        recency_status(last_date, recency,
                        [(active_days, ACTIVE), (at_risk_days, AT_RISK)],
                        NEVER_USED, CHURNED).alias("engagement_status"),
     )

@@ -5,11 +5,11 @@ selects its failing records, a non-zero count fails the test (or warns when
 its severity is ``warn``), and NULLs pass every test except ``not_null``.
 
 Execution plan: :func:`run_checks` does not run one query per test. All
-row-level tests of one model (not_null, accepted_values, expression, range)
-are folded into a single aggregate, i.e. one scan; each uniqueness test is one
-grouped aggregate; each relationship test is one anti join. The per-test
-counts are unioned into one small DataFrame, so a whole suite is one job whose
-result has one row per test.
+tests of one model except relationships (not_null, expression, range,
+unique, accepted_values, unique_combination) are answered by one
+grouping-sets aggregate, i.e. one scan and one shuffle of that model; each
+relationship test is one anti join. The per-test counts are unioned into one
+small DataFrame whose result has one row per test.
 """
 
 from __future__ import annotations
@@ -102,19 +102,59 @@ def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # --- counting -----------------------------------------------------------------
 
-def _row_level_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """All row-level tests of one model in one aggregate, unpivoted to ``(idx, failures)``."""
-    aggs = []
-    for idx, check in checks:
-        cond = failing_condition(check)
-        if check.kind == "accepted_values":
-            # one failing record per distinct invalid value
-            agg = F.count_distinct(F.when(cond, F.col(check.column)))
+def _grouping(check: Check) -> tuple[str, ...]:
+    """Grouping set a test needs: () for row-level tests, its key columns otherwise."""
+    if check.kind in ("unique", "accepted_values"):
+        return (check.column,)
+    if check.kind == "unique_combination":
+        return tuple(check.columns)
+    return ()
+
+
+def _model_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """Every non-relationship test of one model from a single scan, as ``(idx, failures)``.
+
+    One grouping-sets aggregate serves all of them: the empty set carries
+    the row-level counts (not_null, expression, range), and each key-based
+    test (unique, accepted_values, unique_combination) gets the grouping set
+    of its columns. Partial aggregation runs before the single shuffle, so a
+    key shared by a third of the rows is reduced on the map side. A second,
+    global aggregate over the grouped rows turns them into failure counts.
+    """
+    sets: list[tuple[str, ...]] = []
+    for _, check in checks:
+        g = _grouping(check)
+        if g not in sets:
+            sets.append(g)
+    keys = list(dict.fromkeys(c for g in sets for c in g))
+    row_aggs = [F.count_if(failing_condition(c)).alias(f"__c{idx}")
+                for idx, c in checks if c.kind in ROW_LEVEL]
+
+    def gid(g: tuple[str, ...]) -> int:
+        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in g)
+
+    if keys:
+        grouped = df.groupingSets([list(g) for g in sets], *keys).agg(
+            F.count(F.lit(1)).alias("__n"), *row_aggs, F.grouping_id().alias("__gid"))
+    else:
+        grouped = df.agg(F.count(F.lit(1)).alias("__n"), *row_aggs).withColumn("__gid", F.lit(0))
+    in_set = {g: F.col("__gid") == F.lit(gid(g)) for g in sets}
+    finals = []
+    for idx, c in checks:
+        g = _grouping(c)
+        if c.kind in ROW_LEVEL:
+            value = F.coalesce(F.max(F.when(in_set[g], F.col(f"__c{idx}"))), F.lit(0))
+        elif c.kind == "unique":
+            value = F.count_if(in_set[g] & F.col(c.column).isNotNull() & (F.col("__n") > 1))
+        elif c.kind == "accepted_values":
+            # one failing record per distinct value outside the list (NULL passes)
+            value = F.count_if(in_set[g] & F.col(c.column).isNotNull()
+                               & ~F.col(c.column).isin(*c.values))
         else:
-            agg = F.count_if(cond)
-        aggs.append(agg.cast("long").alias(f"c{idx}"))
-    wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(idx).alias("idx"), F.col(f"c{idx}").alias("failures"))
+            value = F.count_if(in_set[g] & (F.col("__n") > 1))
+        finals.append(value.cast("long").alias(f"__f{idx}"))
+    wide = grouped.agg(*finals)
+    pairs = F.array(*[F.struct(F.lit(idx).alias("idx"), F.col(f"__f{idx}").alias("failures"))
                       for idx, _ in checks])
     return wide.select(F.inline(pairs))
 
@@ -129,12 +169,12 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
     meta = list(enumerate(checks))
     by_model: dict[str, list[tuple[int, Check]]] = {}
     for idx, check in meta:
-        if check.kind in ROW_LEVEL:
+        if check.kind != "relationships":
             by_model.setdefault(check.model, []).append((idx, check))
     for model, sub in by_model.items():
-        parts.append(_row_level_counts(tables[model], sub))
+        parts.append(_model_counts(tables[model], sub))
     for idx, check in meta:
-        if check.kind not in ROW_LEVEL:
+        if check.kind == "relationships":
             parts.append(_count(failing_rows(check, tables)).select(
                 F.lit(idx).alias("idx"), "failures"))
     counts = reduce(DataFrame.unionByName, parts)

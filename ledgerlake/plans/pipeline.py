@@ -27,6 +27,7 @@ from ledgerlake.sources.sinks import (
     full_refresh,
     model_run_rows,
     overwrite_table,
+    set_comment,
 )
 
 MODEL_DOCS = {
@@ -93,14 +94,17 @@ def run_pipeline(spark: SparkSession, raw_tables: Mapping[str, DataFrame]) -> Pi
     for name in build_order():
         if name not in MARTS:
             continue
-        n = overwrite_table(models[name], f"marts.{name}", comment=MODEL_DOCS.get(name))
+        n = overwrite_table(models[name], f"marts.{name}")
+        set_comment(spark, f"marts.{name}", MODEL_DOCS.get(name))
         models.replace(name, spark.table(f"marts.{name}"))
         mart_counts[name] = n
         runs.append((name, "table", "marts", n, "success", ""))
 
-    catalog = model_catalog(spark)
-    mart_counts["model_catalog"] = overwrite_table(
-        catalog, "marts.model_catalog", comment=MODEL_DOCS["model_catalog"])
+    known = {f"raw.{t}": n for t, n in raw_counts.items()}
+    known.update({f"marts.{t}": n for t, n in mart_counts.items()})
+    catalog = model_catalog(spark, known_rows=known)
+    mart_counts["model_catalog"] = overwrite_table(catalog, "marts.model_catalog")
+    set_comment(spark, "marts.model_catalog", MODEL_DOCS["model_catalog"])
     runs.append(("model_catalog", "table", "marts", mart_counts["model_catalog"], "success", ""))
     append_rows(model_run_rows(spark, runs), "metadata.model_runs")
 

@@ -28,7 +28,7 @@ from ledgerlake.operators.staging import transaction_cast_report
 from ledgerlake.schemas import RAW_KEYS
 from ledgerlake.session import configure
 from ledgerlake.sources.gate import load_counts
-from ledgerlake.sources.crosswalk import RawLayer
+from ledgerlake.sources.crosswalk import DriverTables, RawLayer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -274,9 +274,13 @@ CHECK_COLUMNS = [("test_name", ""), ("test_type", ""), ("model_name", ""), ("col
 
 
 def _data_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The declared test suite (catalog tests excluded: they need written tables)."""
-    return comparable(run_checks(declared_checks(include_catalog=False),
-                                 models_for(spark, sf_dir)))
+    """The declared test suite (catalog tests excluded: they need written tables).
+
+    All tests of a model share one scan of it (see ``run_checks``), so each
+    model is evaluated about once per suite, straight from the sources.
+    """
+    checks = declared_checks(include_catalog=False)
+    return comparable(run_checks(checks, models_for(spark, sf_dir)))
 
 
 def _data_tests_sql() -> str:
@@ -291,7 +295,8 @@ ORPHAN_DOCUMENTS = Check("relationships", "documents", "doc_id", to="labels",
 
 
 def _orphan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")}
+    driver = DriverTables(spark, sf_dir)
+    tables = {t: driver.table(t) for t in ("documents", "labels")}
     return comparable(run_checks([ORPHAN_DOCUMENTS], tables))
 
 

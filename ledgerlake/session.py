@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
+    # Call-site capture costs several driver<->JVM round trips per column
+    # function; the models build hundreds of expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -28,7 +28,27 @@ from pyspark.sql import types as T
 
 from ledgerlake.schemas import MONEY, RATE
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
+DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events",
+                 "documents", "labels")
+
+# Declared schemas of the driver's tables: reading with a schema skips the
+# footer-sampling job that schema inference would run for every read.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
 
 # Proposal status per return flag of the proposal's line item.
 STATUS_BY_RETURN_FLAG = {"R": "Aprovada", "A": "Em análise", "N": "Enviada"}
@@ -50,7 +70,11 @@ class DriverTables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        path = os.path.join(self.folder, f"{name}.parquet")
+        reader = self.spark.read
+        if name in DRIVER_SCHEMAS:
+            reader = reader.schema(DRIVER_SCHEMAS[name])
+        return reader.parquet(path)
 
 
 def raw_agencias(d: DriverTables) -> DataFrame:

@@ -24,8 +24,7 @@ def create_layers(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> None
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
-def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
-                    comment: str | None = None) -> int:
+def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet") -> int:
     """K-01 / K-03: replace table ``name`` with ``df``; returns the rows written.
 
     The row count comes from an observation on the write itself, so the data
@@ -33,13 +32,17 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
     """
     obs = Observation(f"rows_{name.replace('.', '_')}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite").format(fmt)
-    if comment is not None:
-        writer = writer.option("comment", comment)
-    writer.saveAsTable(name)
+    observed.write.mode("overwrite").format(fmt).saveAsTable(name)
     return int(obs.get["rows"])
 
 
+def set_comment(spark: SparkSession, name: str, comment: str | None) -> None:
+    """Attach a description to a table (listed by the catalog model)."""
+    if comment:
+        escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
+
+
 def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], db: str = "raw") -> dict[str, int]:
     """K-01: reload every table of a layer by overwrite; no metadata columns, no history."""
     create_layers(spark, (db,))
