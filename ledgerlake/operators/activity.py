@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import days_between, recency_status
@@ -28,13 +28,14 @@ def transactions_by_account(tx: DataFrame) -> DataFrame:
     )
 
 
-def reference_date(tx: DataFrame) -> DataFrame:
-    """One row: the date of the latest transaction in the data set (not today).
+def reference_date(tx: DataFrame) -> Column:
+    """The date of the latest transaction in the data set (not today), as a scalar.
 
-    A global aggregate over one column: every task reduces its rows to one
-    value before the single-row final step, and the result is broadcast.
+    An uncorrelated scalar subquery: a global aggregate over one column (every
+    task reduces its rows to one value before the single-row final step),
+    evaluated once per query and used as a constant; no join is needed.
     """
-    return tx.agg(F.to_date(F.max("transaction_at")).alias("reference_date"))
+    return tx.agg(F.to_date(F.max("transaction_at")).alias("reference_date")).scalar()
 
 
 def account_activity(accounts: DataFrame, tx: DataFrame, active_days: int = ACTIVE_DAYS) -> DataFrame:
@@ -48,9 +49,9 @@ def account_activity(accounts: DataFrame, tx: DataFrame, active_days: int = ACTI
             .agg(F.max("transaction_at").alias("last_transaction_at")))
     ref = reference_date(tx)
     acc = accounts.select("account_id", "client_id", "agency_id", "total_balance")
-    joined = acc.join(last, "account_id", "left").crossJoin(F.broadcast(ref))
+    joined = acc.join(last, "account_id", "left")
     last_date = F.to_date("last_transaction_at")
-    days = days_between("reference_date", last_date)
+    days = days_between(ref, last_date)
     return joined.select(
         F.col("account_id").alias("account_sk"),
         F.col("client_id").alias("client_fk"),

@@ -47,12 +47,11 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
     approved_flag = approved_clients(proposals, approved).withColumn("_approved", F.lit(True))
     joined = (clients.select("client_id", "client_full_name", "client_type", "onboarding_date")
               .join(per_client, "client_id", "inner")
-              .join(approved_flag, "client_id", "left")
-              .crossJoin(F.broadcast(ref)))
+              .join(approved_flag, "client_id", "left"))
     tx_count = F.coalesce(F.col("tx_count"), F.lit(0).cast("long"))
     last_date = F.to_date("last_transaction_at")
     onboarding_day = F.to_date("onboarding_date")
-    recency = days_between("reference_date", last_date)
+    recency = days_between(ref, last_date)
     return joined.select(
         F.col("client_id").alias("client_sk"),
         "client_full_name",
@@ -65,7 +64,7 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
         exact_ratio(tx_count, "account_count", 2).alias("avg_tx_per_account"),
         last_date.alias("last_transaction_date"),
         recency.alias("days_since_last_transaction"),
-        days_between("reference_date", onboarding_day).alias("relationship_days"),
+        days_between(ref, onboarding_day).alias("relationship_days"),
         F.col("_approved").isNotNull().alias("has_approved_credit"),
         recency_status(last_date, recency,
                        [(active_days, ACTIVE), (at_risk_days, AT_RISK)],

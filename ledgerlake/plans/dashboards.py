@@ -153,19 +153,20 @@ def dash_volume_anomaly(volume: DataFrame, year: int = ANOMALY_YEAR, month: int
     """D-14: day/type rows of one month flagged above mean + k·stddev.
 
     The mean and sample standard deviation are taken over the whole history
-    (one global aggregate, one row, broadcast); only the output is limited to
-    the month, written as a date range so a date-partitioned mart is pruned.
+    (one global aggregate used as a scalar subquery, evaluated once); only the
+    output is limited to the month, written as a date range so a
+    date-partitioned mart is pruned.
     """
-    stats = volume.agg((F.avg("transaction_count")
-                        + F.lit(sigmas) * F.stddev_samp("transaction_count")).alias("_limit"))
+    limit = volume.agg((F.avg("transaction_count")
+                        + F.lit(sigmas) * F.stddev_samp("transaction_count")).alias("_limit")).scalar()
     start = dt.date(year, month, 1)
     end = dt.date(year + (month == 12), month % 12 + 1, 1)
     in_month = volume.where((F.col("transaction_date") >= F.lit(start))
                             & (F.col("transaction_date") < F.lit(end)))
-    flagged = in_month.crossJoin(F.broadcast(stats)).select(
+    flagged = in_month.select(
         "transaction_date", "transaction_type", "transaction_count", "distinct_accounts",
         "avg_tx_per_account",
-        F.when(F.col("transaction_count") > F.col("_limit"), F.lit(ANOMALY))
+        F.when(F.col("transaction_count") > limit, F.lit(ANOMALY))
         .otherwise(F.lit(NORMAL)).alias("flag"))
     return flagged.orderBy(desc_pg("transaction_count"), asc_pg("transaction_date"),
                            asc_pg("transaction_type"))

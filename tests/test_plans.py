@@ -45,3 +45,11 @@ def test_scans_are_pruned(spark):
     assert lineitem_scan, plan
     assert "l_partkey" not in lineitem_scan[0] and "l_quantity" not in lineitem_scan[0]
     assert "l_linenumber" in lineitem_scan[0]
+
+
+def test_no_cross_joins_reference_date_is_a_scalar_subquery(spark):
+    m = models_for(spark, SF)
+    for name in ("account_activity", "client_engagement"):
+        plan = _plan(m[name])
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "Subquery" in plan
