@@ -111,8 +111,13 @@ def test_cross_sell_balance_edge_and_two_accounts(spark):
     clients = spark.createDataFrame([client(i) for i in range(1, 5)], CLIENTS)
     props = spark.createDataFrame([proposal(1, 4, "Aprovada"), proposal(2, 3, "Enviada")],
                                   PROPOSALS)
-    rows = sorted(r["account_fk"] for r in cross_sell(accounts, clients, props).collect())
+    opportunities = cross_sell(accounts, clients, props)
+    rows = sorted(r["account_fk"] for r in opportunities.collect())
     assert rows == [2, 3, 4]
+    # the declared uniqueness of client_fk fails when a client has two such accounts
+    from ledgerlake.operators.quality import Check, run_checks
+    res = run_checks([Check("unique", "cross_sell", "client_fk")], {"cross_sell": opportunities})
+    assert [(r["status"], r["failures"]) for r in res.collect()] == [("fail", 1)]
 
 
 def test_credit_funnel_and_unweighted_mean(spark):
@@ -134,10 +139,16 @@ def test_credit_funnel_and_unweighted_mean(spark):
 
 def test_null_status_in_neither_bucket(spark):
     props = spark.createDataFrame([proposal(1, 1, None), proposal(2, 1, "Aprovada")], PROPOSALS)
-    kpi = credit_kpis(credit_funnel(props)).collect()[0]
+    kpis = credit_kpis(credit_funnel(props))
+    kpi = kpis.collect()[0]
     assert kpi["total_proposals"] == 2
     assert kpi["approved_proposals"] == 1 and kpi["rejected_proposals"] == 0
-    assert kpi["total_proposals"] != kpi["approved_proposals"] + kpi["rejected_proposals"]
+    # so the declared expression test of the KPI table fails
+    from ledgerlake.operators.quality import Check, run_checks
+    check = Check("expression", "credit_kpis",
+                  expression="total_proposals = approved_proposals + rejected_proposals")
+    res = run_checks([check], {"credit_kpis": kpis}).collect()[0]
+    assert (res["status"], res["failures"]) == ("fail", 1)
 
 
 def test_agency_bridge_fan_out(spark):
