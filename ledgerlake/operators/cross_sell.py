@@ -6,25 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.credit import APPROVED, approved_clients
+from ledgerlake.operators.joins import HOT_KEY_ROWS, join_splitting_hot_keys
 
 # Fixed value: balance above which an account is a cross-sell candidate (strict).
 MIN_BALANCE = 20000
 
 
 def cross_sell(accounts: DataFrame, clients: DataFrame, proposals: DataFrame,
-               min_balance: int | float = MIN_BALANCE, approved: str = APPROVED) -> DataFrame:
+               min_balance: int | float = MIN_BALANCE, approved: str = APPROVED,
+               hot_client_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """M-08: one row per account with balance above ``min_balance`` whose client
     exists and has no approved proposal.
 
     The grain is the account: a client with two such accounts gives two rows.
-    The balance filter is pushed below the joins and "no approved proposal"
-    is a left anti join (not an outer join plus a NULL filter).
+
+    Plan: "no approved proposal" is a left anti join (not an outer join plus a
+    NULL filter) between two client-sized relations, clients and distinct
+    approved clients. The accounts, filtered on balance in the scan, then meet
+    the eligible clients in one join. A client owning ``hot_client_rows`` or
+    more of the accounts is split off that shuffle join and joined by
+    broadcasting its (single) client row, so a client holding a third of the
+    accounts does not end up in one task.
     """
     acc = (accounts.where(F.col("total_balance") > F.lit(min_balance))
            .select("account_id", "client_id", "total_balance", "agency_id"))
-    known = clients.select("client_id", "client_full_name")
-    joined = (acc.join(known, "client_id", "inner")
-              .join(approved_clients(proposals, approved), "client_id", "left_anti"))
+    eligible = (clients.select("client_id", "client_full_name")
+                .join(approved_clients(proposals, approved), "client_id", "left_anti"))
+    joined = join_splitting_hot_keys(acc, eligible, "client_id", hot_client_rows)
     return joined.select(
         F.col("client_id").alias("client_fk"),
         "client_full_name",
