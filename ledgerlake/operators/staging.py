@@ -92,7 +92,7 @@ STAGING_SPECS: dict[str, tuple[str, list[tuple[str, str]]]] = {
 def stage(name: str, raw: DataFrame) -> DataFrame:
     """Apply the projection of staging model ``name`` to its raw table."""
     _, columns = STAGING_SPECS[name]
-    return raw.select([F.expr(e).alias(out) for e, out in columns])
+    return raw.selectExpr(*[f"{e} AS {out}" for e, out in columns])
 
 
 def view_sql(name: str, raw_db: str = "raw", staging_db: str = "staging") -> str:

@@ -22,9 +22,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.schemas import MONEY, RATE
 
@@ -54,12 +53,9 @@ DRIVER_SCHEMAS = {
 STATUS_BY_RETURN_FLAG = {"R": "Aprovada", "A": "Em análise", "N": "Enviada"}
 
 
-def _null(dtype: T.DataType) -> Column:
-    return F.lit(None).cast(dtype)
-
-
-def _ts(c: str) -> Column:
-    return F.col(c).cast(T.TimestampType())
+def _project(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """One projection from ``(SQL expression, output name)`` pairs."""
+    return df.selectExpr(*[f"{expr} AS {name}" for expr, name in columns])
 
 
 class DriverTables:
@@ -81,15 +77,15 @@ def raw_agencias(d: DriverTables) -> DataFrame:
     nation = d.table("nation")
     region = d.table("region")
     joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
-    return joined.select(
-        F.col("n_nationkey").cast("long").alias("cod_agencia"),
-        F.col("n_name").alias("nome"),
-        _null(T.StringType()).alias("endereco"),
-        _null(T.StringType()).alias("cidade"),
-        _null(T.StringType()).alias("uf"),
-        _null(T.DateType()).alias("data_abertura"),
-        F.col("r_name").alias("tipo_agencia"),
-    )
+    return _project(joined, [
+        ("CAST(n_nationkey AS BIGINT)", "cod_agencia"),
+        ("n_name", "nome"),
+        ("CAST(NULL AS STRING)", "endereco"),
+        ("CAST(NULL AS STRING)", "cidade"),
+        ("CAST(NULL AS STRING)", "uf"),
+        ("CAST(NULL AS DATE)", "data_abertura"),
+        ("r_name", "tipo_agencia"),
+    ])
 
 
 def raw_clientes(d: DriverTables) -> DataFrame:
@@ -99,63 +95,61 @@ def raw_clientes(d: DriverTables) -> DataFrame:
                    .agg(F.min("o_orderdate").alias("first_order_at")))
     customer = d.table("customer")
     joined = customer.join(first_order, customer.c_custkey == first_order.o_custkey, "left")
-    return joined.select(
-        F.col("c_custkey").alias("cod_cliente"),
-        F.regexp_extract("c_name", r"^([^#]*)", 1).alias("primeiro_nome"),
-        F.regexp_extract("c_name", r"#(.*)$", 1).alias("ultimo_nome"),
-        _null(T.StringType()).alias("email"),
-        F.col("c_mktsegment").alias("tipo_cliente"),
-        _ts("first_order_at").alias("data_inclusao"),
-        _null(T.StringType()).alias("cpfcnpj"),
-        _null(T.DateType()).alias("data_nascimento"),
-        _null(T.StringType()).alias("endereco"),
-        _null(T.StringType()).alias("cep"),
-    )
+    return _project(joined, [
+        ("c_custkey", "cod_cliente"),
+        (r"regexp_extract(c_name, '^([^#]*)', 1)", "primeiro_nome"),
+        (r"regexp_extract(c_name, '#(.*)$', 1)", "ultimo_nome"),
+        ("CAST(NULL AS STRING)", "email"),
+        ("c_mktsegment", "tipo_cliente"),
+        ("CAST(first_order_at AS TIMESTAMP)", "data_inclusao"),
+        ("CAST(NULL AS STRING)", "cpfcnpj"),
+        ("CAST(NULL AS DATE)", "data_nascimento"),
+        ("CAST(NULL AS STRING)", "endereco"),
+        ("CAST(NULL AS STRING)", "cep"),
+    ])
 
 
 def raw_colaboradores(d: DriverTables) -> DataFrame:
-    return d.table("supplier").select(
-        F.col("s_suppkey").alias("cod_colaborador"),
-        F.col("s_name").alias("primeiro_nome"),
-        _null(T.StringType()).alias("ultimo_nome"),
-        _null(T.StringType()).alias("email"),
-        _null(T.StringType()).alias("cpf"),
-        _null(T.DateType()).alias("data_nascimento"),
-        _null(T.StringType()).alias("endereco"),
-        _null(T.StringType()).alias("cep"),
-    )
+    return _project(d.table("supplier"), [
+        ("s_suppkey", "cod_colaborador"),
+        ("s_name", "primeiro_nome"),
+        ("CAST(NULL AS STRING)", "ultimo_nome"),
+        ("CAST(NULL AS STRING)", "email"),
+        ("CAST(NULL AS STRING)", "cpf"),
+        ("CAST(NULL AS DATE)", "data_nascimento"),
+        ("CAST(NULL AS STRING)", "endereco"),
+        ("CAST(NULL AS STRING)", "cep"),
+    ])
 
 
 def raw_colaborador_agencia(d: DriverTables) -> DataFrame:
-    return d.table("supplier").select(
-        F.col("s_suppkey").alias("cod_colaborador"),
-        F.col("s_nationkey").cast("long").alias("cod_agencia"),
-    )
+    return _project(d.table("supplier"), [
+        ("s_suppkey", "cod_colaborador"),
+        ("CAST(s_nationkey AS BIGINT)", "cod_agencia"),
+    ])
 
 
 def raw_contas(d: DriverTables) -> DataFrame:
     orders = d.table("orders")
     customer = d.table("customer").select("c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    return joined.select(
-        F.col("o_orderkey").alias("num_conta"),
-        F.col("o_custkey").alias("cod_cliente"),
-        F.col("c_nationkey").cast("long").alias("cod_agencia"),
-        _null(T.LongType()).alias("cod_colaborador"),
-        F.col("o_orderpriority").alias("tipo_conta"),
-        _ts("o_orderdate").alias("data_abertura"),
-        F.col("o_totalprice").cast(MONEY).alias("saldo_total"),
-        _null(MONEY).alias("saldo_disponivel"),
-        _null(T.TimestampType()).alias("data_ultimo_lancamento"),
-    )
-
-
-def _status_from_flag(c: str) -> Column:
-    expr = None
-    for flag, status in STATUS_BY_RETURN_FLAG.items():
-        cond = F.col(c) == F.lit(flag)
-        expr = F.when(cond, F.lit(status)) if expr is None else expr.when(cond, F.lit(status))
-    return expr
+    return _project(joined, [
+        ("o_orderkey", "num_conta"),
+        ("o_custkey", "cod_cliente"),
+        ("CAST(c_nationkey AS BIGINT)", "cod_agencia"),
+        ("CAST(NULL AS BIGINT)", "cod_colaborador"),
+        ("o_orderpriority", "tipo_conta"),
+        ("CAST(o_orderdate AS TIMESTAMP)", "data_abertura"),
+        (f"CAST(o_totalprice AS {MONEY.simpleString()})", "saldo_total"),
+        (f"CAST(NULL AS {MONEY.simpleString()})", "saldo_disponivel"),
+        ("CAST(NULL AS TIMESTAMP)", "data_ultimo_lancamento"),
+    ])
+
+
+def _status_from_flag(c: str) -> str:
+    branches = " ".join(f"WHEN '{flag}' THEN '{status}'"
+                        for flag, status in STATUS_BY_RETURN_FLAG.items())
+    return f"CASE {c} {branches} END"
 
 
 def raw_propostas_credito(d: DriverTables) -> DataFrame:
@@ -164,20 +158,21 @@ def raw_propostas_credito(d: DriverTables) -> DataFrame:
                      "l_extendedprice", "l_returnflag"))
     orders = d.table("orders").select("o_orderkey", "o_custkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
-    return joined.select(
-        F.col("l_orderkey").alias("cod_proposta"),
-        F.col("o_custkey").alias("cod_cliente"),
-        F.col("l_suppkey").alias("cod_colaborador"),
-        _ts("l_shipdate").alias("data_entrada_proposta"),
-        F.col("l_discount").cast(RATE).alias("taxa_juros_mensal"),
-        F.col("l_extendedprice").cast(MONEY).alias("valor_proposta"),
-        _null(MONEY).alias("valor_financiamento"),
-        _null(MONEY).alias("valor_entrada"),
-        _null(MONEY).alias("valor_prestacao"),
-        _null(T.IntegerType()).alias("quantidade_parcelas"),
-        _null(T.IntegerType()).alias("carencia"),
-        _status_from_flag("l_returnflag").alias("status_proposta"),
-    )
+    money = MONEY.simpleString()
+    return _project(joined, [
+        ("l_orderkey", "cod_proposta"),
+        ("o_custkey", "cod_cliente"),
+        ("l_suppkey", "cod_colaborador"),
+        ("CAST(l_shipdate AS TIMESTAMP)", "data_entrada_proposta"),
+        (f"CAST(l_discount AS {RATE.simpleString()})", "taxa_juros_mensal"),
+        (f"CAST(l_extendedprice AS {money})", "valor_proposta"),
+        (f"CAST(NULL AS {money})", "valor_financiamento"),
+        (f"CAST(NULL AS {money})", "valor_entrada"),
+        (f"CAST(NULL AS {money})", "valor_prestacao"),
+        ("CAST(NULL AS INT)", "quantidade_parcelas"),
+        ("CAST(NULL AS INT)", "carencia"),
+        (_status_from_flag("l_returnflag"), "status_proposta"),
+    ])
 
 
 def raw_transacoes(d: DriverTables, source: str = "lineitem") -> DataFrame:
@@ -188,21 +183,21 @@ def raw_transacoes(d: DriverTables, source: str = "lineitem") -> DataFrame:
     are no-ops (or an exact double -> decimal cast) on typed input.
     """
     if source == "lineitem":
-        return d.table("lineitem").select(
-            (F.col("l_orderkey") * F.lit(10) + F.col("l_linenumber")).alias("cod_transacao"),
-            F.col("l_orderkey").alias("num_conta"),
-            _ts("l_shipdate").alias("data_transacao"),
-            F.col("l_returnflag").alias("nome_transacao"),
-            F.col("l_extendedprice").alias("valor_transacao"),
-        )
+        return _project(d.table("lineitem"), [
+            ("l_orderkey * 10 + l_linenumber", "cod_transacao"),
+            ("l_orderkey", "num_conta"),
+            ("CAST(l_shipdate AS TIMESTAMP)", "data_transacao"),
+            ("l_returnflag", "nome_transacao"),
+            ("l_extendedprice", "valor_transacao"),
+        ])
     if source == "events":
-        return d.table("events").select(
-            F.col("event_id").alias("cod_transacao"),
-            F.col("user_id").alias("num_conta"),
-            _ts("ts").alias("data_transacao"),
-            F.col("event_type").alias("nome_transacao"),
-            F.col("value").alias("valor_transacao"),
-        )
+        return _project(d.table("events"), [
+            ("event_id", "cod_transacao"),
+            ("user_id", "num_conta"),
+            ("CAST(ts AS TIMESTAMP)", "data_transacao"),
+            ("event_type", "nome_transacao"),
+            ("value", "valor_transacao"),
+        ])
     raise ValueError(f"unknown transaction source {source!r}")
 
 
