@@ -188,11 +188,13 @@ def dash_cross_sell(opportunities: DataFrame) -> DataFrame:
 
 
 def _verdict():
-    sig = F.col("significant_at_5pct")
+    """'Relevante' when significant with r² of at least 5 %, weak when significant
+    below that, no evidence otherwise (including an unknown significance)."""
+    sig = F.coalesce(F.col("significant_at_5pct"), F.lit(False))
     r2 = F.col("r_squared_pct")
-    return (F.when(sig & (r2 >= F.lit(RELEVANT_R2_PCT)), F.lit(RELEVANT))
-            .when(sig & (r2 < F.lit(RELEVANT_R2_PCT)), F.lit(WEAK))
-            .otherwise(F.lit(NO_EVIDENCE)))
+    return (F.when(~sig | r2.isNull(), F.lit(NO_EVIDENCE))
+            .when(r2 < F.lit(RELEVANT_R2_PCT), F.lit(WEAK))
+            .otherwise(F.lit(RELEVANT)))
 
 
 def dash_driver_verdict(ranking: DataFrame) -> DataFrame:

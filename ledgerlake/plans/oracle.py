@@ -107,122 +107,127 @@ def _mart(name: str, deps: tuple[str, ...], sql: str) -> None:
     CTE[name] = (deps, sql)
 
 
-_mart("account_activity", ("stg_accounts", "stg_transactions"), """
-    WITH max_date AS (
-        SELECT CAST(max(transaction_at) AS DATE) AS reference_date FROM stg_transactions),
-    last_tx AS (
-        SELECT account_id, CAST(max(transaction_at) AS DATE) AS last_transaction_date
-        FROM stg_transactions GROUP BY account_id)
-    SELECT c.account_id AS account_sk, c.client_id AS client_fk, c.agency_id AS agency_fk,
-           c.total_balance, lt.last_transaction_date,
-           md.reference_date - lt.last_transaction_date AS days_since_last_transaction,
-           CASE WHEN lt.last_transaction_date IS NULL THEN 'never_used'
-                WHEN md.reference_date - lt.last_transaction_date <= 90 THEN 'active'
-                ELSE 'dormant' END AS activity_status
-    FROM stg_accounts c LEFT JOIN last_tx lt ON c.account_id = lt.account_id
-    CROSS JOIN max_date md""")
+_REF = "(SELECT CAST(max(transaction_at) AS DATE) FROM stg_transactions)"
+
+_mart("account_activity", ("stg_accounts", "stg_transactions"), f"""
+    SELECT a.account_id AS account_sk, a.client_id AS client_fk, a.agency_id AS agency_fk,
+           a.total_balance,
+           CAST(l.last_at AS DATE) AS last_transaction_date,
+           {_REF} - CAST(l.last_at AS DATE) AS days_since_last_transaction,
+           CASE WHEN l.last_at IS NULL THEN 'never_used'
+                WHEN {_REF} - CAST(l.last_at AS DATE) > 90 THEN 'dormant'
+                ELSE 'active' END AS activity_status
+    FROM stg_accounts a
+    LEFT JOIN (SELECT account_id, max(transaction_at) AS last_at
+               FROM stg_transactions GROUP BY account_id) l
+           ON l.account_id = a.account_id""")
 
 _mart("credit_funnel", ("stg_proposals",), f"""
-    SELECT date_trunc('month', proposal_date) AS month, proposal_status,
-           count(*) AS proposal_count, sum(proposal_amount) AS total_proposal_amount,
-           {ravg_decimal('monthly_interest_rate', 8, 12)} AS avg_interest_rate
-    FROM stg_proposals GROUP BY 1, 2""")
-
-_APPROVED_01 = "sum(CASE WHEN p.proposal_status = 'Aprovada' THEN 1 ELSE 0 END)"
+    SELECT date_trunc('month', p.proposal_date) AS month, p.proposal_status,
+           count(*) AS proposal_count,
+           sum(p.proposal_amount) AS total_proposal_amount,
+           {ravg_decimal('p.monthly_interest_rate', 8, 12)} AS avg_interest_rate
+    FROM stg_proposals p
+    GROUP BY ALL""")
+
+_APPROVED_01 = "count(*) FILTER (WHERE x.proposal_status = 'Aprovada')"
 _mart("agency_performance", ("stg_agencies", "stg_employee_agency", "stg_proposals"), f"""
-    WITH pa AS (
-        SELECT p.proposal_id, p.proposal_status, p.proposal_amount, ca.agency_id
-        FROM stg_proposals p JOIN stg_employee_agency ca ON p.employee_id = ca.employee_id)
-    SELECT a.agency_id AS agency_sk, a.agency_name, a.agency_type,
-           count(p.proposal_id) AS total_proposals,
+    SELECT ag.agency_id AS agency_sk, ag.agency_name, ag.agency_type,
+           count(x.proposal_id) AS total_proposals,
            {_APPROVED_01} AS approved_proposals,
-           {rr(_APPROVED_01, 'count(p.proposal_id)', 2, 100)} AS conversion_rate_pct,
-           sum(p.proposal_amount) AS total_proposal_amount
-    FROM stg_agencies a LEFT JOIN pa p ON a.agency_id = p.agency_id
-    GROUP BY 1, 2, 3""")
+           {rr(_APPROVED_01, 'count(x.proposal_id)', 2, 100)} AS conversion_rate_pct,
+           sum(x.proposal_amount) AS total_proposal_amount
+    FROM stg_agencies ag
+    LEFT JOIN (SELECT b.agency_id, p.proposal_id, p.proposal_status, p.proposal_amount
+               FROM stg_employee_agency b JOIN stg_proposals p ON p.employee_id = b.employee_id) x
+           ON x.agency_id = ag.agency_id
+    GROUP BY ag.agency_id, ag.agency_name, ag.agency_type""")
 
 
 def _daily_volume(tx: str) -> str:
     return f"""
-    SELECT CAST(transaction_at AS DATE) AS transaction_date, transaction_type,
-           count(*) AS transaction_count, count(DISTINCT account_id) AS distinct_accounts,
-           {rr('count(*)', 'count(DISTINCT account_id)', 2)} AS avg_tx_per_account
-    FROM {tx} GROUP BY 1, 2"""
+    SELECT d AS transaction_date, transaction_type, n AS transaction_count,
+           accounts AS distinct_accounts, {rr('n', 'accounts', 2)} AS avg_tx_per_account
+    FROM (SELECT CAST(transaction_at AS DATE) AS d, transaction_type, count(*) AS n,
+                 count(DISTINCT account_id) AS accounts
+          FROM {tx} GROUP BY ALL) v"""
 
 
 _mart("daily_volume", ("stg_transactions",), _daily_volume("stg_transactions"))
 _mart("daily_volume_events", ("stg_transactions_events",), _daily_volume("stg_transactions_events"))
 
+_ENG_REF = "(SELECT CAST(max(transaction_at) AS DATE) FROM stg_transactions)"
 _mart("client_engagement", ("stg_clients", "stg_accounts", "stg_transactions", "stg_proposals"), f"""
-    WITH credito_aprovado AS (
-        SELECT DISTINCT client_id FROM stg_proposals WHERE proposal_status = 'Aprovada'),
-    ref_date AS (SELECT CAST(max(transaction_at) AS DATE) AS reference_date FROM stg_transactions),
-    contas_por_cliente AS (
-        SELECT client_id, count(*) AS account_count, sum(total_balance) AS total_balance
+    WITH holdings AS (
+        SELECT client_id, count(*) AS n_accounts, sum(total_balance) AS balance
         FROM stg_accounts GROUP BY client_id),
-    tx_por_cliente AS (
-        SELECT co.client_id, count(t.transaction_id) AS transaction_count,
-               sum(t.transaction_amount) AS transaction_total_amount,
-               CAST(max(t.transaction_at) AS DATE) AS last_transaction_date
-        FROM stg_accounts co LEFT JOIN stg_transactions t ON co.account_id = t.account_id
-        GROUP BY co.client_id)
-    SELECT cl.client_id AS client_sk, cl.client_full_name, cl.client_type,
-           CAST(cl.onboarding_date AS DATE) AS onboarding_date,
-           cpc.account_count, cpc.total_balance,
-           coalesce(txc.transaction_count, 0) AS transaction_count,
-           coalesce(txc.transaction_total_amount, 0) AS transaction_total_amount,
-           {rr('coalesce(txc.transaction_count, 0)', 'cpc.account_count', 2)} AS avg_tx_per_account,
-           txc.last_transaction_date,
-           rd.reference_date - txc.last_transaction_date AS days_since_last_transaction,
-           rd.reference_date - CAST(cl.onboarding_date AS DATE) AS relationship_days,
-           ca.client_id IS NOT NULL AS has_approved_credit,
-           CASE WHEN txc.last_transaction_date IS NULL THEN 'never_used'
-                WHEN rd.reference_date - txc.last_transaction_date <= 90 THEN 'active'
-                WHEN rd.reference_date - txc.last_transaction_date <= 360 THEN 'at_risk'
-                ELSE 'churned' END AS engagement_status
-    FROM stg_clients cl
-    JOIN contas_por_cliente cpc ON cl.client_id = cpc.client_id
-    LEFT JOIN tx_por_cliente txc ON cl.client_id = txc.client_id
-    LEFT JOIN credito_aprovado ca ON cl.client_id = ca.client_id
-    CROSS JOIN ref_date rd""")
+    usage AS (
+        SELECT a.client_id, count(t.transaction_id) AS n_tx, sum(t.transaction_amount) AS tx_sum,
+               max(t.transaction_at) AS last_at
+        FROM stg_accounts a LEFT JOIN stg_transactions t ON t.account_id = a.account_id
+        GROUP BY a.client_id),
+    per_client AS (
+        SELECT c.client_id, c.client_full_name, c.client_type,
+               CAST(c.onboarding_date AS DATE) AS since, h.n_accounts, h.balance,
+               coalesce(u.n_tx, 0) AS n_tx, coalesce(u.tx_sum, 0) AS tx_sum,
+               CAST(u.last_at AS DATE) AS last_day,
+               EXISTS (SELECT 1 FROM stg_proposals p
+                       WHERE p.client_id = c.client_id AND p.proposal_status = 'Aprovada') AS credit
+        FROM stg_clients c
+        JOIN holdings h ON h.client_id = c.client_id
+        LEFT JOIN usage u ON u.client_id = c.client_id)
+    SELECT client_id AS client_sk, client_full_name, client_type, since AS onboarding_date,
+           n_accounts AS account_count, balance AS total_balance, n_tx AS transaction_count,
+           tx_sum AS transaction_total_amount, {rr('n_tx', 'n_accounts', 2)} AS avg_tx_per_account,
+           last_day AS last_transaction_date,
+           {_ENG_REF} - last_day AS days_since_last_transaction,
+           {_ENG_REF} - since AS relationship_days,
+           credit AS has_approved_credit,
+           CASE WHEN last_day IS NULL THEN 'never_used'
+                WHEN {_ENG_REF} - last_day > 360 THEN 'churned'
+                WHEN {_ENG_REF} - last_day > 90 THEN 'at_risk'
+                ELSE 'active' END AS engagement_status
+    FROM per_client""")
 
 _mart("commercial_kpis", ("client_engagement",), f"""
-    SELECT count(*) AS total_clientes,
-           count(*) FILTER (WHERE engagement_status = 'active') AS clientes_ativos,
-           count(*) FILTER (WHERE engagement_status = 'at_risk') AS clientes_em_risco,
-           count(*) FILTER (WHERE engagement_status = 'churned') AS clientes_churned,
-           count(*) FILTER (WHERE engagement_status = 'never_used') AS clientes_sem_uso,
-           {rr("count(*) FILTER (WHERE engagement_status = 'active')", 'count(*)', 2, 100)}
-               AS taxa_ativos_pct,
-           {rr("count(*) FILTER (WHERE engagement_status IN ('at_risk', 'churned'))", 'count(*)', 2, 100)}
-               AS taxa_inativos_pct,
-           {rr('sum(transaction_count)', 'count(transaction_count)', 2)} AS media_transacoes_por_cliente,
-           {rr('count(*) FILTER (WHERE has_approved_credit)', 'count(*)', 2, 100)}
-               AS taxa_posse_credito_pct
-    FROM client_engagement""")
+    SELECT n AS total_clientes, active AS clientes_ativos, risk AS clientes_em_risco,
+           churned AS clientes_churned, unused AS clientes_sem_uso,
+           {rr('active', 'n', 2, 100)} AS taxa_ativos_pct,
+           {rr('risk + churned', 'n', 2, 100)} AS taxa_inativos_pct,
+           {rr('tx', 'n_tx', 2)} AS media_transacoes_por_cliente,
+           {rr('credit', 'n', 2, 100)} AS taxa_posse_credito_pct
+    FROM (SELECT count(*) AS n,
+                 count_if(engagement_status = 'active') AS active,
+                 count_if(engagement_status = 'at_risk') AS risk,
+                 count_if(engagement_status = 'churned') AS churned,
+                 count_if(engagement_status = 'never_used') AS unused,
+                 count_if(has_approved_credit) AS credit,
+                 sum(transaction_count) AS tx, count(transaction_count) AS n_tx
+          FROM client_engagement) k""")
 
 APPROVED_N = "sum(CASE WHEN proposal_status = 'Aprovada' THEN proposal_count ELSE 0 END)"
-_APPROVED_AMT = "sum(CASE WHEN proposal_status = 'Aprovada' THEN total_proposal_amount ELSE 0 END)"
 _mart("credit_kpis", ("credit_funnel",), f"""
-    SELECT sum(proposal_count) AS total_proposals,
-           {APPROVED_N} AS approved_proposals,
-           sum(CASE WHEN proposal_status != 'Aprovada' THEN proposal_count ELSE 0 END)
-               AS rejected_proposals,
-           {rr(APPROVED_N, 'sum(proposal_count)', 2, 100)} AS approval_rate_pct,
-           round(sum(total_proposal_amount), 2) AS total_proposal_amount,
-           round({_APPROVED_AMT}, 2) AS total_financed_amount,
-           round(avg(avg_interest_rate) * 100, 4) AS avg_interest_rate_pct
-    FROM credit_funnel""")
+    SELECT total AS total_proposals, ok AS approved_proposals, other AS rejected_proposals,
+           {rr('ok', 'total', 2, 100)} AS approval_rate_pct,
+           round(amount, 2) AS total_proposal_amount, round(ok_amount, 2) AS total_financed_amount,
+           round(mean_rate * 100, 4) AS avg_interest_rate_pct
+    FROM (SELECT sum(proposal_count) AS total,
+                 coalesce(sum(proposal_count) FILTER (WHERE proposal_status = 'Aprovada'), 0) AS ok,
+                 coalesce(sum(proposal_count) FILTER (WHERE proposal_status <> 'Aprovada'), 0) AS other,
+                 sum(total_proposal_amount) AS amount,
+                 coalesce(sum(total_proposal_amount) FILTER (WHERE proposal_status = 'Aprovada'), 0)
+                     AS ok_amount,
+                 avg(avg_interest_rate) AS mean_rate
+          FROM credit_funnel) f""")
 
 _mart("cross_sell", ("stg_accounts", "stg_clients", "stg_proposals"), """
-    WITH clientes_com_credito_aprovado AS (
-        SELECT DISTINCT client_id FROM stg_proposals WHERE proposal_status = 'Aprovada')
-    SELECT cl.client_id AS client_fk, cl.client_full_name, c.account_id AS account_fk,
-           c.total_balance, c.agency_id AS agency_fk
-    FROM stg_accounts c
-    JOIN stg_clients cl ON c.client_id = cl.client_id
-    LEFT JOIN clientes_com_credito_aprovado cca ON c.client_id = cca.client_id
-    WHERE c.total_balance > 20000 AND cca.client_id IS NULL""")
+    SELECT c.client_id AS client_fk, c.client_full_name, a.account_id AS account_fk,
+           a.total_balance, a.agency_id AS agency_fk
+    FROM stg_accounts a
+    JOIN stg_clients c ON c.client_id = a.client_id
+    WHERE a.total_balance > 20000
+      AND NOT EXISTS (SELECT 1 FROM stg_proposals p
+                      WHERE p.client_id = a.client_id AND p.proposal_status = 'Aprovada')""")
 
 
 def _corr(y: str, x: str) -> str:
@@ -233,39 +238,35 @@ def _corr(y: str, x: str) -> str:
             f"THEN corr({y}, {x}) END")
 
 
+_DRIVERS = (("saldo_total", "CAST(total_balance AS DOUBLE)"),
+            ("tempo_relacionamento", "CAST(relationship_days AS DOUBLE)"),
+            ("quantidade_contas", "CAST(account_count AS DOUBLE)"),
+            ("posse_credito_aprovado", "CASE WHEN has_approved_credit THEN 1.0 ELSE 0.0 END"))
+_corr_cols = ",\n           ".join(
+    f"{_corr('CAST(transaction_count AS DOUBLE)', expr)} AS {name}" for name, expr in _DRIVERS)
+_long = "\n        UNION ALL ".join(
+    f"SELECT '{name}' AS driver, {name} AS r, n FROM one" for name, _ in _DRIVERS)
 _mart("driver_ranking", ("client_engagement",), f"""
-    WITH base AS (
-        SELECT CAST(transaction_count AS DOUBLE) AS transaction_count,
-               CAST(total_balance AS DOUBLE) AS total_balance,
-               CAST(relationship_days AS DOUBLE) AS relationship_days,
-               CAST(account_count AS DOUBLE) AS account_count,
-               CASE WHEN has_approved_credit THEN 1.0 ELSE 0.0 END AS has_credit_flag
+    WITH one AS (
+        SELECT count(*) AS n,
+           {_corr_cols}
         FROM client_engagement),
-    sample AS (SELECT count(*) AS sample_size FROM base),
-    correlations AS (
-        SELECT 'saldo_total' AS driver, {_corr('transaction_count', 'total_balance')} AS correlation FROM base
-        UNION ALL
-        SELECT 'tempo_relacionamento', {_corr('transaction_count', 'relationship_days')} FROM base
-        UNION ALL
-        SELECT 'quantidade_contas', {_corr('transaction_count', 'account_count')} FROM base
-        UNION ALL
-        SELECT 'posse_credito_aprovado', {_corr('transaction_count', 'has_credit_flag')} FROM base),
-    stats AS (
-        SELECT c.driver, c.correlation, s.sample_size,
-               c.correlation * sqrt((s.sample_size - 2) / nullif(1 - pow(c.correlation, 2), 0))
-                   AS t_statistic
-        FROM correlations c CROSS JOIN sample s)
+    per_driver AS (
+        {_long}),
+    scored AS (
+        SELECT driver, r, n, r * sqrt((n - 2) / nullif(1 - pow(r, 2), 0)) AS t
+        FROM per_driver WHERE r IS NOT NULL)
     SELECT driver,
-           round(CAST(correlation AS DECIMAL(38,18)), 4) AS correlation,
-           round(CAST(abs(correlation) AS DECIMAL(38,18)), 4) AS abs_correlation,
-           round(CAST(pow(correlation, 2) * 100 AS DECIMAL(38,18)), 2) AS r_squared_pct,
-           CASE WHEN correlation > 0 THEN 'positivo' WHEN correlation < 0 THEN 'negativo'
-                ELSE 'indefinido' END AS direction,
-           sample_size,
-           round(CAST(t_statistic AS DECIMAL(38,18)), 2) AS t_statistic,
-           abs(t_statistic) > 1.96 AS significant_at_5pct,
-           row_number() OVER (ORDER BY abs(correlation) DESC NULLS LAST, driver) AS impact_rank
-    FROM stats WHERE correlation IS NOT NULL""")
+           round(CAST(r AS DECIMAL(38,18)), 4) AS correlation,
+           round(CAST(abs(r) AS DECIMAL(38,18)), 4) AS abs_correlation,
+           round(CAST(pow(r, 2) * 100 AS DECIMAL(38,18)), 2) AS r_squared_pct,
+           CASE sign(r) WHEN 1 THEN 'positivo' WHEN -1 THEN 'negativo' ELSE 'indefinido' END
+               AS direction,
+           n AS sample_size,
+           round(CAST(t AS DECIMAL(38,18)), 2) AS t_statistic,
+           abs(t) > 1.96 AS significant_at_5pct,
+           row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, driver) AS impact_rank
+    FROM scored""")
 
 
 def with_ctes(body: str, *roots: str, rename: dict[str, str] | None = None) -> str:

@@ -218,9 +218,9 @@ DASHBOARD_SQL: dict[str, tuple[str, list[tuple[str, str]]]] = {
         FROM cross_sell""", MODEL_COLUMNS["cross_sell"]),
 }
 
-_VERDICT = """CASE WHEN significant_at_5pct AND r_squared_pct >= 5 THEN 'Relevante'
-             WHEN significant_at_5pct AND r_squared_pct < 5 THEN 'Significativo mas fraco'
-             ELSE 'Sem evidência' END"""
+_VERDICT = """CASE WHEN significant_at_5pct IS NOT TRUE OR r_squared_pct IS NULL THEN 'Sem evidência'
+             WHEN r_squared_pct < 5 THEN 'Significativo mas fraco'
+             ELSE 'Relevante' END"""
 DASHBOARD_SQL["dash_driver_verdict"] = (
     f"""SELECT impact_rank, driver, correlation, direction, significant_at_5pct, r_squared_pct,
         sample_size, {_VERDICT} AS verdict FROM driver_ranking""",
@@ -236,16 +236,13 @@ DASHBOARD_SQL["dash_driver_table"] = (
 
 
 def anomaly_sql(year: int, month: int, sigmas: float) -> tuple[str, list[tuple[str, str]]]:
-    body = f"""WITH stats AS (
-            SELECT avg(transaction_count) AS avg_count, stddev(transaction_count) AS std_count
-            FROM daily_volume)
-        SELECT transaction_date, transaction_type, transaction_count, distinct_accounts,
-               avg_tx_per_account,
-               CASE WHEN transaction_count > (SELECT avg_count + {sigmas} * std_count FROM stats)
-                    THEN 'ANOMALY' ELSE 'NORMAL' END AS flag
-        FROM daily_volume
-        WHERE extract(year FROM transaction_date) = {year}
-          AND extract(month FROM transaction_date) = {month}"""
+    body = f"""SELECT v.transaction_date, v.transaction_type, v.transaction_count,
+               v.distinct_accounts, v.avg_tx_per_account,
+               CASE WHEN v.transaction_count > lim.cutoff THEN 'ANOMALY' ELSE 'NORMAL' END AS flag
+        FROM daily_volume v,
+             (SELECT avg(transaction_count) + {sigmas} * stddev_samp(transaction_count) AS cutoff
+              FROM daily_volume) lim
+        WHERE date_trunc('month', v.transaction_date) = DATE '{year:04d}-{month:02d}-01'"""
     return body, MODEL_COLUMNS["daily_volume"] + [("flag", "")]
 
 
