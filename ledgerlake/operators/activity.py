@@ -12,6 +12,7 @@ NEVER_USED = "never_used"
 ACTIVE = "active"
 DORMANT = "dormant"
 ACTIVE_DAYS = 90
+ACTIVITY_STATUSES = (ACTIVE, DORMANT, NEVER_USED)
 
 
 def transactions_by_account(tx: DataFrame) -> DataFrame:

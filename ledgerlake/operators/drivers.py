@@ -20,6 +20,7 @@ DEFAULT_DRIVERS: tuple[tuple[str, str], ...] = (
 )
 CRITICAL_T = 1.96
 POSITIVE, NEGATIVE, UNDEFINED = "positivo", "negativo", "indefinido"
+DIRECTIONS = (POSITIVE, NEGATIVE, UNDEFINED)
 
 
 def _driver_value(df: DataFrame, column: str) -> Column:

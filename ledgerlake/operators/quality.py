@@ -14,6 +14,7 @@ small DataFrame whose result has one row per test.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,9 +22,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Outcome labels of the generic tests and of the live dashboard.
+from ledgerlake.operators.activity import ACTIVITY_STATUSES
+from ledgerlake.operators.credit import PROPOSAL_STATUSES
+from ledgerlake.operators.drivers import DIRECTIONS
+from ledgerlake.operators.engagement import ENGAGEMENT_STATUSES
+
+# Outcome labels of the generic tests and of the live dashboard,
+# and the live dashboard's message texts.
 PASS, FAIL, WARN = "pass", "fail", "warn"
 DASH_PASS, DASH_FAIL = "PASS", "FAIL"
+ORPHAN_MESSAGE = "Found {n} {noun}(s) referencing non-existent client(s)"
+NULL_MESSAGE = "null check on {column}"
+UNIQUE_MESSAGE = "uniqueness check on {column}"
 
 ROW_LEVEL = ("not_null", "accepted_values", "expression", "range")
 
@@ -239,7 +249,7 @@ def declared_checks(include_catalog: bool = True) -> list[Check]:
     checks.append(Check("relationships", "stg_proposals", "client_id", to="stg_clients",
                         to_column="client_id", severity="warn"))
     checks.append(Check("accepted_values", "stg_proposals", "proposal_status",
-                        values=("Aprovada", "Em análise", "Enviada", "Validação documentos")))
+                        values=PROPOSAL_STATUSES))
     checks += _un("stg_transactions", "transaction_id")
     checks += _nn("stg_transactions", "transaction_id", "account_id")
     checks.append(Check("relationships", "stg_transactions", "account_id", to="stg_accounts",
@@ -253,7 +263,7 @@ def declared_checks(include_catalog: bool = True) -> list[Check]:
     checks += _nn("daily_volume", "transaction_date", "transaction_type")
     checks += _un("account_activity", "account_sk") + _nn("account_activity", "account_sk")
     checks.append(Check("accepted_values", "account_activity", "activity_status",
-                        values=("active", "dormant", "never_used")))
+                        values=ACTIVITY_STATUSES))
     checks.append(Check("expression", "credit_kpis",
                         expression="total_proposals = approved_proposals + rejected_proposals"))
     checks += _nn("credit_kpis", "total_proposals", "approval_rate_pct")
@@ -272,7 +282,7 @@ def declared_checks(include_catalog: bool = True) -> list[Check]:
     checks.append(Check("range", "client_engagement", "transaction_count", min_value=0))
     checks += _nn("client_engagement", "engagement_status")
     checks.append(Check("accepted_values", "client_engagement", "engagement_status",
-                        values=("active", "at_risk", "churned", "never_used")))
+                        values=ENGAGEMENT_STATUSES))
     checks += _nn("client_engagement", "has_approved_credit")
     checks.append(Check("expression", "commercial_kpis",
                         expression="total_clientes = clientes_ativos + clientes_em_risco "
@@ -286,12 +296,23 @@ def declared_checks(include_catalog: bool = True) -> list[Check]:
     checks += _un("driver_ranking", "impact_rank") + _nn("driver_ranking", "impact_rank")
     checks += _nn("driver_ranking", "sample_size")
     checks.append(Check("accepted_values", "driver_ranking", "direction",
-                        values=("positivo", "negativo", "indefinido")))
+                        values=DIRECTIONS))
     return checks
 
 
 # --- live quality dashboard (M-10) --------------------------------------------
 
+def _template(text: str, **values: Column) -> Column:
+    """``text`` with each ``{name}`` replaced by a column (string concatenation)."""
+    parts: list[Column] = []
+    for piece in re.split(r"(\{\w+\})", text):
+        if piece.startswith("{") and piece.endswith("}"):
+            parts.append(values[piece[1:-1]])
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)
+
+
 def _key_profile(model: str, df: DataFrame, key: str) -> DataFrame:
     """NULL keys and duplicated keys of one table from a single grouped aggregate.
 
@@ -326,8 +347,7 @@ def quality_dashboard(clients: DataFrame, agencies: DataFrame, accounts: DataFra
             F.lit(model).alias("model_name"), F.lit("client_id").alias("column_name"),
             F.lit("relationships").alias("test_type"), status.alias("status"),
             n.alias("failure_count"),
-            F.concat(F.lit("Found "), n.cast("string"),
-                     F.lit(f" {noun}(s) referencing non-existent client(s)")).alias("message"))
+            _template(ORPHAN_MESSAGE, n=n.cast("string"), noun=F.lit(noun)).alias("message"))
 
     parts = [orphans("stg_accounts", accounts.select("client_id"), "account"),
              orphans("stg_proposals", proposals.select("client_id"), "proposal")]
@@ -344,11 +364,11 @@ def quality_dashboard(clients: DataFrame, agencies: DataFrame, accounts: DataFra
     nulls = profiles.select(
         "model_name", "column_name", F.lit("not_null").alias("test_type"),
         outcome(F.col("nulls")).alias("status"), F.col("nulls").alias("failure_count"),
-        F.concat(F.lit("null check on "), F.col("column_name")).alias("message"))
+        _template(NULL_MESSAGE, column=F.col("column_name")).alias("message"))
     dups = profiles.select(
         "model_name", "column_name", F.lit("unique").alias("test_type"),
         outcome(F.col("dups")).alias("status"), F.col("dups").alias("failure_count"),
-        F.concat(F.lit("uniqueness check on "), F.col("column_name")).alias("message"))
+        _template(UNIQUE_MESSAGE, column=F.col("column_name")).alias("message"))
     return (reduce(DataFrame.unionByName, parts + [nulls, dups])
             .orderBy(F.col("status").desc_nulls_first(), F.col("model_name").asc_nulls_last(),
                      F.col("column_name").asc_nulls_last(), F.col("test_type").asc_nulls_last()))

@@ -56,14 +56,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests, a laptop) is a fallback set.
+    Only when the session names none is a folder set: the given ``fallback``
+    (a shared location), or, for a local master only (unit tests, a laptop),
+    a local scratch folder. A cluster without a configured shared folder is
+    an error, never a silent machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback or os.environ.get(
-        "LEDGERLAKE_CHECKPOINT_DIR", "/tmp/ledgerlake-checkpoints")
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if target is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; name a shared folder for it")
+        target = os.environ.get("LEDGERLAKE_CHECKPOINT_DIR", "/tmp/ledgerlake-checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
