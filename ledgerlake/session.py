@@ -1,8 +1,9 @@
 """SparkSession construction.
 
-The library never overrides settings the cluster already provides: every
-option below is applied only when the session has no value for it, so a
-cluster's shuffle sizing, checkpoint folder or warehouse wins.
+The library never overrides settings the cluster already provides: the
+plan-shaping defaults below are applied only where the cluster configuration
+has no value, so a cluster's shuffle sizing, checkpoint folder or warehouse
+wins. Only the settings results depend on (time zone, ANSI casts) are pinned.
 """
 
 from __future__ import annotations
@@ -34,11 +35,24 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "ledgerlake",
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session; local runs get a local master and small shuffles."""
+    """Create (or reuse) a session.
+
+    ``extra`` is applied as given (callers such as tests and the benchmark
+    size their local runs with it). ``DEFAULT_CONF`` only fills keys that
+    neither the cluster configuration (``spark-defaults``, submit options)
+    nor an already running session sets. ``REQUIRED_CONF`` is always applied.
+    """
+    from pyspark import SparkConf
+
+    active = SparkSession.getActiveSession()
+    cluster = SparkConf()  # spark-defaults and submit-time settings
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    for key, value in DEFAULT_CONF.items():
+        if not cluster.contains(key) and (active is None or active.conf.get(key, None) is None):
+            builder = builder.config(key, value)
+    for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     configure(spark)
