@@ -164,13 +164,22 @@ def _model_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
             value = F.count_if(in_set[g] & (F.col("__n") > 1))
         finals.append(value.cast("long").alias(f"__f{idx}"))
     wide = grouped.agg(*finals)
-    pairs = F.array(*[F.struct(F.lit(idx).alias("idx"), F.col(f"__f{idx}").alias("failures"))
-                      for idx, _ in checks])
-    return wide.select(F.inline(pairs))
+    rows = F.array(*[F.struct(*_meta(c), F.col(f"__f{idx}").alias("failures"))
+                     for idx, c in checks])
+    return wide.select(F.inline(rows))
 
 
-def _count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("long").alias("failures"))
+def _meta(check: Check) -> list[Column]:
+    """The descriptive columns of a test's result row, as literals."""
+    column = check.column or ",".join(check.columns) or None
+    return [F.lit(check.name).alias("test_name"), F.lit(check.kind).alias("test_type"),
+            F.lit(check.model).alias("model_name"),
+            F.lit(column).cast("string").alias("column_name"),
+            F.lit(check.severity).alias("severity")]
+
+
+def _count(df: DataFrame, check: Check) -> DataFrame:
+    return df.agg(*_meta(check), F.count(F.lit(1)).cast("long").alias("failures"))
 
 
 def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -185,16 +194,8 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
         parts.append(_model_counts(tables[model], sub))
     for idx, check in meta:
         if check.kind == "relationships":
-            parts.append(_count(failing_rows(check, tables)).select(
-                F.lit(idx).alias("idx"), "failures"))
-    counts = reduce(DataFrame.unionByName, parts)
-    spark = counts.sparkSession
-    info = spark.createDataFrame(
-        [(i, c.name, c.kind, c.model, c.column or ",".join(c.columns) or None, c.severity)
-         for i, c in meta],
-        "idx int, test_name string, test_type string, model_name string, "
-        "column_name string, severity string")
-    return F.broadcast(info).join(counts, "idx").drop("idx")
+            parts.append(_count(failing_rows(check, tables), check))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_status(counts: DataFrame) -> DataFrame:
