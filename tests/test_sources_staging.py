@@ -117,3 +117,13 @@ def test_reload_twice_same_counts_and_hash(spark):
     assert first == second
     assert fp1 == fp2
     assert first["transacoes"] == 6000
+
+
+def test_check_idempotent_reload_operator(spark):
+    from ledgerlake.operators.quality import check_idempotent_reload
+    from ledgerlake.sources.crosswalk import RawLayer
+    raw = RawLayer(spark, "/root/testdata/sf0.001").as_dict()
+    rows = {r["table_name"]: r for r in check_idempotent_reload(spark, raw, "raw_idem").collect()}
+    assert set(rows) == set(raw)
+    assert all(r["status"] == "pass" for r in rows.values())
+    assert rows["transacoes"]["rows_second"] == 6000
