@@ -164,22 +164,28 @@ def _model_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
             value = F.count_if(in_set[g] & (F.col("__n") > 1))
         finals.append(value.cast("long").alias(f"__f{idx}"))
     wide = grouped.agg(*finals)
-    rows = F.array(*[F.struct(*_meta(c), F.col(f"__f{idx}").alias("failures"))
-                     for idx, c in checks])
-    return wide.select(F.inline(rows))
+    rows = ", ".join(_meta_struct(c, f"__f{idx}") for idx, c in checks)
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
-def _meta(check: Check) -> list[Column]:
-    """The descriptive columns of a test's result row, as literals."""
+def _sql_str(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _meta_struct(check: Check, failures: str) -> str:
+    """SQL ``named_struct`` of one test's result row: its literal description and count."""
     column = check.column or ",".join(check.columns) or None
-    return [F.lit(check.name).alias("test_name"), F.lit(check.kind).alias("test_type"),
-            F.lit(check.model).alias("model_name"),
-            F.lit(column).cast("string").alias("column_name"),
-            F.lit(check.severity).alias("severity")]
+    return (f"named_struct('test_name', {_sql_str(check.name)}, "
+            f"'test_type', {_sql_str(check.kind)}, 'model_name', {_sql_str(check.model)}, "
+            f"'column_name', {_sql_str(column)}, 'severity', {_sql_str(check.severity)}, "
+            f"'failures', CAST({failures} AS BIGINT))")
 
 
 def _count(df: DataFrame, check: Check) -> DataFrame:
-    return df.agg(*_meta(check), F.count(F.lit(1)).cast("long").alias("failures"))
+    counted = df.agg(F.count(F.lit(1)).alias("__n"))
+    return counted.selectExpr(f"inline(array({_meta_struct(check, '__n')}))")
 
 
 def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -195,7 +201,7 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
     for idx, check in meta:
         if check.kind == "relationships":
             parts.append(_count(failing_rows(check, tables), check))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)  # every part has the same columns in the same order
 
 
 def with_status(counts: DataFrame) -> DataFrame:
