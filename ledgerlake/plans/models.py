@@ -9,9 +9,7 @@ recomputing it.
 
 from __future__ import annotations
 
-import os
-import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -82,6 +80,21 @@ class Models:
         raise KeyError(f"unknown model {name!r}")
 
 
+def build_levels() -> list[list[str]]:
+    """Marts grouped so that each level only reads staging and earlier levels."""
+    done = set(STAGING)
+    pending = list(MARTS)
+    levels: list[list[str]] = []
+    while pending:
+        level = [m for m in pending if all(d in done for d in MARTS[m][1])]
+        if not level:
+            raise ValueError(f"cycle among {pending}")
+        levels.append(level)
+        done.update(level)
+        pending = [m for m in pending if m not in level]
+    return levels
+
+
 def build_order() -> list[str]:
     """Staging views first, then marts with every mart after the marts it reads."""
     done: list[str] = list(STAGING)
@@ -96,38 +109,3 @@ def build_order() -> list[str]:
             raise ValueError(f"cycle among {pending}")
     return done
 
-
-def dependencies(names: Iterable[str]) -> set[str]:
-    """``names`` and every model they read, transitively."""
-    out: set[str] = set()
-    stack = list(names)
-    while stack:
-        name = stack.pop()
-        if name in out:
-            continue
-        out.add(name)
-        if name in MARTS:
-            stack.extend(MARTS[name][1])
-    return out
-
-
-def materialize(models: Models, names: Iterable[str], folder: str) -> dict[str, DataFrame]:
-    """Write each model in ``names`` once (dependencies first) and read it back.
-
-    Used when many consumers read the same models: each is computed exactly
-    once, downstream models read the written copy, and the copy cuts the
-    lineage (a lost executor recomputes from it, not from the sources).
-    ``folder`` must be a shared location, e.g. the session's checkpoint folder.
-    """
-    wanted = set(names)
-    run_dir = os.path.join(folder, f"models-{uuid.uuid4().hex}")
-    out: dict[str, DataFrame] = {}
-    for name in build_order():
-        if name not in wanted:
-            continue
-        path = os.path.join(run_dir, name)
-        models[name].write.mode("overwrite").parquet(path)
-        df = models[name].sparkSession.read.parquet(path)
-        models.replace(name, df)
-        out[name] = df
-    return out

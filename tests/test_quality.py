@@ -122,3 +122,15 @@ def test_load_checks(spark):
     assert check_rank_dense(gap, "r").collect()[0]["is_dense"] is False
     assert check_single_row(b).collect()[0]["is_single_row"] is True
     assert check_single_row(a).collect()[0]["is_single_row"] is False
+
+
+def test_assert_checks_pass_names_failures(spark):
+    import pytest
+
+    from ledgerlake.operators.quality import assert_checks_pass
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    ok = run_checks([Check("not_null", "t", "k")], {"t": df})
+    assert_checks_pass(ok)
+    bad = run_checks([Check("unique", "t", "k")], {"t": df})
+    with pytest.raises(AssertionError, match="unique_t_k=1"):
+        assert_checks_pass(bad)
