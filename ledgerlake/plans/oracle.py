@@ -242,17 +242,21 @@ _DRIVERS = (("saldo_total", "CAST(total_balance AS DOUBLE)"),
             ("tempo_relacionamento", "CAST(relationship_days AS DOUBLE)"),
             ("quantidade_contas", "CAST(account_count AS DOUBLE)"),
             ("posse_credito_aprovado", "CASE WHEN has_approved_credit THEN 1.0 ELSE 0.0 END"))
-_corr_cols = ",\n           ".join(
-    f"{_corr('CAST(transaction_count AS DOUBLE)', expr)} AS {name}" for name, expr in _DRIVERS)
-_long = "\n        UNION ALL ".join(
-    f"SELECT '{name}' AS driver, {name} AS r, n FROM one" for name, _ in _DRIVERS)
-_mart("driver_ranking", ("client_engagement",), f"""
+
+
+def driver_ranking_sql(drivers: tuple[tuple[str, str], ...] = _DRIVERS) -> str:
+    """Ranking of ``(name, SQL expression over client_engagement)`` drivers."""
+    y = "CAST(transaction_count AS DOUBLE)"
+    corr_cols = ",\n           ".join(f"{_corr(y, expr)} AS {name}" for name, expr in drivers)
+    long = "\n        UNION ALL ".join(
+        f"SELECT '{name}' AS driver, {name} AS r, n FROM one" for name, _ in drivers)
+    return f"""
     WITH one AS (
         SELECT count(*) AS n,
-           {_corr_cols}
+           {corr_cols}
         FROM client_engagement),
     per_driver AS (
-        {_long}),
+        {long}),
     scored AS (
         SELECT driver, r, n, r * sqrt((n - 2) / nullif(1 - pow(r, 2), 0)) AS t
         FROM per_driver WHERE r IS NOT NULL)
@@ -266,7 +270,16 @@ _mart("driver_ranking", ("client_engagement",), f"""
            round(CAST(t AS DECIMAL(38,18)), 2) AS t_statistic,
            abs(t) > 1.96 AS significant_at_5pct,
            row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, driver) AS impact_rank
-    FROM scored""")
+    FROM scored"""
+
+
+_mart("driver_ranking", ("client_engagement",), driver_ranking_sql())
+
+
+def with_extra_cte(sql: str, name: str, body: str) -> str:
+    """Insert one more CTE right before the final SELECT of a ``with_ctes`` query."""
+    head, _, final = sql.rpartition("\nSELECT ")
+    return f"{head},\n{name} AS ({body}\n)\nSELECT {final}"
 
 
 def with_ctes(body: str, *roots: str, rename: dict[str, str] | None = None) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.dashboards import DASHBOARDS, dash_volume_anomaly
+from ledgerlake.operators.drivers import DEFAULT_DRIVERS, driver_ranking
 from ledgerlake.plans.models import MARTS, STAGING, Models
 from ledgerlake.operators.quality import (
     Check,
@@ -382,6 +383,24 @@ def _cast_report_sql() -> str:
     return select_normalized(cols, f"({body}) q")
 
 
+# A driver that is constant on every engagement row (each row owns an account):
+# its correlation is undefined, so it must be dropped from the ranking.
+CONSTANT_DRIVER = ("possui_conta", "has_account")
+
+
+def _ranking_with_constant_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    engagement = models_for(spark, sf_dir)["client_engagement"]
+    with_flag = engagement.withColumn("has_account", F.col("account_count") >= F.lit(1))
+    return comparable(driver_ranking(with_flag, drivers=DEFAULT_DRIVERS + (CONSTANT_DRIVER,)))
+
+
+def _ranking_with_constant_driver_sql() -> str:
+    drivers = O._DRIVERS + ((CONSTANT_DRIVER[0], "CASE WHEN account_count >= 1 THEN 1.0 ELSE 0.0 END"),)
+    sql = O.with_ctes(select_normalized(MODEL_COLUMNS["driver_ranking"], "ranking"),
+                      "client_engagement")
+    return O.with_extra_cte(sql, "ranking", O.driver_ranking_sql(drivers))
+
+
 def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     queries: dict[str, QueryFn] = {}
     sql: dict[str, str] = {}
@@ -420,6 +439,8 @@ def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     for mart in ("commercial_kpis", "credit_kpis"):
         queries[f"single_row_{mart}"] = _single_row(mart)
         sql[f"single_row_{mart}"] = _single_row_sql(mart)
+    queries["driver_ranking_with_constant_driver"] = _ranking_with_constant_driver
+    sql["driver_ranking_with_constant_driver"] = _ranking_with_constant_driver_sql()
     queries["transaction_cast_report"] = _cast_report
     sql["transaction_cast_report"] = _cast_report_sql()
     return queries, sql
