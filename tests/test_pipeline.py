@@ -25,6 +25,14 @@ def test_pipeline_end_to_end(spark):
     views = {r["model_name"] for r in spark.table("marts.model_catalog").collect()
              if r["materialization"] == "view"}
     assert len(views) == 7
+    catalog = spark.table("marts.model_catalog")
+    assert catalog.columns == ["model_name", "schema_name", "materialization", "row_count",
+                               "total_size", "table_size", "description", "medallion_layer",
+                               "captured_at"]
+    listed = [(r["schema_name"], r["model_name"]) for r in catalog.collect()]
+    assert listed == sorted(listed)
+    engagement = [r for r in catalog.collect() if r["model_name"] == "client_engagement"][0]
+    assert engagement["row_count"] == 150 and engagement["description"]
     audit = spark.table("metadata.test_results")
     assert audit.count() == 69
     assert spark.table("metadata.model_runs").count() == 11
