@@ -33,3 +33,12 @@ def test_build_order_respects_dependencies():
     for name, (_, deps) in MARTS.items():
         assert all(order.index(d) < order.index(name) for d in deps), name
     assert set(order) == set(STAGING_SPECS) | set(MARTS)
+
+
+def test_command_line_requires_a_source():
+    import pytest
+
+    from ledgerlake.__main__ import main
+    with pytest.raises(SystemExit) as err:
+        main([])
+    assert err.value.code == 2
