@@ -20,6 +20,7 @@ from ledgerlake.plans.models import MARTS, STAGING, Models
 from ledgerlake.operators.quality import (
     Check,
     check_pk_duplicates,
+    check_pk_not_null,
     check_rank_dense,
     check_single_row,
     declared_checks,
@@ -338,6 +339,25 @@ def _pk_duplicates_sql() -> str:
                        "stg_accounts", "stg_proposals", "stg_transactions")
 
 
+def _pk_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = RawLayer(spark, sf_dir)
+    return comparable(check_pk_not_null({t: raw[t] for t in RAW_KEYS}, RAW_KEYS))
+
+
+def _pk_not_null_sql() -> str:
+    keys = {"stg_agencies": ("agencias", ["agency_id"]), "stg_clients": ("clientes", ["client_id"]),
+            "stg_employees": ("colaboradores", ["employee_id"]),
+            "stg_employee_agency": ("colaborador_agencia", ["employee_id", "agency_id"]),
+            "stg_accounts": ("contas", ["account_id"]),
+            "stg_proposals": ("propostas_credito", ["proposal_id"]),
+            "stg_transactions": ("transacoes", ["transaction_id"])}
+    body = " UNION ALL ".join(
+        f"SELECT '{raw}' AS table_name, count_if({' OR '.join(f'{k} IS NULL' for k in cols)}) "
+        f"AS null_keys FROM {stg}" for stg, (raw, cols) in keys.items())
+    return O.with_ctes(select_normalized([("table_name", ""), ("null_keys", "b")], f"({body}) q"),
+                       *keys)
+
+
 def _rank_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(check_rank_dense(models_for(spark, sf_dir)["driver_ranking"], "impact_rank"))
 
@@ -434,6 +454,8 @@ def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     sql["raw_load_gate"] = _raw_load_gate_sql()
     queries["pk_duplicates_raw"] = _pk_duplicates
     sql["pk_duplicates_raw"] = _pk_duplicates_sql()
+    queries["pk_not_null_raw"] = _pk_not_null
+    sql["pk_not_null_raw"] = _pk_not_null_sql()
     queries["rank_dense_driver_ranking"] = _rank_dense
     sql["rank_dense_driver_ranking"] = _rank_dense_sql()
     for mart in ("commercial_kpis", "credit_kpis"):
