@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import quality
+from ledgerlake.llm import quality, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
 
 
@@ -19,8 +19,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.learn_from(docs, read_table(spark, sf_dir, "labels")))
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel classifier scores under one half (operator 10)."""
+    return toxicity.clean_only(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("toxicity", toxicity_stage),
 ]
 
 #: The learned stages can't be written in SQL; tests hold run() against a brute-force version.

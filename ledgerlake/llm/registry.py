@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import quality
+from ledgerlake.llm import quality, toxicity
 from ledgerlake.llm.common import read_table
 
 
+def fold(n: int) -> Column:
+    """CRC-32 of the document id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the list is learned from ``labels.quality``."""
     docs = read_table(spark, sf_dir, "documents")
@@ -17,8 +23,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the labels of one fold in five are held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"), fold(5) != 0)
+    return toxicity.scored(docs, model, ["doc_id"]).select(
+        "doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
