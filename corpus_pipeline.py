@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import quality, toxicity
+from ledgerlake.llm import ngram_join, quality, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
 
 
@@ -24,9 +24,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.clean_only(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, that with the smallest id (operator 8)."""
+    return ngram_join.one_of_each(docs)
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("toxicity", toxicity_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
 ]
 
 #: The learned stages can't be written in SQL; tests hold run() against a brute-force version.

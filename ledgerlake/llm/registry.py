@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import quality, toxicity
+from ledgerlake.llm import ngram_join, quality, toxicity
 from ledgerlake.llm.common import read_table
 
 
@@ -23,6 +23,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document: five-word n-grams, similarity 0.8 or more."""
+    return ngram_join.join_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the labels of one fold in five are held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -34,6 +39,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_ngram_join": op8_ngram_join,
     "op10_toxicity": op10_toxicity,
 }
 
