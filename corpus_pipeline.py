@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import ngram_join, quality, toxicity
+from ledgerlake.llm import ngram_join, packing, quality, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
+from ledgerlake.llm.registry import word_vocabulary
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +30,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return ngram_join.one_of_each(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the documents' tokens and its place in a sequence (operator 1)."""
+    return packing.packed(docs, word_vocabulary())
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("toxicity", toxicity_stage),
     ("n-gram Jaccard join", near_duplicate_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: The learned stages can't be written in SQL; tests hold run() against a brute-force version.

@@ -90,27 +90,30 @@ class WordTable:
         self.compute, self.limit = compute, limit
         self.index: dict[str, int] = {}
         self.columns: list[np.ndarray] = []
+        self.restarts = 0
 
     def lookup(self, words: list[str]) -> np.ndarray:
         """Row numbers of ``words``; ``columns`` hold the rows."""
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if new and len(self.index) + len(new) > self.limit:
+        got = list(map(self.index.get, words))
+        if None not in got:
+            return np.array(got, np.int64)
+        new = list(dict.fromkeys([w for w, g in zip(words, got) if g is None]))
+        if self.index and len(self.index) + len(new) > self.limit:
             self.index.clear()
-            self.columns = []
+            self.restarts += 1
             new = list(dict.fromkeys(words))
-        if new:
-            n = len(self.index)
-            made = self.compute(new)
-            if not self.columns:
-                self.columns = [np.empty((max(1024, 2 * len(c)), *c.shape[1:]), c.dtype)
-                                for c in made]
-            for i, c in enumerate(made):
-                if n + len(c) > len(self.columns[i]):
-                    grown = np.empty((2 * (n + len(c)), *c.shape[1:]), c.dtype)
-                    grown[:n] = self.columns[i][:n]
-                    self.columns[i] = grown
-                self.columns[i][n:n + len(c)] = c
-            self.index.update(zip(new, range(n, n + len(new))))
+        n = len(self.index)
+        made = self.compute(new)
+        if not n:
+            self.columns = [np.empty((max(1024, 2 * len(c)), *c.shape[1:]), c.dtype)
+                            for c in made]
+        for i, c in enumerate(made):
+            if n + len(c) > len(self.columns[i]):
+                grown = np.empty((2 * (n + len(c)), *c.shape[1:]), c.dtype)
+                grown[:n] = self.columns[i][:n]
+                self.columns[i] = grown
+            self.columns[i][n:n + len(c)] = c
+        self.index.update(zip(new, range(n, n + len(new))))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
 

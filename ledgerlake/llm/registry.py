@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ngram_join, quality, toxicity
+from ledgerlake.llm import bpe, ngram_join, packing, quality, toxicity
 from ledgerlake.llm.common import read_table
 
 
@@ -16,6 +16,18 @@ def fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def word_vocabulary() -> str:
+    """Place of the public vocabulary file of the token operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of at most 2048."""
+    return packing.packed(read_table(spark, sf_dir, "documents"), word_vocabulary())
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the list is learned from ``labels.quality``."""
     docs = read_table(spark, sf_dir, "documents")
@@ -23,6 +35,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules)
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of ids, digest of the ids and of the decoded text of every document."""
+    return bpe.digests(read_table(spark, sf_dir, "documents"), word_vocabulary(), ["doc_id"])
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document: five-word n-grams, similarity 0.8 or more."""
     return ngram_join.join_classes(read_table(spark, sf_dir, "documents"))
@@ -38,7 +55,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_bpe_codec": op7_bpe_codec,
     "op8_ngram_join": op8_ngram_join,
     "op10_toxicity": op10_toxicity,
 }
