@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, ngram_join, packing, quality, toxicity
-from ledgerlake.llm.common import read_table
+from ledgerlake.llm import bpe, ngram_join, packing, quality, toxicity, url_rules, warc
+from ledgerlake.llm.common import read_table, scratch_path
 
 
 def fold(n: int) -> Column:
@@ -28,6 +28,30 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), word_vocabulary())
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back as transactions."""
+    archives = scratch_path(spark, "archives")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), archives)
+    return warc.digest_rows(warc.transactions(
+        warc.read_records(spark, archives, payloads=False)))
+
+
+#: Host, path and verdict of the rules that op3 judges by.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the longest fitting rule on every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the list is learned from ``labels.quality``."""
     docs = read_table(spark, sf_dir, "documents")
@@ -56,10 +80,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_warc": op2_warc,
+    "op3_url_filters": op3_url_filters,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_ngram_join": op8_ngram_join,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Host and path of a URL, as the contract cuts them.
+_URL_PARTS = """
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d
+  FROM pages),
+o AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN o.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN o.first < p.page_id THEN o.first END AS refers_to
+FROM p LEFT JOIN o ON o.d = p.d""",
+    "op3_url_filters": f"""
+WITH u AS ({_URL_PARTS}),
+r(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+f AS (
+  SELECT u.page_id, u.host, u.path,
+         arg_max(struct_pack(rule := rule_host || rule_path, verdict := rule_verdict),
+                 length(rule_host || rule_path)) FILTER (WHERE rule_host IS NOT NULL) AS best
+  FROM u LEFT JOIN r
+    ON (u.host = rule_host OR ends_with(u.host, '.' || rule_host))
+       AND starts_with(u.path, rule_path)
+  GROUP BY u.page_id, u.host, u.path)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM f""",
+}
