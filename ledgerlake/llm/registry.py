@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, ngram_join, packing, quality, toxicity, url_rules, warc
+from ledgerlake.llm import (
+    bpe,
+    language,
+    ngram_join,
+    packing,
+    quality,
+    toxicity,
+    url_rules,
+    warc,
+)
 from ledgerlake.llm.common import read_table, scratch_path
 
 
@@ -16,11 +25,16 @@ def fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
-def word_vocabulary() -> str:
-    """Place of the public vocabulary file of the token operators."""
+def vocabulary_path(name: str) -> str:
+    """Place of a public vocabulary file."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_vocabulary() -> str:
+    """The vocabulary of the token operators."""
+    return vocabulary_path("word_bpe_49k.json")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +66,16 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; one fold in four is held out of training."""
+    docs = read_table(spark, sf_dir, "documents")
+    pieces = vocabulary_path("piece_bpe_32k.model")
+    model = language.learn(docs, pieces, fold(4) != 2)
+    return language.predict(docs, model, pieces, ["doc_id"]).select(
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the list is learned from ``labels.quality``."""
     docs = read_table(spark, sf_dir, "documents")
@@ -82,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc": op2_warc,
     "op3_url_filters": op3_url_filters,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_ngram_join": op8_ngram_join,
