@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     bpe,
+    fingerprint,
     language,
     ngram_join,
     packing,
@@ -66,6 +67,13 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edit, and their likeness."""
+    docs = read_table(spark, sf_dir, "documents")
+    ranks = fingerprint.rank_table(fingerprint.level_counts(docs))
+    return fingerprint.compare_with_edits(docs, ranks)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; one fold in four is held out of training."""
     docs = read_table(spark, sf_dir, "documents")
@@ -106,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc": op2_warc,
     "op3_url_filters": op3_url_filters,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_codec": op7_bpe_codec,
