@@ -14,6 +14,7 @@ from ledgerlake.llm import (
     ngram_join,
     packing,
     quality,
+    quotation,
     toxicity,
     url_rules,
     warc,
@@ -101,6 +102,15 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_classes(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message's place in reply order, and its text without quotes as a digest."""
+    linked = quotation.link_quotations(read_table(spark, sf_dir, "conversations"))
+    return linked.select(
+        "conv_id", "turn", "role", "reply_to", "root_turn", "reply_depth", "quote_level",
+        "n_quoted_lines", "n_linked", F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the labels of one fold in five are held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -119,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_ngram_join": op8_ngram_join,
+    "op9_quotation_linking": op9_quotation_linking,
     "op10_toxicity": op10_toxicity,
 }
 
