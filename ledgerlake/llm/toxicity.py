@@ -19,7 +19,8 @@ Training takes a bounded sample of labelled documents (``MAX_TOXIC``,
 ``MAX_CLEAN``). Only documents carry labels, so the sentences are labelled in
 turns: the sentence of a toxic document that has the most associated words (in
 the next turn: the highest decision) is a positive, the worst sentence of a
-clean document a negative.
+clean document a negative. The second turn also gets the landmarks that the
+first one rejects with a character inserted, so that the margin covers them.
 
 Defined results: null and empty texts get the score of no sentence; labels of
 null or of missing documents are left out; of several labels the largest
@@ -46,7 +47,7 @@ from ledgerlake.llm.common import (
 
 ORDER, DECAY, POWER = 4, 0.6, 2
 SENTENCE = 64
-LANDMARKS = 48
+LANDMARKS = 96
 #: Labelled documents that the classifier is fitted on at most.
 MAX_TOXIC, MAX_CLEAN = 3000, 5000
 #: Longer words are compared in overlapping windows of this length.
@@ -386,6 +387,15 @@ def _logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-6), float(w[1])
 
 
+def _disguised(model: ToxicityModel) -> np.ndarray:
+    """Features of the landmarks that the model rejects, each with a character inserted."""
+    marks = Landmarks(model.landmarks)
+    own = marks.features(model.landmarks)
+    bad = [w for w, d in zip(model.landmarks, own @ model.weights + model.bias) if d > 0]
+    out = [w[:k] + "\u2022" + w[k:] for w in bad for k in range(2, len(w) - 1, 2)]
+    return marks.features(out) if out else np.zeros((0, len(model.landmarks)))
+
+
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) -> ToxicityModel:
     """A model from documents (``doc_id``, ``text``) and labels (``doc_id``, ``toxic``)."""
     sample = sample_of(docs, labels, allowed)
@@ -408,7 +418,9 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) ->
         decision = np.maximum(worst @ model.weights, 0) + model.bias
         # from now on: sentences of toxic documents that the model finds, all of clean ones
         found = (labels_ == 0) | (decision > 0)
-        x, y = np.concatenate([x, worst[found]]), np.concatenate([y, labels_[found]])
+        hidden = _disguised(model)
+        x = np.concatenate([x, worst[found], hidden])
+        y = np.concatenate([y, labels_[found], np.ones(len(hidden), np.int64)])
     model.slope, model.offset = _logistic(decision, labels_)
     return model
 
