@@ -2,6 +2,7 @@
 
 from ledgerlake.functions.exprs import (  # noqa: F401
     asc_pg,
+    banded,
     days_between,
     desc_pg,
     exact_mean,

@@ -83,13 +83,25 @@ def days_between(end: str | Column, start: str | Column) -> Column:
     return F.datediff(col_(end), col_(start))
 
 
-def recency_status(last_date: str | Column, days: str | Column,
-                   bands: Sequence[tuple[int, str]], never: str, otherwise: str) -> Column:
-    """Classify by recency: ``never`` if no activity, else the first band with days <= limit."""
-    expr = F.when(col_(last_date).isNull(), F.lit(never))
-    for limit, label in bands:
-        expr = expr.when(col_(days) <= F.lit(limit), F.lit(label))
-    return expr.otherwise(F.lit(otherwise))
+def banded(value: Column, bands: Sequence[tuple[float, str]], missing: str) -> Column:
+    """Label of the last of ``bands`` (lower bound, label; rising, the first open below) whose
+    bound the value reaches; ``missing`` for NULL."""
+    rows = [(low, F.struct(F.lit(float(low)).alias("low"), F.lit(label).alias("label")))
+            for low, label in bands]
+    reached = F.greatest(rows[0][1], *[F.when(value >= low, band) for low, band in rows[1:]])
+    return F.when(value.isNull(), F.lit(missing)).otherwise(reached["label"])
+
+
+def recency_status(days: str | Column, bands: Sequence[tuple[int, str]], never: str,
+                   otherwise: str) -> Column:
+    """Classify by whole days since the last activity (NULL: ``never``).
+
+    ``bands`` hold the last day that a label covers; ``otherwise`` follows the
+    last of them.
+    """
+    lows = [float("-inf"), *[limit + 1 for limit, _ in bands]]
+    labels = [*[label for _, label in bands], otherwise]
+    return banded(col_(days), list(zip(lows, labels)), never)
 
 
 def flag01(c: str | Column) -> Column:
@@ -108,7 +120,7 @@ def asc_pg(c: str | Column) -> Column:
 
 
 # Unit labels of a human-readable relation size.
-SIZE_UNITS = ("kB", "MB", "GB", "TB")
+SIZE_UNITS = ("kB", "MB", "GB", "TB", "PB")
 
 
 def pretty_size(nbytes: str | Column) -> Column:

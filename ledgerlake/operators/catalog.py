@@ -8,7 +8,6 @@ driver).
 
 from __future__ import annotations
 
-import fnmatch
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from ledgerlake.functions import pretty_size
 
 # Layer of each database and name patterns that are never listed.
 MEDALLION = {"raw": "bronze", "staging": "silver", "marts": "gold"}
-EXCLUDED_PATTERNS = ("pg_*", "dbt_*")
+EXCLUDED_PATTERNS = ("pg_%", "dbt_%")
 
 _STATS = re.compile(r"(\d+) bytes(?:, (\d+) rows)?")
 
@@ -34,6 +33,15 @@ def _statistics(spark: SparkSession, qualified: str) -> tuple[int, int]:
     return 0, 0
 
 
+def _listed(spark: SparkSession, db: str) -> list:
+    """Tables and views of a database, without those whose name is LIKE an excluded pattern."""
+    tables = {t.name: t for t in spark.catalog.listTables(db) if not t.isTemporary}
+    names = spark.createDataFrame([(n,) for n in tables], "name string")
+    for pattern in EXCLUDED_PATTERNS:
+        names = names.where(~F.col("name").like(pattern))
+    return [tables[r["name"]] for r in names.collect()]
+
+
 def model_catalog(spark: SparkSession, databases: tuple[str, ...] = ("raw", "staging", "marts"),
                   analyze: bool = True, known_rows: dict[str, int] | None = None) -> DataFrame:
     """One row per table or view of the layered databases.
@@ -51,9 +59,7 @@ def model_catalog(spark: SparkSession, databases: tuple[str, ...] = ("raw", "sta
     for db in databases:
         if not spark.catalog.databaseExists(db):
             continue
-        for t in spark.catalog.listTables(db):
-            if t.isTemporary or any(fnmatch.fnmatch(t.name, p) for p in EXCLUDED_PATTERNS):
-                continue
+        for t in _listed(spark, db):
             qualified = f"{db}.{t.name}"
             if t.tableType == "VIEW":
                 kind, nbytes, nrows = "view", 0, 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import days_between, exact_mean, exact_ratio, recency_status
-from ledgerlake.operators.activity import reference_date, transactions_by_account
+from ledgerlake.operators.activity import reference_date
 from ledgerlake.operators.credit import APPROVED, approved_clients
 
 # Engagement labels and recency limits in days (inclusive).
@@ -19,7 +19,7 @@ AT_RISK_DAYS = 360
 ENGAGEMENT_STATUSES = (ACTIVE, AT_RISK, CHURNED, NEVER_USED)
 
 
-def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
+def client_engagement(clients: DataFrame, accounts: DataFrame, usage: DataFrame,
                       proposals: DataFrame, active_days: int = ACTIVE_DAYS,
                       at_risk_days: int = AT_RISK_DAYS, approved: str = APPROVED) -> DataFrame:
     """M-05: one row per client that owns at least one account.
@@ -29,15 +29,15 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
     recency and tenure in days from the data set's latest transaction date,
     whether the client has an approved proposal, and the engagement status.
 
-    Plan: transactions are aggregated per account first (count, sum and max
-    compose exactly), so the join to accounts and the per-client aggregate
+    Plan: ``usage`` holds the transactions aggregated per account
+    (:func:`~ledgerlake.operators.activity.transactions_by_account`; count, sum
+    and max compose exactly), so the join to accounts and the per-client aggregate
     work on account-sized data. The per-client aggregate is hash-partitioned by client,
     and the joins to clients and approved clients reuse that partitioning.
     """
-    per_account = transactions_by_account(tx)
-    ref = reference_date(tx)
+    ref = reference_date(usage)
     per_client = (accounts.select("account_id", "client_id", "total_balance")
-                  .join(per_account, "account_id", "left")
+                  .join(usage, "account_id", "left")
                   .groupBy("client_id")
                   .agg(F.count(F.lit(1)).alias("account_count"),
                        F.sum("total_balance").alias("total_balance"),
@@ -66,8 +66,7 @@ def client_engagement(clients: DataFrame, accounts: DataFrame, tx: DataFrame,
         recency.alias("days_since_last_transaction"),
         days_between(ref, onboarding_day).alias("relationship_days"),
         F.col("_approved").isNotNull().alias("has_approved_credit"),
-        recency_status(last_date, recency,
-                       [(active_days, ACTIVE), (at_risk_days, AT_RISK)],
+        recency_status(recency, [(active_days, ACTIVE), (at_risk_days, AT_RISK)],
                        NEVER_USED, CHURNED).alias("engagement_status"),
     )
 

@@ -5,35 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows per key from which a key is treated as hot (split off the shuffle join).
-HOT_KEY_ROWS = 100_000
+#: Keys that are salted, at any size of the data.
+SALTED_KEYS = 32
 
 
-def hot_keys(big: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows of ``big``.
+def most_frequent(rows: DataFrame, key: str, most: int = SALTED_KEYS) -> list:
+    """The ``most`` most frequent values of ``key``: one partial-then-final count per key.
 
-    A partial-then-final count per key; the result has at most
-    ``rows(big) / min_rows`` keys, which is the size bound that makes it safe
-    to broadcast.
+    Runs a job; what reaches the driver is ``most`` values.
     """
-    return (big.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") >= F.lit(min_rows)).select(key))
+    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return [r[key] for r in counted.orderBy(F.desc("_rows"), key).limit(most).select(key).collect()]
 
 
-def join_splitting_hot_keys(big: DataFrame, per_key: DataFrame, key: str,
-                            min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def join_salting_frequent_keys(big: DataFrame, per_key: DataFrame, key: str, spread: str,
+                               most: int = SALTED_KEYS, salts: int | None = None) -> DataFrame:
     """Inner join of ``big`` with ``per_key`` (at most one row per key) on ``key``.
 
-    Rows of ``big`` whose key is hot are joined by broadcasting the matching
-    rows of ``per_key`` (at most one per hot key, so the broadcast is bounded
-    by the number of hot keys); all other rows take the ordinary shuffle join.
-    A key holding a third of ``big`` is therefore spread over all tasks of
-    ``big`` instead of landing in one shuffle partition. The two parts are
-    disjoint, so the union is exactly the inner join.
+    The rows of the most frequent keys are dealt over ``salts`` partitions (by
+    default the session's shuffle partitions) by a hash of ``spread``, and
+    those keys' rows of ``per_key`` are repeated once per salt: ``most`` times
+    ``salts`` rows more at any size. All other rows have salt 0. One join on
+    key and salt, whatever its physical kind, gives exactly the inner join.
     """
-    hot = F.broadcast(hot_keys(big, key, min_rows))
-    cold_part = big.join(hot, key, "left_anti").join(per_key, key, "inner")
-    hot_side = F.broadcast(per_key.join(hot, key, "left_semi"))
-    hot_part = big.join(hot, key, "left_semi").join(hot_side, key, "inner")
-    return cold_part.unionByName(hot_part)
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = most_frequent(big, key, most)
+    frequent = F.col(key).isin(hot) if hot else F.lit(False)
+    left = big.withColumn("_salt", F.when(
+        frequent, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    right = per_key.withColumn("_salt", F.explode(F.when(
+        frequent, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [key, "_salt"], "inner").drop("_salt")

@@ -14,7 +14,6 @@ small DataFrame whose result has one row per test.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -31,9 +30,9 @@ from ledgerlake.operators.engagement import ENGAGEMENT_STATUSES
 # and the live dashboard's message texts.
 PASS, FAIL, WARN = "pass", "fail", "warn"
 DASH_PASS, DASH_FAIL = "PASS", "FAIL"
-ORPHAN_MESSAGE = "Found {n} {noun}(s) referencing non-existent client(s)"
-NULL_MESSAGE = "null check on {column}"
-UNIQUE_MESSAGE = "uniqueness check on {column}"
+ORPHAN_MESSAGE = "Found %d %s(s) referencing non-existent client(s)"
+NULL_MESSAGE = "null check on %s"
+UNIQUE_MESSAGE = "uniqueness check on %s"
 
 ROW_LEVEL = ("not_null", "accepted_values", "expression", "range")
 
@@ -183,8 +182,21 @@ def _meta_struct(check: Check, failures: str) -> str:
             f"'failures', CAST({failures} AS BIGINT))")
 
 
-def _count(df: DataFrame, check: Check) -> DataFrame:
-    counted = df.agg(F.count(F.lit(1)).alias("__n"))
+def orphan_total(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """``__n``: rows of ``child`` whose ``key`` (NULL included) isn't a ``parent_key``.
+
+    The child is counted per key before the anti join, so a key or NULL that
+    holds a third of the rows crosses the shuffle as one row per task.
+    """
+    per_key = child.groupBy(F.col(key).alias("_child_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    known = parent.select(F.col(parent_key).alias("_parent_key"))
+    missing = per_key.join(known, F.col("_child_key") == F.col("_parent_key"), "left_anti")
+    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("__n"))
+
+
+def _orphan_count(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    child = tables[check.model].where(F.col(check.column).isNotNull())
+    counted = orphan_total(child, check.column, tables[check.to], check.to_column)
     return counted.selectExpr(f"inline(array({_meta_struct(check, '__n')}))")
 
 
@@ -200,7 +212,7 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
         parts.append(_model_counts(tables[model], sub))
     for idx, check in meta:
         if check.kind == "relationships":
-            parts.append(_count(failing_rows(check, tables), check))
+            parts.append(_orphan_count(check, tables))
     return reduce(DataFrame.union, parts)  # every part has the same columns in the same order
 
 
@@ -216,19 +228,22 @@ def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Data
     """Counts and outcome of every test, with a message (one row per test)."""
     result = with_status(check_counts(checks, tables))
     message = F.when(F.col("failures") == 0, F.lit("")).otherwise(
-        F.concat(F.lit("Got "), F.col("failures").cast("string"), F.lit(" results, configured to "),
+        F.concat(F.lit("Got "), F.col("failures").cast("string"),
+                 F.when(F.col("failures") == 1, F.lit(" result")).otherwise(F.lit(" results")),
+                 F.lit(", configured to "),
                  F.when(F.col("severity") == F.lit("warn"), F.lit("warn")).otherwise(F.lit("fail")),
                  F.lit(" if != 0")))
     return result.withColumn("message", message)
 
 
-def audit_rows(results: DataFrame) -> DataFrame:
-    """K-06: results shaped as the ``test_results`` audit table, stamped with the load time."""
+def audit_rows(results: DataFrame, stamp: Column | None = None) -> DataFrame:
+    """K-06: results shaped as the ``test_results`` audit table, stamped with the load time
+    (``stamp``, or now)."""
     return results.select(
         "test_name", "model_name",
         F.coalesce(F.col("column_name"), F.lit("N/A")).alias("column_name"),
         "status", "message",
-        F.current_timestamp().alias("executed_at"))
+        (F.current_timestamp() if stamp is None else stamp).alias("executed_at"))
 
 
 # --- the declared suite -----------------------------------------------------------
@@ -309,17 +324,6 @@ def declared_checks(include_catalog: bool = True) -> list[Check]:
 
 # --- live quality dashboard (M-10) --------------------------------------------
 
-def _template(text: str, **values: Column) -> Column:
-    """``text`` with each ``{name}`` replaced by a column (string concatenation)."""
-    parts: list[Column] = []
-    for piece in re.split(r"(\{\w+\})", text):
-        if piece.startswith("{") and piece.endswith("}"):
-            parts.append(values[piece[1:-1]])
-        elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
-
-
 def _key_profile(model: str, df: DataFrame, key: str) -> DataFrame:
     """NULL keys and duplicated keys of one table from a single grouped aggregate.
 
@@ -334,36 +338,31 @@ def _key_profile(model: str, df: DataFrame, key: str) -> DataFrame:
 
 
 def quality_dashboard(clients: DataFrame, agencies: DataFrame, accounts: DataFrame,
-                      proposals: DataFrame, strict_parity: bool = True) -> DataFrame:
+                      proposals: DataFrame, strict_parity: bool = False) -> DataFrame:
     """M-10: ten live checks as ``(model_name, column_name, test_type, status, failure_count, message)``.
 
     Orphan accounts and proposals (client id without a client, a NULL id
-    included), NULL keys and duplicated keys of four tables. With
-    ``strict_parity`` the two orphan checks report ``FAIL`` whatever the
-    count, as the reference's view does; without it they pass at zero.
+    included), NULL keys and duplicated keys of four tables. The two orphan
+    checks pass at zero like the others; with ``strict_parity`` they report
+    ``FAIL`` whatever the count.
     Sorted by status descending (PASS before FAIL), then model and column.
     """
-    known = clients.select(F.col("client_id").alias("_cid"))
-
     def orphans(model: str, df: DataFrame, noun: str) -> DataFrame:
-        missing = df.join(known, df["client_id"] == known["_cid"], "left_anti")
-        n = F.count(F.lit(1))
+        missing = orphan_total(df, "client_id", clients, "client_id")
+        n = F.col("__n")
         status = F.lit(DASH_FAIL) if strict_parity else \
             F.when(n == 0, F.lit(DASH_PASS)).otherwise(F.lit(DASH_FAIL))
-        return missing.agg(
+        return missing.select(
             F.lit(model).alias("model_name"), F.lit("client_id").alias("column_name"),
             F.lit("relationships").alias("test_type"), status.alias("status"),
             n.alias("failure_count"),
-            _template(ORPHAN_MESSAGE, n=n.cast("string"), noun=F.lit(noun)).alias("message"))
+            F.format_string(ORPHAN_MESSAGE, n, F.lit(noun)).alias("message"))
 
-    parts = [orphans("stg_accounts", accounts.select("client_id"), "account"),
-             orphans("stg_proposals", proposals.select("client_id"), "proposal")]
-    profiles = reduce(DataFrame.unionByName, [
-        _key_profile("stg_clients", clients, "client_id"),
-        _key_profile("stg_agencies", agencies, "agency_id"),
-        _key_profile("stg_proposals", proposals, "proposal_id"),
-        _key_profile("stg_accounts", accounts, "account_id"),
-    ])
+    tables = {"stg_clients": clients, "stg_agencies": agencies, "stg_proposals": proposals,
+              "stg_accounts": accounts}
+    profiles = reduce(DataFrame.unionByName,
+                      [_key_profile(model, tables[model], key) for model, key in _PROFILED])
+    parts = [orphans(model, tables[model], noun) for model, noun in _REFERRING]
 
     def outcome(n: Column) -> Column:
         return F.when(n == 0, F.lit(DASH_PASS)).otherwise(F.lit(DASH_FAIL))
@@ -371,16 +370,48 @@ def quality_dashboard(clients: DataFrame, agencies: DataFrame, accounts: DataFra
     nulls = profiles.select(
         "model_name", "column_name", F.lit("not_null").alias("test_type"),
         outcome(F.col("nulls")).alias("status"), F.col("nulls").alias("failure_count"),
-        _template(NULL_MESSAGE, column=F.col("column_name")).alias("message"))
+        F.format_string(NULL_MESSAGE, F.col("column_name")).alias("message"))
     dups = profiles.select(
         "model_name", "column_name", F.lit("unique").alias("test_type"),
         outcome(F.col("dups")).alias("status"), F.col("dups").alias("failure_count"),
-        _template(UNIQUE_MESSAGE, column=F.col("column_name")).alias("message"))
+        F.format_string(UNIQUE_MESSAGE, F.col("column_name")).alias("message"))
     return (reduce(DataFrame.unionByName, parts + [nulls, dups])
             .orderBy(F.col("status").desc_nulls_first(), F.col("model_name").asc_nulls_last(),
                      F.col("column_name").asc_nulls_last(), F.col("test_type").asc_nulls_last()))
 
 
+#: Tables of the dashboard whose key is profiled, and tables checked for orphans with their noun.
+_PROFILED = (("stg_clients", "client_id"), ("stg_agencies", "agency_id"),
+             ("stg_proposals", "proposal_id"), ("stg_accounts", "account_id"))
+_REFERRING = (("stg_accounts", "account"), ("stg_proposals", "proposal"))
+
+
+def quality_dashboard_view(name: str = "marts.quality_dashboard", db: str = "staging") -> str:
+    """K-04: the ``CREATE OR REPLACE VIEW`` text of M-10, so that it is live: every read
+    counts the staging layer as it is then."""
+    row = ("SELECT '{model}' AS model_name, '{key}' AS column_name, '{test}' AS test_type, "
+           "if({n} = 0, '" + DASH_PASS + "', '" + DASH_FAIL + "') AS status, "
+           "CAST({n} AS BIGINT) AS failure_count, format_string('{message}', {value}) AS message "
+           "FROM {source}")
+    parts = []
+    for model, noun in _REFERRING:
+        source = (f"(SELECT coalesce(sum(held), 0) AS n FROM (SELECT client_id, count(*) AS held "
+                  f"FROM {db}.{model} GROUP BY client_id) child LEFT ANTI JOIN {db}.stg_clients known "
+                  f"ON child.client_id = known.client_id) orphans")
+        parts.append(row.format(model=model, key="client_id", test="relationships", n="n",
+                                message=ORPHAN_MESSAGE, value=f"n, '{noun}'", source=source))
+    for model, key in _PROFILED:
+        source = (f"(SELECT coalesce(sum(if({key} IS NULL, held, 0)), 0) AS nulls, "
+                  f"count_if(held > 1) AS dups FROM (SELECT {key}, count(*) AS held "
+                  f"FROM {db}.{model} GROUP BY {key}) per_key) profile")
+        for test, n, message in (("not_null", "nulls", NULL_MESSAGE),
+                                 ("unique", "dups", UNIQUE_MESSAGE)):
+            parts.append(row.format(model=model, key=key, test=test, n=n, message=message,
+                                    value=f"'{key}'", source=source))
+    return (f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM (" + " UNION ALL ".join(parts)
+            + ") ORDER BY status DESC NULLS FIRST, model_name, column_name, test_type")
+
+
 # --- load checks (L-01 … L-08) ----------------------------------------------------
 
 def table_counts(tables: Mapping[str, DataFrame], label: str = "row_count") -> DataFrame:
@@ -400,9 +431,23 @@ def check_row_parity(source: Mapping[str, DataFrame], raw: Mapping[str, DataFram
                         .otherwise(F.lit(FAIL))))
 
 
-def csv_data_lines(spark, path: str) -> DataFrame:
-    """L-01 for a file: physical lines minus the header, counted distributed."""
-    return spark.read.text(path).agg((F.count(F.lit(1)) - F.lit(1)).alias("csv_rows"))
+def csv_records(spark, path: str, multiline: bool = True) -> DataFrame:
+    """L-01 for one or several files: data records (quoted newlines and each file's header
+    understood), counted distributed."""
+    from ledgerlake.sources.readers import csv_reader
+
+    return csv_reader(spark, multiline=multiline).csv(path).agg(F.count(F.lit(1)).alias("csv_rows"))
+
+
+def check_values_not_null(tables: Mapping[str, DataFrame],
+                          columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """L-06: rows with a NULL value, per table and column (``null_values``, ``status``)."""
+    counted = reduce(DataFrame.unionByName, [
+        tables[t].agg(F.count_if(F.col(c).isNull()).cast("long").alias("null_values"))
+        .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "null_values")
+        for t, cs in columns.items() for c in cs])
+    return counted.withColumn("status", F.when(F.col("null_values") == 0, F.lit(PASS))
+                              .otherwise(F.lit(FAIL)))
 
 
 def check_pk_not_null(tables: Mapping[str, DataFrame],
@@ -430,8 +475,13 @@ def check_pk_duplicates(tables: Mapping[str, DataFrame],
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
-    """One row: row count and an order-insensitive content hash (sum of row hashes)."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)")
+    """One row: row count and an order-insensitive content hash (sum of row hashes).
+
+    Each column is hashed with its NULL flag: a NULL leaves the hash of a row
+    as it was, so without the flag swapped columns would hash alike.
+    """
+    parts = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    row_hash = F.xxhash64(*parts).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_hash).alias("content_hash"))
 
 
@@ -462,17 +512,9 @@ def check_single_row(df: DataFrame) -> DataFrame:
         "is_single_row", F.col("row_count") == 1)
 
 
-def outcomes(df: DataFrame, limit: int = 10_000) -> list:
-    """Collect a check result; results are one row per test or table, never data rows."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("check result unexpectedly large; refusing to collect it")
-    return rows
-
-
 def assert_checks_pass(results: DataFrame, allowed: Iterable[str] = (PASS, WARN)) -> None:
     """Raise listing every test whose status is not allowed."""
-    bad = [r for r in outcomes(results) if r["status"] not in set(allowed)]
+    bad = results.where(~F.col("status").isin(*allowed)).collect()  # a row per failed test
     if bad:
         raise AssertionError("failed checks: " + ", ".join(
             f"{r['test_name']}={r['failures']}" for r in bad))

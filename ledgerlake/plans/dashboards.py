@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import asc_pg, desc_pg, exact_ratio
+from ledgerlake.functions import asc_pg, banded, desc_pg, exact_ratio
 from ledgerlake.operators.activity import DORMANT, NEVER_USED
 from ledgerlake.operators.credit import APPROVED
 from ledgerlake.operators.engagement import AT_RISK
@@ -188,13 +188,9 @@ def dash_cross_sell(opportunities: DataFrame) -> DataFrame:
 
 
 def _verdict():
-    """'Relevante' when significant with r² of at least 5 %, weak when significant
-    below that, no evidence otherwise (including an unknown significance)."""
-    sig = F.coalesce(F.col("significant_at_5pct"), F.lit(False))
-    r2 = F.col("r_squared_pct")
-    return (F.when(~sig | r2.isNull(), F.lit(NO_EVIDENCE))
-            .when(r2 < F.lit(RELEVANT_R2_PCT), F.lit(WEAK))
-            .otherwise(F.lit(RELEVANT)))
+    """What a driver's explained variance (in %) amounts to, if it is significant at all."""
+    evidence = F.when(F.col("significant_at_5pct"), F.col("r_squared_pct"))
+    return banded(evidence, [(float("-inf"), WEAK), (RELEVANT_R2_PCT, RELEVANT)], NO_EVIDENCE)
 
 
 def dash_driver_verdict(ranking: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from ledgerlake.operators import staging as stg
-from ledgerlake.operators.activity import account_activity
+from ledgerlake.operators.activity import account_activity, transactions_by_account
 from ledgerlake.operators.credit import agency_performance, credit_funnel, credit_kpis
 from ledgerlake.operators.cross_sell import cross_sell
 from ledgerlake.operators.drivers import driver_ranking
@@ -33,15 +33,21 @@ STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_transactions": ("transacoes", stg.stg_transactions),
 }
 
+# Shared intermediate -> (builder, upstream models): the pipeline writes it once, unlisted.
+SHARED: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "transactions_by_account": (transactions_by_account, ("stg_transactions",)),
+}
+
 # Mart -> (builder, upstream models in argument order).
 MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
-    "account_activity": (account_activity, ("stg_accounts", "stg_transactions")),
+    "account_activity": (account_activity, ("stg_accounts", "transactions_by_account")),
     "credit_funnel": (credit_funnel, ("stg_proposals",)),
     "agency_performance": (agency_performance,
                            ("stg_agencies", "stg_employee_agency", "stg_proposals")),
     "daily_volume": (daily_volume, ("stg_transactions",)),
     "client_engagement": (client_engagement,
-                          ("stg_clients", "stg_accounts", "stg_transactions", "stg_proposals")),
+                          ("stg_clients", "stg_accounts", "transactions_by_account",
+                           "stg_proposals")),
     "commercial_kpis": (commercial_kpis, ("client_engagement",)),
     "credit_kpis": (credit_kpis, ("credit_funnel",)),
     "cross_sell": (cross_sell, ("stg_accounts", "stg_clients", "stg_proposals")),
@@ -50,9 +56,6 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
                           ("stg_clients", "stg_agencies", "stg_accounts", "stg_proposals")),
 }
 
-# Layer of each model (raw tables are the bronze layer).
-LAYER = {**{name: "staging" for name in STAGING}, **{name: "marts" for name in MARTS}}
-
 
 class Models:
     """Lazily resolved model graph over a mapping of raw tables."""
@@ -74,15 +77,15 @@ class Models:
         if name in STAGING:
             raw_name, builder = STAGING[name]
             return builder(self.raw[raw_name])
-        if name in MARTS:
-            builder, deps = MARTS[name]
+        if name in MARTS or name in SHARED:
+            builder, deps = MARTS.get(name) or SHARED[name]
             return builder(*(self[d] for d in deps))
         raise KeyError(f"unknown model {name!r}")
 
 
 def build_levels() -> list[list[str]]:
     """Marts grouped so that each level only reads staging and earlier levels."""
-    done = set(STAGING)
+    done = {*STAGING, *SHARED}
     pending = list(MARTS)
     levels: list[list[str]] = []
     while pending:
@@ -101,7 +104,7 @@ def build_order() -> list[str]:
     pending = list(MARTS)
     while pending:
         for name in pending:
-            if all(d in done for d in MARTS[name][1]):
+            if all(d in done or d in SHARED for d in MARTS[name][1]):
                 done.append(name)
                 pending.remove(name)
                 break

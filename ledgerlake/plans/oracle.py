@@ -42,7 +42,8 @@ def ravg_decimal(x: str, in_scale: int, out_scale: int) -> str:
 
 # --- staging over the driver tables -----------------------------------------
 
-STATUS_CASE = ("CASE l_returnflag WHEN 'R' THEN 'Aprovada' WHEN 'A' THEN 'Em análise' "
+STATUS_CASE = ("CASE l_returnflag WHEN 'R' THEN CASE WHEN l_quantity > 45 THEN 'Aprovada' "
+               "ELSE 'Validação documentos' END WHEN 'A' THEN 'Em análise' "
                "WHEN 'N' THEN 'Enviada' END")
 
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
@@ -51,7 +52,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS city,
                CAST(NULL AS VARCHAR) AS state, CAST(NULL AS DATE) AS opening_date,
                r.r_name AS agency_type
-        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""),
+        FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""),
     "stg_clients": ((), """
         SELECT c.c_custkey AS client_id,
                regexp_extract(c.c_name, '^([^#]*)', 1) || ' ' || regexp_extract(c.c_name, '#(.*)$', 1)
@@ -78,9 +79,9 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_balance,
                CAST(NULL AS DECIMAL(18,2)) AS available_balance,
                CAST(NULL AS TIMESTAMP) AS last_posting_date
-        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""),
+        FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""),
     "stg_proposals": ((), f"""
-        SELECT l.l_orderkey AS proposal_id, o.o_custkey AS client_id, l.l_suppkey AS employee_id,
+        SELECT l.l_orderkey * 10 + l.l_linenumber AS proposal_id, o.o_custkey AS client_id, l.l_suppkey AS employee_id,
                l.l_shipdate AS proposal_date,
                CAST(l.l_discount AS DECIMAL(18,8)) AS monthly_interest_rate,
                CAST(l.l_extendedprice AS DECIMAL(18,2)) AS proposal_amount,
@@ -89,8 +90,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(NULL AS DECIMAL(18,2)) AS installment_amount,
                CAST(NULL AS INTEGER) AS installment_count, CAST(NULL AS INTEGER) AS grace_period,
                {STATUS_CASE} AS proposal_status
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-        WHERE l.l_linenumber = 1"""),
+        FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
     "stg_transactions": ((), """
         SELECT l_orderkey * 10 + l_linenumber AS transaction_id, l_orderkey AS account_id,
                l_shipdate AS transaction_at, l_returnflag AS transaction_type,
@@ -109,18 +109,25 @@ def _mart(name: str, deps: tuple[str, ...], sql: str) -> None:
 
 _REF = "(SELECT CAST(max(transaction_at) AS DATE) FROM stg_transactions)"
 
+
+def band_join(rows: str, bands: tuple[tuple[int, int, str], ...]) -> str:
+    """``rows`` (with ``days``) joined to the band of days, ends included; -1 stands for NULL."""
+    table = ", ".join(f"({low}, {high}, '{label}')" for low, high, label in bands)
+    return (f"({rows}) u JOIN (VALUES {table}) band(low, high, label) "
+            f"ON coalesce(u.days, -1) BETWEEN band.low AND band.high")
+
+
+_FAR = 10 ** 8
 _mart("account_activity", ("stg_accounts", "stg_transactions"), f"""
-    SELECT a.account_id AS account_sk, a.client_id AS client_fk, a.agency_id AS agency_fk,
-           a.total_balance,
-           CAST(l.last_at AS DATE) AS last_transaction_date,
-           {_REF} - CAST(l.last_at AS DATE) AS days_since_last_transaction,
-           CASE WHEN l.last_at IS NULL THEN 'never_used'
-                WHEN {_REF} - CAST(l.last_at AS DATE) > 90 THEN 'dormant'
-                ELSE 'active' END AS activity_status
-    FROM stg_accounts a
-    LEFT JOIN (SELECT account_id, max(transaction_at) AS last_at
-               FROM stg_transactions GROUP BY account_id) l
-           ON l.account_id = a.account_id""")
+    SELECT u.account_id AS account_sk, u.client_id AS client_fk, u.agency_id AS agency_fk,
+           u.total_balance, u.last_day AS last_transaction_date,
+           u.days AS days_since_last_transaction, band.label AS activity_status
+    FROM {band_join(f"""
+        SELECT a.*, used.last_day, {_REF} - used.last_day AS days
+        FROM stg_accounts a,
+             LATERAL (SELECT CAST(max(t.transaction_at) AS DATE) AS last_day
+                      FROM stg_transactions t WHERE t.account_id = a.account_id) used""",
+        ((-1, -1, "never_used"), (0, 90, "active"), (91, _FAR, "dormant")))}""")
 
 _mart("credit_funnel", ("stg_proposals",), f"""
     SELECT date_trunc('month', p.proposal_date) AS month, p.proposal_status,
@@ -156,38 +163,31 @@ def _daily_volume(tx: str) -> str:
 _mart("daily_volume", ("stg_transactions",), _daily_volume("stg_transactions"))
 _mart("daily_volume_events", ("stg_transactions_events",), _daily_volume("stg_transactions_events"))
 
-_ENG_REF = "(SELECT CAST(max(transaction_at) AS DATE) FROM stg_transactions)"
 _mart("client_engagement", ("stg_clients", "stg_accounts", "stg_transactions", "stg_proposals"), f"""
-    WITH holdings AS (
-        SELECT client_id, count(*) AS n_accounts, sum(total_balance) AS balance
-        FROM stg_accounts GROUP BY client_id),
-    usage AS (
-        SELECT a.client_id, count(t.transaction_id) AS n_tx, sum(t.transaction_amount) AS tx_sum,
-               max(t.transaction_at) AS last_at
-        FROM stg_accounts a LEFT JOIN stg_transactions t ON t.account_id = a.account_id
-        GROUP BY a.client_id),
-    per_client AS (
+    SELECT u.client_id AS client_sk, u.client_full_name, u.client_type,
+           u.since AS onboarding_date, u.accounts AS account_count, u.balance AS total_balance,
+           u.moves AS transaction_count, u.moved AS transaction_total_amount,
+           {rr('u.moves', 'u.accounts', 2)} AS avg_tx_per_account,
+           u.last_day AS last_transaction_date, u.days AS days_since_last_transaction,
+           {_REF} - u.since AS relationship_days, u.approvals > 0 AS has_approved_credit,
+           band.label AS engagement_status
+    FROM {band_join(f"""
         SELECT c.client_id, c.client_full_name, c.client_type,
-               CAST(c.onboarding_date AS DATE) AS since, h.n_accounts, h.balance,
-               coalesce(u.n_tx, 0) AS n_tx, coalesce(u.tx_sum, 0) AS tx_sum,
-               CAST(u.last_at AS DATE) AS last_day,
-               EXISTS (SELECT 1 FROM stg_proposals p
-                       WHERE p.client_id = c.client_id AND p.proposal_status = 'Aprovada') AS credit
-        FROM stg_clients c
-        JOIN holdings h ON h.client_id = c.client_id
-        LEFT JOIN usage u ON u.client_id = c.client_id)
-    SELECT client_id AS client_sk, client_full_name, client_type, since AS onboarding_date,
-           n_accounts AS account_count, balance AS total_balance, n_tx AS transaction_count,
-           tx_sum AS transaction_total_amount, {rr('n_tx', 'n_accounts', 2)} AS avg_tx_per_account,
-           last_day AS last_transaction_date,
-           {_ENG_REF} - last_day AS days_since_last_transaction,
-           {_ENG_REF} - since AS relationship_days,
-           credit AS has_approved_credit,
-           CASE WHEN last_day IS NULL THEN 'never_used'
-                WHEN {_ENG_REF} - last_day > 360 THEN 'churned'
-                WHEN {_ENG_REF} - last_day > 90 THEN 'at_risk'
-                ELSE 'active' END AS engagement_status
-    FROM per_client""")
+               CAST(c.onboarding_date AS DATE) AS since, held.accounts, held.balance,
+               used.moves, used.moved, used.last_day, {_REF} - used.last_day AS days,
+               asked.approvals
+        FROM stg_clients c,
+             LATERAL (SELECT count(*) AS accounts, sum(a.total_balance) AS balance
+                      FROM stg_accounts a WHERE a.client_id = c.client_id) held,
+             LATERAL (SELECT count(t.transaction_id) AS moves,
+                             coalesce(sum(t.transaction_amount), 0) AS moved,
+                             CAST(max(t.transaction_at) AS DATE) AS last_day
+                      FROM stg_accounts a JOIN stg_transactions t ON t.account_id = a.account_id
+                      WHERE a.client_id = c.client_id) used,
+             LATERAL (SELECT count(*) AS approvals FROM stg_proposals p
+                      WHERE p.client_id = c.client_id AND p.proposal_status = 'Aprovada') asked
+        WHERE held.accounts > 0""",
+        ((-1, -1, "never_used"), (0, 90, "active"), (91, 360, "at_risk"), (361, _FAR, "churned")))}""")
 
 _mart("commercial_kpis", ("client_engagement",), f"""
     SELECT n AS total_clientes, active AS clientes_ativos, risk AS clientes_em_risco,
@@ -205,7 +205,6 @@ _mart("commercial_kpis", ("client_engagement",), f"""
                  sum(transaction_count) AS tx, count(transaction_count) AS n_tx
           FROM client_engagement) k""")
 
-APPROVED_N = "sum(CASE WHEN proposal_status = 'Aprovada' THEN proposal_count ELSE 0 END)"
 _mart("credit_kpis", ("credit_funnel",), f"""
     SELECT total AS total_proposals, ok AS approved_proposals, other AS rejected_proposals,
            {rr('ok', 'total', 2, 100)} AS approval_rate_pct,
@@ -230,14 +229,6 @@ _mart("cross_sell", ("stg_accounts", "stg_clients", "stg_proposals"), """
                       WHERE p.client_id = a.client_id AND p.proposal_status = 'Aprovada')""")
 
 
-def _corr(y: str, x: str) -> str:
-    """corr with NULL for zero variance (DuckDB returns NaN there)."""
-    xs = f"CASE WHEN {y} IS NOT NULL THEN {x} END"
-    ys = f"CASE WHEN {x} IS NOT NULL THEN {y} END"
-    return (f"CASE WHEN min({xs}) < max({xs}) AND min({ys}) < max({ys}) "
-            f"THEN corr({y}, {x}) END")
-
-
 _DRIVERS = (("saldo_total", "CAST(total_balance AS DOUBLE)"),
             ("tempo_relacionamento", "CAST(relationship_days AS DOUBLE)"),
             ("quantidade_contas", "CAST(account_count AS DOUBLE)"),
@@ -245,32 +236,37 @@ _DRIVERS = (("saldo_total", "CAST(total_balance AS DOUBLE)"),
 
 
 def driver_ranking_sql(drivers: tuple[tuple[str, str], ...] = _DRIVERS) -> str:
-    """Ranking of ``(name, SQL expression over client_engagement)`` drivers."""
-    y = "CAST(transaction_count AS DOUBLE)"
-    corr_cols = ",\n           ".join(f"{_corr(y, expr)} AS {name}" for name, expr in drivers)
-    long = "\n        UNION ALL ".join(
-        f"SELECT '{name}' AS driver, {name} AS r, n FROM one" for name, _ in drivers)
+    """Ranking of ``(name, SQL expression over client_engagement)`` drivers.
+
+    One row per client and driver; Pearson's r from sums of centred products.
+    """
+    pairs = ", ".join(f"{{'driver': '{name}', 'x': CAST({expr} AS DOUBLE)}}"
+                      for name, expr in drivers)
     return f"""
-    WITH one AS (
-        SELECT count(*) AS n,
-           {corr_cols}
-        FROM client_engagement),
-    per_driver AS (
-        {long}),
-    scored AS (
-        SELECT driver, r, n, r * sqrt((n - 2) / nullif(1 - pow(r, 2), 0)) AS t
-        FROM per_driver WHERE r IS NOT NULL)
+    WITH observed AS (
+        SELECT d.driver, d.x, y, n
+        FROM (SELECT unnest([{pairs}]) AS d, CAST(transaction_count AS DOUBLE) AS y,
+                     count(*) OVER () AS n
+              FROM client_engagement) e),
+    centred AS (
+        SELECT driver, n, x - avg(x) OVER w AS dx, y - avg(y) OVER w AS dy,
+               min(x) OVER w < max(x) OVER w AND min(y) OVER w < max(y) OVER w AS varies
+        FROM observed WHERE x IS NOT NULL AND y IS NOT NULL
+        WINDOW w AS (PARTITION BY driver)),
+    related AS (
+        SELECT driver, max(n) AS n, sum(dx * dy) / sqrt(sum(dx * dx) * sum(dy * dy)) AS r
+        FROM centred WHERE varies GROUP BY driver)
     SELECT driver,
            round(CAST(r AS DECIMAL(38,18)), 4) AS correlation,
            round(CAST(abs(r) AS DECIMAL(38,18)), 4) AS abs_correlation,
-           round(CAST(pow(r, 2) * 100 AS DECIMAL(38,18)), 2) AS r_squared_pct,
-           CASE sign(r) WHEN 1 THEN 'positivo' WHEN -1 THEN 'negativo' ELSE 'indefinido' END
+           round(CAST(r * r * 100 AS DECIMAL(38,18)), 2) AS r_squared_pct,
+           list_extract(['negativo', 'indefinido', 'positivo'], 2 + CAST(sign(r) AS INTEGER))
                AS direction,
            n AS sample_size,
-           round(CAST(t AS DECIMAL(38,18)), 2) AS t_statistic,
-           abs(t) > 1.96 AS significant_at_5pct,
-           row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, driver) AS impact_rank
-    FROM scored"""
+           round(CAST(r / sqrt((1 - r * r) / (n - 2)) AS DECIMAL(38,18)), 2) AS t_statistic,
+           abs(r) > 1.96 * sqrt((1 - r * r) / (n - 2)) AS significant_at_5pct,
+           rank() OVER (ORDER BY abs(r) DESC, driver) AS impact_rank
+    FROM related"""
 
 
 _mart("driver_ranking", ("client_engagement",), driver_ranking_sql())
@@ -310,7 +306,8 @@ def with_ctes(body: str, *roots: str, rename: dict[str, str] | None = None) -> s
 def _orphans(model: str, noun: str) -> str:
     return f"""
         SELECT '{model}' AS model_name, 'client_id' AS column_name, 'relationships' AS test_type,
-               'FAIL' AS status, count(*) AS failure_count,
+               CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+               count(*) AS failure_count,
                'Found ' || count(*) || ' {noun}(s) referencing non-existent client(s)' AS message
         FROM {model} c LEFT JOIN stg_clients cl ON c.client_id = cl.client_id
         WHERE cl.client_id IS NULL"""
@@ -390,6 +387,6 @@ def checks_sql(checks) -> str:
     body = "\n UNION ALL ".join(rows)
     return f"""SELECT *,
         CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status,
-        CASE WHEN failures = 0 THEN '' ELSE 'Got ' || failures || ' results, configured to '
+        CASE WHEN failures = 0 THEN '' ELSE 'Got ' || failures || ' ' || CASE WHEN failures = 1 THEN 'result' ELSE 'results' END || ', configured to '
              || CASE WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END || ' if != 0' END AS message
     FROM ({body}) t"""

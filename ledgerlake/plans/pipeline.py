@@ -8,16 +8,23 @@ recomputes from the last written table, never from the raw sources).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators.catalog import model_catalog
-from ledgerlake.operators.quality import audit_rows, declared_checks, run_checks
+from ledgerlake.operators.quality import (
+    audit_rows,
+    declared_checks,
+    quality_dashboard_view,
+    run_checks,
+)
 from ledgerlake.operators.staging import STAGING_SPECS, view_sql
-from ledgerlake.plans.models import MARTS, Models, build_levels
+from ledgerlake.plans.models import MARTS, SHARED, Models, build_levels
 from ledgerlake.session import configure
 from ledgerlake.sources.gate import validate_load
 from ledgerlake.sources.sinks import (
@@ -31,21 +38,28 @@ from ledgerlake.sources.sinks import (
     set_comment,
 )
 
-# Marts written at the same time (the reference's model runner used 4 threads).
+# Marts written at the same time.
 PARALLEL_MODELS = 4
+#: Database of intermediates that several marts read (not listed by the catalog).
+SHARED_DB = "work"
+
+#: Marts that are views: read live, never written (model -> text of the view).
+VIEWS = {"quality_dashboard": quality_dashboard_view}
+
 
 MODEL_DOCS = {
-    "account_activity": "Account activity classification (active, dormant, never_used).",
-    "credit_funnel": "Credit proposal funnel aggregated by month and status.",
-    "agency_performance": "Agency-level credit proposal performance and conversion rates.",
-    "daily_volume": "Daily transaction volume by type with per-account averages.",
-    "client_engagement": "Client engagement: transactions, recency, status, balance, credit.",
-    "commercial_kpis": "Single-row commercial KPIs over client engagement.",
-    "credit_kpis": "Single-row summary of credit KPIs.",
-    "cross_sell": "High-balance accounts of clients without approved credit.",
-    "driver_ranking": "Pearson ranking of engagement drivers with t-statistic.",
-    "quality_dashboard": "Live data-quality checks on the staging layer.",
-    "model_catalog": "Catalog of the layered tables and views.",
+    "account_activity": "When each account was last used, and whether that makes it active, "
+                        "dormant or never used",
+    "credit_funnel": "How many proposals of which amount stood in each status, month by month",
+    "agency_performance": "Proposals that an agency's employees brought in, and the share approved",
+    "daily_volume": "Transactions and accounts in use per calendar day and kind of transaction",
+    "client_engagement": "What each account holder owns and does, and how engaged that makes them",
+    "commercial_kpis": "Headline numbers of the client base in one row",
+    "credit_kpis": "Headline numbers of the credit business in one row",
+    "cross_sell": "Well-filled accounts whose owners have no approved credit yet",
+    "driver_ranking": "Client properties by how strongly they go along with transaction counts",
+    "quality_dashboard": "Orphans, missing keys and repeated keys of the staging layer, as of now",
+    "model_catalog": "Every table and view of the layers, with size, rows and description",
 }
 
 
@@ -100,31 +114,65 @@ def run_pipeline(spark: SparkSession, raw_tables: Mapping[str, DataFrame],
     for name in STAGING_SPECS:
         models.replace(name, spark.table(f"staging.{name}"))
     mart_counts: dict[str, int] = {}
-    runs = []
-    with ThreadPoolExecutor(max_workers=parallel_models) as pool:
-        for level in build_levels():
-            plans = {name: models[name] for name in level}  # built on this thread
-            futures = {name: pool.submit(overwrite_table, df, f"marts.{name}")
-                       for name, df in plans.items()}
-            for name in level:
-                n = futures[name].result()
-                set_comment(spark, f"marts.{name}", MODEL_DOCS.get(name))
-                models.replace(name, spark.table(f"marts.{name}"))
-                mart_counts[name] = n
-                runs.append((name, "table", "marts", n, "success", ""))
-
-    known = {f"raw.{t}": n for t, n in raw_counts.items()}
-    known.update({f"marts.{t}": n for t, n in mart_counts.items()})
-    catalog = model_catalog(spark, known_rows=known)
-    mart_counts["model_catalog"] = overwrite_table(catalog, "marts.model_catalog")
-    set_comment(spark, "marts.model_catalog", MODEL_DOCS["model_catalog"])
-    runs.append(("model_catalog", "table", "marts", mart_counts["model_catalog"], "success", ""))
-    append_rows(model_run_rows(spark, runs), "metadata.model_runs")
-
-    # 4. declared tests over the written layers, appended to the audit table
-    # (one row per test; checkpointed so the append and the outcome list share one run)
-    results = run_checks(declared_checks(), _Catalog(spark)).checkpoint()
-    append_rows(audit_rows(results), "metadata.test_results")
+    runs: list[tuple[str, str, str, int, str, str]] = []
+    try:
+        # what several marts read, made once
+        create_layers(spark, (SHARED_DB,))
+        for name in SHARED:
+            overwrite_table(models[name], f"{SHARED_DB}.{name}")
+            models.replace(name, spark.table(f"{SHARED_DB}.{name}"))
+        with ThreadPoolExecutor(max_workers=parallel_models) as pool:
+            for level in build_levels():
+                _build_level(spark, models, level, pool, runs, mart_counts)
+        known = {f"raw.{t}": n for t, n in raw_counts.items()}
+        known.update({f"marts.{t}": n for t, n in mart_counts.items()})
+        rows = _recorded(runs, "model_catalog", lambda: overwrite_table(
+            model_catalog(spark, known_rows=known), "marts.model_catalog"))
+        mart_counts["model_catalog"] = rows
+        set_comment(spark, "marts.model_catalog", MODEL_DOCS["model_catalog"])
+    finally:  # a failed run leaves its record too
+        if runs:
+            append_rows(model_run_rows(spark, runs), "metadata.model_runs")
+
+    # 4. declared tests over the written layers: appended to the audit table,
+    #    then this run's batch is read back from it
+    stamp = F.lit(dt.datetime.now(dt.timezone.utc))
+    append_rows(audit_rows(run_checks(declared_checks(), _Catalog(spark)), stamp),
+                "metadata.test_results")
+    results = spark.table("metadata.test_results").where(F.col("executed_at") == stamp)
     failed = sorted(r["test_name"] for r in
                     results.where("status = 'fail'").select("test_name").collect())
     return PipelineResult(raw_counts, mart_counts, results, failed)
+
+
+def _recorded(runs: list, name: str, write, kind: str = "table") -> int:
+    """Rows written by ``write()``; the outcome, success or failure, is added to ``runs``."""
+    try:
+        rows = write()
+    except Exception as e:
+        runs.append((name, kind, "marts", 0, "error", str(e).splitlines()[0][:500]))
+        raise
+    runs.append((name, kind, "marts", rows, "success", ""))
+    return rows
+
+
+def _build_level(spark: SparkSession, models: Models, level: list[str],
+                 pool: ThreadPoolExecutor, runs: list, counts: dict[str, int]) -> None:
+    """Build the marts of a level together; the first failure is raised when all have ended."""
+    plans = {name: models[name] for name in level if name not in VIEWS}  # built on this thread
+    futures = {name: pool.submit(overwrite_table, df, f"marts.{name}")
+               for name, df in plans.items()}
+    failure = None
+    for name in level:
+        try:
+            if name in VIEWS:
+                _recorded(runs, name, lambda n=name: create_view(spark, VIEWS[n](f"marts.{n}")) or 0,
+                          "view")
+            else:
+                counts[name] = _recorded(runs, name, futures[name].result)
+                set_comment(spark, f"marts.{name}", MODEL_DOCS.get(name))
+            models.replace(name, spark.table(f"marts.{name}"))
+        except Exception as e:  # the others of the level still get their records
+            failure = failure or e
+    if failure is not None:
+        raise failure

@@ -19,10 +19,13 @@ from ledgerlake.operators.drivers import DEFAULT_DRIVERS, driver_ranking
 from ledgerlake.plans.models import MARTS, STAGING, Models
 from ledgerlake.operators.quality import (
     Check,
+    audit_rows,
     check_pk_duplicates,
     check_pk_not_null,
     check_rank_dense,
+    check_row_parity,
     check_single_row,
+    check_values_not_null,
     declared_checks,
     run_checks,
 )
@@ -89,7 +92,7 @@ def _q(c: str) -> str:
     return '"' + c.replace('"', '""') + '"'
 
 
-# Output columns of each model with how the oracle normalizes them:
+# Output columns of each model, with how the oracle normalizes them:
 # "d" double, "b" bigint, "" unchanged.
 MODEL_COLUMNS: dict[str, list[tuple[str, str]]] = {
     "stg_agencies": [("agency_id", "b"), ("agency_name", ""), ("address", ""), ("city", ""),
@@ -179,18 +182,19 @@ DASHBOARD_SQL: dict[str, tuple[str, list[tuple[str, str]]]] = {
         FROM driver_ranking""",
         [("impact_rank", "b"), ("driver", ""), ("correlation", "d"), ("direction", ""),
          ("significant_at_5pct", "")]),
-    "dash_total_proposals": ("SELECT sum(proposal_count) AS total_proposals FROM credit_funnel",
+    "dash_total_proposals": ("SELECT count(*) AS total_proposals FROM stg_proposals",
                              [("total_proposals", "b")]),
-    "dash_approval_rate": (f"""SELECT {O.rr(O.APPROVED_N, 'sum(proposal_count)', 2, 100)}
-        AS approval_rate_pct FROM credit_funnel""", [("approval_rate_pct", "d")]),
-    "dash_financed_amount": ("""SELECT round(sum(CASE WHEN proposal_status = 'Aprovada'
-        THEN total_proposal_amount ELSE 0 END), 2) AS total_financed_amount FROM credit_funnel""",
-        [("total_financed_amount", "d")]),
+    # these four cards are counted from the proposals themselves, not from the funnel mart
+    "dash_approval_rate": (f"""SELECT {O.rr("count(*) FILTER (WHERE proposal_status = 'Aprovada')",
+        'count(*)', 2, 100)} AS approval_rate_pct FROM stg_proposals""",
+        [("approval_rate_pct", "d")]),
+    "dash_financed_amount": ("""SELECT coalesce(sum(proposal_amount)
+        FILTER (WHERE proposal_status = 'Aprovada'), 0) AS total_financed_amount
+        FROM stg_proposals""", [("total_financed_amount", "d")]),
     "dash_funnel_monthly": ("SELECT month, proposal_status, proposal_count FROM credit_funnel",
                             [("month", ""), ("proposal_status", ""), ("proposal_count", "b")]),
-    "dash_funnel_by_status": ("""SELECT proposal_status, sum(proposal_count) AS total,
-        round(sum(total_proposal_amount), 2) AS total_amount FROM credit_funnel
-        GROUP BY proposal_status""",
+    "dash_funnel_by_status": ("""SELECT proposal_status, count(*) AS total,
+        sum(proposal_amount) AS total_amount FROM stg_proposals GROUP BY ALL""",
         [("proposal_status", ""), ("total", "b"), ("total_amount", "d")]),
     "dash_agency_conversion": ("""SELECT agency_name, agency_type, total_proposals, approved_proposals,
         conversion_rate_pct, round(total_proposal_amount, 2) AS total_proposal_amount
@@ -220,9 +224,10 @@ DASHBOARD_SQL: dict[str, tuple[str, list[tuple[str, str]]]] = {
         FROM cross_sell""", MODEL_COLUMNS["cross_sell"]),
 }
 
-_VERDICT = """CASE WHEN significant_at_5pct IS NOT TRUE OR r_squared_pct IS NULL THEN 'Sem evidência'
-             WHEN r_squared_pct < 5 THEN 'Significativo mas fraco'
-             ELSE 'Relevante' END"""
+# the label of the highest bound that a significant driver's explained variance reaches
+_VERDICT = """coalesce((SELECT arg_max(label, low)
+        FROM (VALUES (-1, 'Significativo mas fraco'), (5, 'Relevante')) b(low, label)
+        WHERE significant_at_5pct AND low <= r_squared_pct), 'Sem evidência')"""
 DASHBOARD_SQL["dash_driver_verdict"] = (
     f"""SELECT impact_rank, driver, correlation, direction, significant_at_5pct, r_squared_pct,
         sample_size, {_VERDICT} AS verdict FROM driver_ranking""",
@@ -403,6 +408,79 @@ def _cast_report_sql() -> str:
     return select_normalized(cols, f"({body}) q")
 
 
+def _row_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-01: every row of the driver's tables reaches its raw table."""
+    raw, driver = RawLayer(spark, sf_dir), DriverTables(spark, sf_dir)
+    return comparable(check_row_parity({t: driver.table(s) for t, s in SOURCE_OF.items()},
+                                       {t: raw[t] for t in SOURCE_OF}))
+
+
+def _row_parity_sql() -> str:
+    of = {"agencias": "stg_agencies", "clientes": "stg_clients", "colaboradores": "stg_employees",
+          "colaborador_agencia": "stg_employee_agency", "contas": "stg_accounts",
+          "propostas_credito": "stg_proposals", "transacoes": "stg_transactions"}
+    rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {SOURCE_OF[t]}) AS source_rows, "
+        f"(SELECT count(*) FROM {stg}) AS raw_rows" for t, stg in of.items())
+    body = f"SELECT *, if(source_rows = raw_rows, 'pass', 'fail') AS status FROM ({rows}) c"
+    return O.with_ctes(select_normalized(
+        [("table_name", ""), ("source_rows", "b"), ("raw_rows", "b"), ("status", "")],
+        f"({body}) q"), *of.values())
+
+
+#: Raw table -> the driver's table that its rows come from.
+SOURCE_OF = {"agencias": "nation", "clientes": "customer", "colaboradores": "supplier",
+             "colaborador_agencia": "supplier", "contas": "orders",
+             "propostas_credito": "lineitem", "transacoes": "lineitem"}
+#: L-06: columns whose values must be there (the last one is NULL in the driver's data).
+FILLED = {"transacoes": ["valor_transacao", "data_transacao"], "contas": ["saldo_total"],
+          "propostas_credito": ["valor_proposta", "valor_financiamento"]}
+
+
+def _values_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = RawLayer(spark, sf_dir)
+    return comparable(check_values_not_null({t: raw[t] for t in FILLED}, FILLED))
+
+
+def _values_not_null_sql() -> str:
+    stg = {("transacoes", "valor_transacao"): "stg_transactions.transaction_amount",
+           ("transacoes", "data_transacao"): "stg_transactions.transaction_at",
+           ("contas", "saldo_total"): "stg_accounts.total_balance",
+           ("propostas_credito", "valor_proposta"): "stg_proposals.proposal_amount",
+           ("propostas_credito", "valor_financiamento"): "stg_proposals.financing_amount"}
+    rows = []
+    for (t, c), place in stg.items():
+        table, column = place.split(".")
+        rows.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                    f"count(*) - count({column}) AS null_values FROM {table}")
+    body = (f"SELECT *, if(null_values = 0, 'pass', 'fail') AS status "
+            f"FROM ({' UNION ALL '.join(rows)}) c")
+    return O.with_ctes(select_normalized(
+        [("table_name", ""), ("column_name", ""), ("null_values", "b"), ("status", "")],
+        f"({body}) q"), "stg_transactions", "stg_accounts", "stg_proposals")
+
+
+def _transactions_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-07 over a text landing: every column arrives as text and is parsed by staging."""
+    landed = RawLayer(spark, sf_dir)["transacoes"]
+    text = landed.select([F.col(c).cast("string").alias(c) for c in landed.columns])
+    return comparable(STAGING["stg_transactions"][1](text))
+
+
+def _test_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-06: the audit rows of the declared suite, without their time stamp."""
+    checks = declared_checks(include_catalog=False)
+    return comparable(audit_rows(run_checks(checks, models_for(spark, sf_dir))).drop("executed_at"))
+
+
+def _test_results_sql() -> str:
+    checks = declared_checks(include_catalog=False)
+    models = sorted({c.model for c in checks} | {c.to for c in checks if c.to})
+    body = (f"SELECT test_name, model_name, coalesce(column_name, 'N/A') AS column_name, status, "
+            f"message FROM ({O.checks_sql(checks)}) r")
+    return O.with_ctes(body, *models)
+
+
 # A driver that is constant on every engagement row (each row owns an account):
 # its correlation is undefined, so it must be dropped from the ranking.
 CONSTANT_DRIVER = ("possui_conta", "has_account")
@@ -463,6 +541,14 @@ def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
         sql[f"single_row_{mart}"] = _single_row_sql(mart)
     queries["driver_ranking_with_constant_driver"] = _ranking_with_constant_driver
     sql["driver_ranking_with_constant_driver"] = _ranking_with_constant_driver_sql()
+    queries["row_parity_raw"] = _row_parity
+    sql["row_parity_raw"] = _row_parity_sql()
+    queries["values_not_null_raw"] = _values_not_null
+    sql["values_not_null_raw"] = _values_not_null_sql()
+    queries["stg_transactions_text"] = _transactions_from_text
+    sql["stg_transactions_text"] = model_oracle("stg_transactions")
+    queries["test_results"] = _test_results
+    sql["test_results"] = _test_results_sql()
     queries["transaction_cast_report"] = _cast_report
     sql["transaction_cast_report"] = _cast_report_sql()
     return queries, sql

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 RATE = T.DecimalType(18, 8)
 
+# Column names and types of the source tables.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "agencias": T.StructType([
         T.StructField("cod_agencia", T.IntegerType()),
@@ -99,6 +100,7 @@ RELATIONAL_TABLES = ("agencias", "clientes", "colaboradores", "colaborador_agenc
 CSV_TABLES = ("transacoes",)
 RAW_TABLES = RELATIONAL_TABLES + CSV_TABLES
 
+# Columns of the two audit tables.
 TEST_RESULTS_SCHEMA = T.StructType([
     T.StructField("test_name", T.StringType()),
     T.StructField("model_name", T.StringType()),

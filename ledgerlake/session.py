@@ -2,14 +2,11 @@
 
 The library never overrides settings the cluster already provides: the
 plan-shaping defaults below are applied only where the cluster configuration
-has no value, so a cluster's shuffle sizing, checkpoint folder or warehouse
-wins. Only the settings results depend on (time zone, ANSI casts) are pinned.
+has no value, so a cluster's shuffle sizing or warehouse wins. Only the settings results depend on (time zone, ANSI casts) are pinned.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every model relies on for correct results.
@@ -63,26 +60,4 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; leave the rest to the cluster."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    Only when the session names none is a folder set: the given ``fallback``
-    (a shared location), or, for a local master only (unit tests, a laptop),
-    a local scratch folder. A cluster without a configured shared folder is
-    an error, never a silent machine-local folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if target is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; name a shared folder for it")
-        target = os.environ.get("LEDGERLAKE_CHECKPOINT_DIR", "/tmp/ledgerlake-checkpoints")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target

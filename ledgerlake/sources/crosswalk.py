@@ -7,13 +7,16 @@ scans are pruned to the columns the downstream model actually uses.
 
 Mapping (driver -> raw):
 
+Joins are left joins: a row without its partner is kept, so that the checks
+for orphans see it.
+
 * agencias: nation joined to region (agency = nation, type = region name)
 * clientes: customer, onboarding = first order date of the customer; the
   customer name ``Prefix#Number`` is split into first and last name
 * colaboradores, colaborador_agencia: supplier (agency = supplier nation)
 * contas: orders joined to customer (account = order, agency = customer nation)
-* propostas_credito: first line of each order joined to its order; status
-  from the return flag
+* propostas_credito: every line item joined to its order (proposal id =
+  orderkey * 10 + linenumber); status from the return flag and quantity
 * transacoes: lineitem (id = orderkey * 10 + linenumber, account = order) or,
   for the daily-volume views, the ``events`` table
 """
@@ -49,8 +52,14 @@ DRIVER_SCHEMAS = {
     "labels": "doc_id long, quality int, toxic int",
 }
 
-# Proposal status per return flag of the proposal's line item.
-STATUS_BY_RETURN_FLAG = {"R": "Aprovada", "A": "Em análise", "N": "Enviada"}
+# Proposal status of a line item. Of the returned lines only
+# those of a large quantity count as approved, so that some clients have an
+# approved proposal and some none, though every line is a proposal.
+APPROVED_ABOVE_QUANTITY = 45
+STATUS_OF_LINE = (f"CASE WHEN l_returnflag = 'R' AND l_quantity > {APPROVED_ABOVE_QUANTITY} "
+                  "THEN 'Aprovada' WHEN l_returnflag = 'R' THEN 'Validação documentos' "
+                  "WHEN l_returnflag = 'A' THEN 'Em análise' "
+                  "WHEN l_returnflag = 'N' THEN 'Enviada' END")
 
 
 def _project(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
@@ -76,7 +85,7 @@ class DriverTables:
 def raw_agencias(d: DriverTables) -> DataFrame:
     nation = d.table("nation")
     region = d.table("region")
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return _project(joined, [
         ("CAST(n_nationkey AS BIGINT)", "cod_agencia"),
         ("n_name", "nome"),
@@ -132,7 +141,7 @@ def raw_colaborador_agencia(d: DriverTables) -> DataFrame:
 def raw_contas(d: DriverTables) -> DataFrame:
     orders = d.table("orders")
     customer = d.table("customer").select("c_custkey", "c_nationkey")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     return _project(joined, [
         ("o_orderkey", "num_conta"),
         ("o_custkey", "cod_cliente"),
@@ -146,21 +155,15 @@ def raw_contas(d: DriverTables) -> DataFrame:
     ])
 
 
-def _status_from_flag(c: str) -> str:
-    branches = " ".join(f"WHEN '{flag}' THEN '{status}'"
-                        for flag, status in STATUS_BY_RETURN_FLAG.items())
-    return f"CASE {c} {branches} END"
-
-
 def raw_propostas_credito(d: DriverTables) -> DataFrame:
-    lines = (d.table("lineitem").where(F.col("l_linenumber") == 1)
-             .select("l_orderkey", "l_suppkey", "l_shipdate", "l_discount",
-                     "l_extendedprice", "l_returnflag"))
+    lines = d.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
+                                       "l_discount", "l_extendedprice", "l_quantity",
+                                       "l_returnflag")
     orders = d.table("orders").select("o_orderkey", "o_custkey")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
     money = MONEY.simpleString()
     return _project(joined, [
-        ("l_orderkey", "cod_proposta"),
+        ("l_orderkey * 10 + l_linenumber", "cod_proposta"),
         ("o_custkey", "cod_cliente"),
         ("l_suppkey", "cod_colaborador"),
         ("CAST(l_shipdate AS TIMESTAMP)", "data_entrada_proposta"),
@@ -171,7 +174,7 @@ def raw_propostas_credito(d: DriverTables) -> DataFrame:
         (f"CAST(NULL AS {money})", "valor_prestacao"),
         ("CAST(NULL AS INT)", "quantidade_parcelas"),
         ("CAST(NULL AS INT)", "carencia"),
-        (_status_from_flag("l_returnflag"), "status_proposta"),
+        (STATUS_OF_LINE, "status_proposta"),
     ])
 
 

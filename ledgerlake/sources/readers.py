@@ -6,9 +6,9 @@ Readers always take an explicit schema; nothing is inferred.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.schemas import CSV_TABLES, RAW_SCHEMAS, RELATIONAL_TABLES
@@ -86,41 +86,55 @@ def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
+#: What a quoted empty field is read as, before it becomes an empty string.
+_QUOTED_EMPTY = "\u0001"
+
+
+def csv_reader(spark: SparkSession, *, sep: str = ",", header: bool = True,
+               multiline: bool = True) -> DataFrameReader:
+    """A reader of the database's CSV dialect: fields quoted and quotes doubled with ``"``,
+    no backslash escapes, an unquoted empty field NULL, a record with the wrong number of
+    fields an error.
+
+    ``multiline`` admits newlines in quoted fields; each file is then read by
+    one task, so pass False for large files known to hold none.
+    """
+    return (spark.read.option("header", header).option("sep", sep).option("mode", "FAILFAST")
+            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+            .option("enforceSchema", False)  # every file's header must name the same columns
+            .option("nullValue", "").option("emptyValue", _QUOTED_EMPTY))
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *,
-                   sep: str = ",", header: bool = True) -> DataFrame:
+                   sep: str = ",", header: bool = True, multiline: bool = True) -> DataFrame:
     """Headered CSV with a declared schema (S-03 text extract, S-04 typed load).
 
-    The file is parsed as text (FAILFAST: a line with the wrong number of
-    fields is an error) and then cast column by column under ANSI rules, so a
+    Columns are found by their header names, in any order; a missing one fails
+    the load, others are ignored. Fields are parsed as text
+    (:func:`csv_reader`) and then cast column by column under ANSI rules, so a
     malformed value fails the load instead of becoming NULL, and timestamps
     with a zone suffix (``+00:00``, ``UTC``) are read as instants. An empty
-    unquoted field is NULL, as in a database CSV copy.
+    unquoted field is NULL and a quoted one an empty string, as in a database
+    CSV copy. Without a header, columns are taken in the schema's order.
     """
-    df = (spark.read.schema(text_schema(schema))
-          .option("header", header)
-          .option("sep", sep)
-          .option("mode", "FAILFAST")
-          .option("nullValue", "")
-          .csv(path))
-    return conform(df, schema)
+    reader = csv_reader(spark, sep=sep, header=header, multiline=multiline)
+    if header:
+        df = reader.csv(path)
+        missing = [f.name for f in schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+    else:
+        df = reader.schema(text_schema(schema)).csv(path)
+    return conform(df.select([
+        F.when(F.col(f"`{f.name}`") != _QUOTED_EMPTY, F.col(f"`{f.name}`"))
+        .when(F.col(f"`{f.name}`") == _QUOTED_EMPTY, F.lit("")).alias(f.name)
+        for f in schema.fields]), schema)
 
 
 def read_raw_csv(spark: SparkSession, folder: str,
-                 tables: tuple[str, ...] = RELATIONAL_TABLES + CSV_TABLES) -> dict[str, DataFrame]:
+                 tables: tuple[str, ...] = RELATIONAL_TABLES + CSV_TABLES,
+                 multiline: bool = True) -> dict[str, DataFrame]:
     """Read ``{folder}/{table}.csv`` for each raw table with its declared schema."""
-    return {t: read_csv_table(spark, os.path.join(folder, f"{t}.csv"), RAW_SCHEMAS[t])
+    return {t: read_csv_table(spark, os.path.join(folder, f"{t}.csv"), RAW_SCHEMAS[t],
+                              multiline=multiline)
             for t in tables}
-
-
-def read_parquet_tables(spark: SparkSession, folder: str,
-                        names: tuple[str, ...]) -> dict[str, DataFrame]:
-    """``{folder}/{name}.parquet`` for each name (the driver's test tables)."""
-    return {n: spark.read.parquet(os.path.join(folder, f"{n}.parquet")) for n in names}
-
-
-def source(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """Named reference to a loaded relation (S-05); fails loudly on a typo."""
-    try:
-        return tables[name]
-    except KeyError:
-        raise KeyError(f"unknown relation {name!r}; known: {sorted(tables)}") from None

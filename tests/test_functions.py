@@ -15,6 +15,7 @@ from ledgerlake.functions import exact_ratio, pretty_size, safe_corr
     (10239, "10239 bytes"),
     (10240, "10 kB"),
     (1_000_000, "977 kB"),
+    (20 * 2**50, "20 PB"),
     (10 * 1024 * 1024 - 1024, "10239 kB"),
     (10 * 1024 * 1024 - 1, "10 MB"),
     (10 * 1024 * 1024, "10 MB"),

@@ -20,7 +20,7 @@ from fixtures import (
     tx,
 )
 
-from ledgerlake.operators.activity import account_activity
+from ledgerlake.operators.activity import account_activity, transactions_by_account
 from ledgerlake.operators.credit import agency_performance, credit_funnel, credit_kpis
 from ledgerlake.operators.cross_sell import cross_sell
 from ledgerlake.operators.drivers import driver_ranking
@@ -31,7 +31,7 @@ from ledgerlake.plans import dashboards as dash
 
 def test_account_activity_recency_edges(spark):
     accounts, _, txs, _ = recency_fixture(spark)
-    rows = {r["account_sk"]: r for r in account_activity(accounts, txs).collect()}
+    rows = {r["account_sk"]: r for r in account_activity(accounts, transactions_by_account(txs)).collect()}
     assert [rows[i]["days_since_last_transaction"] for i in range(1, 6)] == [0, 90, 91, 360, 361]
     assert [rows[i]["activity_status"] for i in range(1, 7)] == [
         "active", "active", "dormant", "dormant", "dormant", "never_used"]
@@ -42,7 +42,7 @@ def test_account_activity_recency_edges(spark):
 def test_engagement_recency_edges(spark):
     accounts, clients, txs, proposals = recency_fixture(spark)
     rows = {r["client_sk"]: r for r in
-            client_engagement(clients, accounts, txs, proposals).collect()}
+            client_engagement(clients, accounts, transactions_by_account(txs), proposals).collect()}
     assert [rows[i]["engagement_status"] for i in range(1, 7)] == [
         "active", "active", "at_risk", "at_risk", "churned", "never_used"]
     assert rows[6]["transaction_count"] == 0
@@ -55,10 +55,10 @@ def test_empty_transactions_all_never_used(spark):
     clients = spark.createDataFrame([client(1), client(2)], CLIENTS)
     txs = spark.createDataFrame([], TX)
     props = spark.createDataFrame([], PROPOSALS)
-    act = account_activity(accounts, txs).collect()
+    act = account_activity(accounts, transactions_by_account(txs)).collect()
     assert {r["activity_status"] for r in act} == {"never_used"}
     assert all(r["days_since_last_transaction"] is None for r in act)
-    eng = client_engagement(clients, accounts, txs, props).collect()
+    eng = client_engagement(clients, accounts, transactions_by_account(txs), props).collect()
     assert {r["engagement_status"] for r in eng} == {"never_used"}
     assert all(r["relationship_days"] is None for r in eng)
 
@@ -68,7 +68,7 @@ def test_reference_date_counts_unknown_accounts(spark):
     accounts = spark.createDataFrame([account(1, 1)], ACCOUNTS)
     txs = spark.createDataFrame([tx(1, 1, dt.datetime(2023, 1, 1)),
                                  tx(2, 99, dt.datetime(2023, 4, 11))], TX)
-    row = account_activity(accounts, txs).collect()[0]
+    row = account_activity(accounts, transactions_by_account(txs)).collect()[0]
     assert row["days_since_last_transaction"] == 100
     assert row["activity_status"] == "dormant"
 
@@ -82,7 +82,7 @@ def test_engagement_multi_account_totals_and_credit_flag(spark):
                                  tx(4, 3, t0 - dt.timedelta(days=10), 2)], TX)
     props = spark.createDataFrame([proposal(1, 2, "Aprovada"), proposal(2, 1, "Enviada"),
                                    proposal(3, 2, "Aprovada")], PROPOSALS)
-    rows = {r["client_sk"]: r for r in client_engagement(clients, accounts, txs, props).collect()}
+    rows = {r["client_sk"]: r for r in client_engagement(clients, accounts, transactions_by_account(txs), props).collect()}
     assert set(rows) == {1, 2}  # client 3 has no account
     assert rows[1]["account_count"] == 2 and rows[1]["total_balance"] == D(150)
     assert rows[1]["transaction_count"] == 3 and rows[1]["transaction_total_amount"] == D(11)
@@ -96,7 +96,7 @@ def test_orphan_client_absent_from_engagement_and_cross_sell(spark):
     clients = spark.createDataFrame([client(1)], CLIENTS)
     txs = spark.createDataFrame([tx(1, 2, dt.datetime(2023, 1, 1))], TX)
     props = spark.createDataFrame([proposal(1, 528, "Em análise", amount=74000)], PROPOSALS)
-    eng = client_engagement(clients, accounts, txs, props).collect()
+    eng = client_engagement(clients, accounts, transactions_by_account(txs), props).collect()
     assert [r["client_sk"] for r in eng] == [1]
     cs = cross_sell(accounts, clients, props).collect()
     assert [r["account_fk"] for r in cs] == [1]
@@ -226,7 +226,7 @@ def test_driver_ranking_nullable_pair(spark):
 
 def test_commercial_kpis_partition(spark):
     accounts, clients, txs, props = recency_fixture(spark)
-    kpi = commercial_kpis(client_engagement(clients, accounts, txs, props)).collect()[0]
+    kpi = commercial_kpis(client_engagement(clients, accounts, transactions_by_account(txs), props)).collect()[0]
     assert kpi["total_clientes"] == 6
     assert (kpi["clientes_ativos"], kpi["clientes_em_risco"], kpi["clientes_churned"],
             kpi["clientes_sem_uso"]) == (2, 2, 1, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from ledgerlake.plans.pipeline import run_pipeline
 from ledgerlake.sources.crosswalk import RawLayer
 
@@ -10,10 +12,10 @@ def test_pipeline_end_to_end(spark):
     raw = RawLayer(spark, "/root/testdata/sf0.001").as_dict()
     result = run_pipeline(spark, raw)
     assert result.raw_counts["transacoes"] == 6000
-    assert result.raw_counts["propostas_credito"] == 874
+    assert result.raw_counts["propostas_credito"] == 6000
     assert result.mart_counts["client_engagement"] == 150
-    assert result.mart_counts["cross_sell"] == 213
-    assert result.mart_counts["credit_funnel"] == 237
+    assert result.mart_counts["cross_sell"] == 398
+    assert result.mart_counts["credit_funnel"] == 326
     # the crosswalk makes these keys non-unique on purpose (several lines per order,
     # several orders per customer)
     assert result.failed_checks == sorted([
@@ -24,7 +26,7 @@ def test_pipeline_end_to_end(spark):
     assert layers == {"raw": "bronze", "staging": "silver", "marts": "gold"}
     views = {r["model_name"] for r in spark.table("marts.model_catalog").collect()
              if r["materialization"] == "view"}
-    assert len(views) == 7
+    assert len(views) == 8 and "quality_dashboard" in views
     catalog = spark.table("marts.model_catalog")
     assert catalog.columns == ["model_name", "schema_name", "materialization", "row_count",
                                "total_size", "table_size", "description", "medallion_layer",
@@ -43,3 +45,36 @@ def test_pipeline_end_to_end(spark):
     del result2.mart_counts["model_catalog"], result.mart_counts["model_catalog"]
     assert result2.mart_counts == result.mart_counts
     assert spark.table("metadata.test_results").count() == 138
+
+
+def test_failed_runs_leave_a_record(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.plans import models
+
+    def broken(*_):
+        return spark.range(1).select(F.raise_error(F.lit("broken on purpose")).alias("x"))
+
+    monkeypatch.setitem(models.MARTS, "credit_funnel", (broken, ("stg_proposals",)))
+    before = spark.table("metadata.model_runs").count()
+    with pytest.raises(Exception, match="broken on purpose"):
+        run_pipeline(spark, RawLayer(spark, "/root/testdata/sf0.001").as_dict())
+    runs = spark.table("metadata.model_runs")
+    failed = runs.where("status = 'error'").collect()
+    assert [r["model_name"] for r in failed] == ["credit_funnel"] and failed[0]["message"]
+    assert runs.count() > before + 1  # marts of the same level are recorded as well
+
+
+def test_quality_dashboard_is_live(spark):
+    """The view equals the model, and follows the staging layer."""
+    from ledgerlake.plans.models import Models
+
+    raw = RawLayer(spark, "/root/testdata/sf0.001").as_dict()
+    run_pipeline(spark, raw)
+    view = spark.table("marts.quality_dashboard")
+    model = Models(raw)["quality_dashboard"].select(view.columns)
+    assert sorted(map(tuple, view.collect())) == sorted(map(tuple, model.collect()))
+    clients = raw["clientes"].where("cod_cliente > 10")
+    clients.write.mode("overwrite").saveAsTable("raw.clientes")
+    orphans = spark.table("marts.quality_dashboard").where("test_type = 'relationships'").collect()
+    assert all(r["status"] == "FAIL" and r["failure_count"] > 0 for r in orphans)

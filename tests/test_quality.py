@@ -69,7 +69,7 @@ def test_relationship_warn_severity_and_audit_rows(spark):
     res = run_checks([check], {"stg_accounts": accounts, "stg_clients": clients})
     row = res.collect()[0]
     assert (row["status"], row["failures"]) == ("warn", 1)
-    assert row["message"] == "Got 1 results, configured to warn if != 0"
+    assert row["message"] == "Got 1 result, configured to warn if != 0"
     audit = audit_rows(res).collect()[0]
     assert audit["column_name"] == "client_id" and audit["executed_at"] is not None
 
@@ -93,10 +93,10 @@ def test_quality_dashboard_orphans_and_strict_parity(spark):
     c1 = spark.createDataFrame([client(1)], CLIENTS)
     a1 = spark.createDataFrame([account(1, 1)], ACCOUNTS)
     p1 = spark.createDataFrame([proposal(1, 1)], PROPOSALS)
-    clean = quality_dashboard(c1, agencies, a1, p1)
+    clean = quality_dashboard(c1, agencies, a1, p1, strict_parity=True)
     strict = {r["test_type"]: r["status"] for r in clean.collect() if r["test_type"] == "relationships"}
     assert strict == {"relationships": "FAIL"}
-    lenient = quality_dashboard(c1, agencies, a1, p1, strict_parity=False)
+    lenient = quality_dashboard(c1, agencies, a1, p1)
     assert {r["status"] for r in lenient.collect() if r["test_type"] == "relationships"} == {"PASS"}
     order = [r["status"] for r in quality_dashboard(clients, agencies, accounts, props).collect()]
     assert order == sorted(order, reverse=True)

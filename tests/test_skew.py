@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections import defaultdict
 from decimal import Decimal
 
 import pytest
 from fixtures import ACCOUNTS, CLIENTS, PROPOSALS, TX, account, client, proposal, tx
 
+from pyspark.sql import functions as F
+
+from ledgerlake.operators.activity import transactions_by_account
 from ledgerlake.operators.cross_sell import cross_sell
 from ledgerlake.operators.engagement import client_engagement
 from ledgerlake.operators.volume import daily_volume
+from ledgerlake.plans.models import Models
+from ledgerlake.sources.crosswalk import RawLayer
 
 N = 3000
 HOT = 1
@@ -53,23 +59,43 @@ def _data(spark):
             spark.createDataFrame(txs, TX), spark.createDataFrame(props, PROPOSALS), accounts, txs)
 
 
-@pytest.mark.parametrize("hot_rows", [N // 10, 10 * N])
-def test_cross_sell_hot_client(spark, skew_conf, hot_rows):
+@pytest.mark.parametrize("most", [0, 1, 32])
+def test_cross_sell_hot_client(spark, skew_conf, most):
     accounts, clients, txs, props, acc_rows, _ = _data(spark)
-    out = cross_sell(accounts, clients, props, hot_client_rows=hot_rows)
-    rows = out.collect()
+    rows = cross_sell(accounts, clients, props, salted_clients=most).collect()
     expected = sorted(a[0] for a in acc_rows if a[1] != 1001)
     assert sorted(r["account_fk"] for r in rows) == expected
     assert sum(1 for r in rows if r["client_fk"] == HOT) == N // 3
+
+
+def test_cross_sell_deals_a_hot_client_through_the_crosswalk(spark, skew_conf, scratch):
+    """A third of ``orders`` on one client: no task of the result holds much more than its share."""
+    src, folder = "/root/testdata/sf0.01", os.path.join(scratch, "skewed")
+    for t in ("customer", "lineitem"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.mode("overwrite").parquet(f"{folder}/{t}.parquet")
+    orders = spark.read.parquet(f"{src}/orders.parquet")
+    third = F.col("o_orderkey") % 3 == 0
+    orders.withColumn("o_custkey", F.when(third, F.lit(1)).otherwise(F.col("o_custkey"))) \
+        .write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    models = Models(RawLayer(spark, folder))
+    # no client has an approved proposal here, so all large accounts are candidates
+    out = cross_sell(models["stg_accounts"], models["stg_clients"], models["stg_proposals"],
+                     approved="none")
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    hot = out.where("client_fk = 1").count()
+    assert sum(sizes) == models["stg_accounts"].where("total_balance > 20000").count()
+    assert hot > 0.3 * sum(sizes)
+    assert max(sizes) < 0.3 * sum(sizes)  # 8 partitions; without salting one holds over a third
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # the hot client's accounts meet its client row through a broadcast join
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in plan
 
 
 def test_engagement_hot_client_matches_brute_force(spark, skew_conf):
     accounts, clients, txs, props, acc_rows, tx_rows = _data(spark)
-    eng = {r["client_sk"]: r for r in client_engagement(clients, accounts.repartition(8),
-                                                        txs.repartition(8), props).collect()}
+    eng = {r["client_sk"]: r for r in client_engagement(
+        clients, accounts.repartition(8), transactions_by_account(txs.repartition(8)),
+        props).collect()}
     owner = {a[0]: a[1] for a in acc_rows}
     count, amount = defaultdict(int), defaultdict(Decimal)
     for t in tx_rows:

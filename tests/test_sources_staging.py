@@ -9,7 +9,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerlake.operators import staging as stg
-from ledgerlake.operators.quality import content_fingerprint
+from ledgerlake.operators.quality import content_fingerprint, csv_records
 from ledgerlake.schemas import RAW_SCHEMAS
 from ledgerlake.sources.gate import validate_load
 from ledgerlake.sources.readers import jdbc_options, read_csv_table, read_jdbc_table
@@ -127,3 +127,66 @@ def test_check_idempotent_reload_operator(spark):
     assert set(rows) == set(raw)
     assert all(r["status"] == "pass" for r in rows.values())
     assert rows["transacoes"]["rows_second"] == 6000
+
+
+def test_csv_dialect(spark, scratch):
+    """Doubled quotes, quoted newlines, a trailing backslash, quoted and unquoted empty fields."""
+    path = _write(os.path.join(scratch, "csv5", "clientes.csv"),
+                  "cod_cliente,primeiro_nome,ultimo_nome,email,tipo_cliente,data_inclusao,"
+                  "cpfcnpj,data_nascimento,endereco,cep\n"
+                  '1,Ana,"",a@x,PF,2020-01-02 03:04:05 UTC,1,1990-05-06,"Rua ""A"", 10",000\n'
+                  "2,Bruno,,b@x,PF,2021-01-02 03:04:05 UTC,2,1991-05-06,Rua\\,001\n"
+                  '3,Caio,"de\nSouza",c@x,PF,2021-01-02 03:04:05 UTC,3,1991-05-06,"C:\\",002\n')
+    raw = {r["cod_cliente"]: r for r in read_csv_table(spark, path, RAW_SCHEMAS["clientes"]).collect()}
+    assert raw[1]["ultimo_nome"] == "" and raw[2]["ultimo_nome"] is None
+    assert raw[1]["endereco"] == 'Rua "A", 10'
+    assert raw[2]["endereco"] == "Rua\\" and raw[3]["endereco"] == "C:\\"
+    assert raw[3]["ultimo_nome"] == "de\nSouza"
+
+
+def test_csv_columns_go_by_header_name(spark, scratch):
+    folder = os.path.join(scratch, "csv6")
+    swapped = _write(os.path.join(folder, "a.csv"), "cod_agencia,extra,cod_colaborador\n7,x,100\n")
+    row = read_csv_table(spark, swapped, RAW_SCHEMAS["colaborador_agencia"]).first()
+    assert (row["cod_colaborador"], row["cod_agencia"]) == (100, 7)
+    missing = _write(os.path.join(folder, "b.csv"), "cod_agencia\n7\n")
+    with pytest.raises(ValueError, match="cod_colaborador"):
+        read_csv_table(spark, missing, RAW_SCHEMAS["colaborador_agencia"])
+    several = os.path.join(folder, "several")
+    _write(os.path.join(several, "1.csv"), "cod_colaborador,cod_agencia\n1,2\n3,4\n")
+    _write(os.path.join(several, "2.csv"), "cod_colaborador,cod_agencia\n5,6\n7,8\n")
+    assert read_csv_table(spark, several, RAW_SCHEMAS["colaborador_agencia"]).count() == 4
+    assert csv_records(spark, several).first()["csv_rows"] == 4
+    _write(os.path.join(several, "3.csv"), "cod_agencia,cod_colaborador\n9,10\n")
+    with pytest.raises(Exception):  # a file whose header names them in another order
+        read_csv_table(spark, several, RAW_SCHEMAS["colaborador_agencia"]).collect()
+
+
+def test_csv_records_understand_quoted_newlines(spark, scratch):
+    path = _write(os.path.join(scratch, "csv7", "x.csv"), 'a,b\n1,"x\ny"\n2,z\n')
+    assert csv_records(spark, path).first()["csv_rows"] == 2
+
+
+def test_fingerprint_tells_null_positions_apart(spark):
+    a = spark.createDataFrame([(None, "x")], "p string, q string")
+    b = spark.createDataFrame([("x", None)], "p string, q string")
+    assert content_fingerprint(a).first() != content_fingerprint(b).first()
+
+
+def test_orphans_survive_the_loader(spark, scratch):
+    from ledgerlake.operators.quality import declared_checks, run_checks
+    from ledgerlake.plans.models import Models
+    from ledgerlake.sources.crosswalk import RawLayer
+
+    src, folder = "/root/testdata/sf0.001", os.path.join(scratch, "orphans")
+    for t in ("orders", "lineitem"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    spark.read.parquet(f"{src}/customer.parquet").where("c_custkey > 20") \
+        .write.parquet(f"{folder}/customer.parquet")
+    models = Models(RawLayer(spark, folder))
+    assert models["stg_accounts"].count() == spark.read.parquet(f"{src}/orders.parquet").count()
+    assert models["stg_proposals"].count() == spark.read.parquet(f"{src}/lineitem.parquet").count()
+    checks = [c for c in declared_checks() if c.kind == "relationships"]
+    found = {r["test_name"]: r["failures"] for r in run_checks(checks, models).collect()}
+    assert found["relationships_stg_accounts_client_id__stg_clients_client_id"] > 0
+    assert found["relationships_stg_proposals_client_id__stg_clients_client_id"] > 0
