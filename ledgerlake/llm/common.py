@@ -65,7 +65,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: str,
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def text_groups(texts: list[str], most_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def text_groups(texts: list[str], most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``most_chars`` characters (one text at least)."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -86,7 +86,7 @@ class WordTable:
     """
 
     def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, ...]],
-                 limit: int = 400_000):
+                 limit: int = 200_000):
         self.compute, self.limit = compute, limit
         self.index: dict[str, int] = {}
         self.columns: list[np.ndarray] = []

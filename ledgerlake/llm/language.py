@@ -294,7 +294,7 @@ def predict(docs: DataFrame, model: LanguageModel, pieces_path: str,
                 out[said] = log_probabilities([w for w in words if w], finder, model.probs)
             return out, said
 
-        table = WordTable(compute, limit=300_000)
+        table = WordTable(compute)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             names, scores = [], []

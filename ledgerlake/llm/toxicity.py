@@ -161,13 +161,13 @@ def normal(word: str) -> str:
 class SentenceReader:
     """Splits texts into words and sentences, with columns computed once per distinct word."""
 
-    def __init__(self, columns):
-        """``columns(words)``: an array with a row per normalised word."""
+    def __init__(self, columns, limit: int = 200_000):
+        """``columns(words)``: an array with a row per normalised word; ``limit``: words held."""
         def compute(raw: list[str]):
             return (columns([normal(w) for w in raw]),
                     np.fromiter((w[-1] in ".!?" for w in raw), bool, len(raw)),
                     np.fromiter((len(w) == 1 and w.isalnum() for w in raw), bool, len(raw)))
-        self.table = WordTable(compute, limit=300_000)
+        self.table = WordTable(compute, limit)
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Column sums per sentence, the document of each sentence, and each word's sentence.
@@ -327,11 +327,11 @@ def _sentences(sample: DataFrame, marks: list[str], words: dict[str, float],
             weight = np.array([words.get(w, 0.0) for w in new], np.float32)
             return np.column_stack([kernel.features(new), weight])
 
-        reader = SentenceReader(columns)
+        reader = SentenceReader(columns, limit=50_000)  # a row is as wide as the landmarks
         for batch in batches:
             texts, toxic = (c.to_pylist() for c in batch.columns)
             rows, ys = [], []
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, 100_000):
                 sums, docs, _ = reader.read(texts[a:b])
                 if not len(docs):
                     continue
