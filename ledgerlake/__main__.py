@@ -23,6 +23,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--driver", help="folder with the driver's <table>.parquet files")
     parser.add_argument("--jdbc", help="JDBC URL of the ERP source (credentials from "
                                        "SOURCE_DB_USER / SOURCE_DB_PASSWORD)")
+    parser.add_argument("--jdbc-partitions", type=int, default=16,
+                        help="range queries per table, by its numeric key (default 16)")
+    parser.add_argument("--single-line-csv", action="store_true",
+                        help="no quoted field holds a newline, so large files can be split")
     parser.add_argument("--local", type=int, help="run on this many local cores")
     args = parser.parse_args(argv)
     if not (args.csv or args.driver):
@@ -31,17 +35,23 @@ def main(argv: list[str] | None = None) -> int:
     from ledgerlake.plans.pipeline import run_pipeline
     from ledgerlake.session import build_session
     from ledgerlake.sources.crosswalk import RawLayer
-    from ledgerlake.sources.readers import credentials_from_env, read_jdbc_table, read_raw_csv
+    from ledgerlake.sources.readers import (
+        credentials_from_env,
+        key_range_options,
+        read_jdbc_table,
+        read_raw_csv,
+    )
 
     spark = build_session(f"local[{args.local}]" if args.local else None)
     if args.driver:
         raw = RawLayer(spark, args.driver).as_dict()
     elif args.jdbc:
         creds = credentials_from_env()
-        raw = {t: read_jdbc_table(spark, args.jdbc, t, **creds) for t in RELATIONAL_TABLES}
-        raw.update(read_raw_csv(spark, args.csv, CSV_TABLES))
+        raw = {t: read_jdbc_table(spark, args.jdbc, t, **creds, **key_range_options(
+            spark, args.jdbc, t, args.jdbc_partitions, **creds)) for t in RELATIONAL_TABLES}
+        raw.update(read_raw_csv(spark, args.csv, CSV_TABLES, not args.single_line_csv))
     else:
-        raw = read_raw_csv(spark, args.csv)
+        raw = read_raw_csv(spark, args.csv, multiline=not args.single_line_csv)
     result = run_pipeline(spark, raw)
     print(json.dumps({"raw_rows": result.raw_counts, "mart_rows": result.mart_counts,
                       "failed_checks": result.failed_checks}, indent=2))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.schemas import CSV_TABLES, RAW_SCHEMAS, RELATIONAL_TABLES
+from ledgerlake.schemas import CSV_TABLES, RAW_KEYS, RAW_SCHEMAS, RELATIONAL_TABLES
 
 # The source database schema and the table allow-list (full-table
 # replication of the ERP tables; the transactions extract arrives as a file).
@@ -62,6 +62,33 @@ def credentials_from_env(prefix: str = "SOURCE_DB") -> dict[str, str]:
     return out
 
 
+def key_range_options(spark: SparkSession, url: str, table: str, num_partitions: int,
+                      **credentials) -> dict:
+    """Range options of a table's numeric key, its bounds asked from the source in one query.
+
+    Empty for one partition, for a table whose first key column isn't a
+    number, and for an empty table. Rows outside the bounds (added meanwhile,
+    or with a NULL key) still fall into the first or last range.
+    """
+    column = RAW_KEYS[table][0]
+    number = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if num_partitions <= 1 or not isinstance(RAW_SCHEMAS[table][column].dataType, number):
+        return {}
+    low, high = key_bounds(spark, url, table, column, **credentials)
+    if low is None or low == high:
+        return {}
+    return {"partition_column": column, "lower_bound": int(low), "upper_bound": int(high) + 1,
+            "num_partitions": num_partitions}
+
+
+def key_bounds(spark: SparkSession, url: str, table: str, column: str, **credentials) -> tuple:
+    """Smallest and largest value of a column, computed by the source."""
+    opts = jdbc_options(url, table, **credentials)
+    opts["dbtable"] = (f"(SELECT min({column}) AS low, max({column}) AS high "
+                       f"FROM {SOURCE_SCHEMA}.{table}) bounds")
+    return tuple(spark.read.format("jdbc").options(**opts).load().first())
+
+
 def read_jdbc_table(spark: SparkSession, url: str, table: str,
                     **options) -> DataFrame:
     """Full-table scan of one allow-listed source table (S-01, S-02).

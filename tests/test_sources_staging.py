@@ -99,6 +99,29 @@ def test_jdbc_options_partitioned_and_allow_list(spark):
         read_jdbc_table(spark, "jdbc:postgresql://db/x", "pg_authid")
 
 
+def test_jdbc_reads_are_split_by_numeric_key(spark, monkeypatch):
+    from ledgerlake.schemas import RELATIONAL_TABLES
+    from ledgerlake.sources import readers
+
+    asked = []
+
+    def bounds(spark, url, table, column, **_):
+        asked.append((table, column))
+        return (None, None) if table == "agencias" else (5, 104)
+
+    monkeypatch.setattr(readers, "key_bounds", bounds)
+    for table in RELATIONAL_TABLES:
+        got = readers.key_range_options(spark, "jdbc:x", table, 8)
+        if table == "agencias":
+            assert got == {}
+        else:
+            opts = jdbc_options("jdbc:x", table, **got)
+            assert (opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == ("5", "105", "8")
+            assert opts["partitionColumn"].startswith(("cod_", "num_"))
+    assert len(asked) == len(RELATIONAL_TABLES)
+    assert readers.key_range_options(spark, "jdbc:x", "contas", 1) == {}
+
+
 def test_gate_names_empty_tables(spark):
     full = spark.createDataFrame([(1, 2)], "cod_colaborador int, cod_agencia int")
     empty = spark.createDataFrame([], "cod_agencia int")
