@@ -211,6 +211,22 @@ def test_attribution_lines_go_with_the_quote():
     assert [q[0] for q in quotes] == [1, 2]
 
 
+# --- oracle SQL ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("key", sorted(registry.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, key):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("pages", "documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.execute(registry.ORACLE_SQL[key])
+    names = [c[0] for c in want.description]
+    got = registry.QUERIES[key](spark, SF).select(names)
+    assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+
+
 # --- the pipeline --------------------------------------------------------------------------
 
 
