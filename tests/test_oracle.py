@@ -7,11 +7,13 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerlake.plans.registry import build_registry
 from tools.oracle_check import TABLES, norm_frame
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(queries())
+QUERIES, ORACLE = build_registry()
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +28,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -37,8 +39,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    got = norm_frame(queries()[key](spark, SF).toPandas())
-    exp = norm_frame(duck.execute(oracle_sql()[key]).df())
+    got = norm_frame(QUERIES[key](spark, SF).toPandas())
+    exp = norm_frame(duck.execute(ORACLE[key]).df())
     assert list(got.columns) == list(exp.columns)
     assert len(got) == len(exp)
     assert got.to_dict("records") == exp.to_dict("records")
