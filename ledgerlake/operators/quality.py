@@ -4,12 +4,11 @@ Generic tests (V-01 … V-07) follow the usual data-test semantics: a test
 selects its failing records, a non-zero count fails the test (or warns when
 its severity is ``warn``), and NULLs pass every test except ``not_null``.
 
-Execution plan: :func:`run_checks` does not run one query per test. All
-tests of one model except relationships (not_null, expression, range,
-unique, accepted_values, unique_combination) are answered by one
-grouping-sets aggregate, i.e. one scan and one shuffle of that model; each
-relationship test is one anti join. The per-test counts are unioned into one
-small DataFrame whose result has one row per test.
+Execution plan: :func:`run_checks` does not run one query per test. A model's
+row-level tests are one global aggregate, its key tests one grouping-sets
+aggregate over the key columns; relationship tests count the child per key
+before an anti join. The per-test counts are unioned into one small DataFrame
+whose result has one row per test.
 """
 
 from __future__ import annotations
@@ -120,49 +119,46 @@ def _grouping(check: Check) -> tuple[str, ...]:
     return ()
 
 
-def _model_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """Every non-relationship test of one model from a single scan, as ``(idx, failures)``.
+def _model_counts(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> list[DataFrame]:
+    """Every non-relationship test of one model, as result rows.
 
-    One grouping-sets aggregate serves all of them: the empty set carries
-    the row-level counts (not_null, expression, range), and each key-based
-    test (unique, accepted_values, unique_combination) gets the grouping set
-    of its columns. Partial aggregation runs before the single shuffle, so a
-    key shared by a third of the rows is reduced on the map side. A second,
-    global aggregate over the grouped rows turns them into failure counts.
+    Row-level tests (not_null, expression, range) are one global aggregate:
+    every task sends a single row. Key tests (unique, accepted_values,
+    unique_combination) share a second pass that reads key columns only: one
+    grouping set per key, partial counts before the single shuffle (a key that
+    holds a third of the rows is one row per task), then failures per set.
     """
-    sets: list[tuple[str, ...]] = []
-    for _, check in checks:
-        g = _grouping(check)
-        if g not in sets:
-            sets.append(g)
-    keys = list(dict.fromkeys(c for g in sets for c in g))
-    row_aggs = [F.count_if(failing_condition(c)).alias(f"__c{idx}")
-                for idx, c in checks if c.kind in ROW_LEVEL]
-
-    def gid(g: tuple[str, ...]) -> int:
-        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in g)
-
-    if keys:
+    row_level = [(idx, c) for idx, c in checks if not _grouping(c)]
+    keyed = [(idx, c) for idx, c in checks if _grouping(c)]
+    parts = []
+    if row_level:
+        wide = df.agg(*[F.count_if(failing_condition(c)).cast("long").alias(f"__f{idx}")
+                        for idx, c in row_level])
+        parts.append(_result_rows(wide, row_level))
+    if keyed:
+        sets = list(dict.fromkeys(_grouping(c) for _, c in keyed))
+        keys = list(dict.fromkeys(k for g in sets for k in g))
         grouped = df.groupingSets([list(g) for g in sets], *keys).agg(
-            F.count(F.lit(1)).alias("__n"), *row_aggs, F.grouping_id().alias("__gid"))
-    else:
-        grouped = df.agg(F.count(F.lit(1)).alias("__n"), *row_aggs).withColumn("__gid", F.lit(0))
-    in_set = {g: F.col("__gid") == F.lit(gid(g)) for g in sets}
-    finals = []
-    for idx, c in checks:
-        g = _grouping(c)
-        if c.kind in ROW_LEVEL:
-            value = F.coalesce(F.max(F.when(in_set[g], F.col(f"__c{idx}"))), F.lit(0))
-        elif c.kind == "unique":
-            value = F.count_if(in_set[g] & F.col(c.column).isNotNull() & (F.col("__n") > 1))
-        elif c.kind == "accepted_values":
-            # one failing record per distinct value outside the list (NULL passes)
-            value = F.count_if(in_set[g] & F.col(c.column).isNotNull()
-                               & ~F.col(c.column).isin(*c.values))
-        else:
-            value = F.count_if(in_set[g] & (F.col("__n") > 1))
-        finals.append(value.cast("long").alias(f"__f{idx}"))
-    wide = grouped.agg(*finals)
+            F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+        finals = []
+        for idx, c in keyed:
+            own = _grouping(c)
+            number = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own)
+            fails = F.col("__gid") == F.lit(number)
+            if c.kind == "accepted_values":
+                # one failing record per distinct value outside the list (NULL passes)
+                fails = fails & ~F.col(c.column).isin(*c.values)
+            else:
+                fails = fails & (F.col("__n") > 1)
+            if c.kind != "unique_combination":
+                fails = fails & F.col(c.column).isNotNull()
+            finals.append(F.count_if(fails).cast("long").alias(f"__f{idx}"))
+        parts.append(_result_rows(grouped.agg(*finals), keyed))
+    return parts
+
+
+def _result_rows(wide: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """One row per test from one row of counts."""
     rows = ", ".join(_meta_struct(c, f"__f{idx}") for idx, c in checks)
     return wide.selectExpr(f"inline(array({rows}))")
 
@@ -209,7 +205,7 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
         if check.kind != "relationships":
             by_model.setdefault(check.model, []).append((idx, check))
     for model, sub in by_model.items():
-        parts.append(_model_counts(tables[model], sub))
+        parts += _model_counts(tables[model], sub)
     for idx, check in meta:
         if check.kind == "relationships":
             parts.append(_orphan_count(check, tables))
