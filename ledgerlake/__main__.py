@@ -27,11 +27,14 @@ def main(argv: list[str] | None = None) -> int:
                         help="range queries per table, by its numeric key (default 16)")
     parser.add_argument("--single-line-csv", action="store_true",
                         help="no quoted field holds a newline, so large files can be split")
+    parser.add_argument("--dashboards", metavar="FOLDER",
+                        help="then write every dashboard query over the marts as Parquet there")
     parser.add_argument("--local", type=int, help="run on this many local cores")
     args = parser.parse_args(argv)
     if not (args.csv or args.driver):
         parser.error("give --csv or --driver")
 
+    from ledgerlake.plans.dashboards import dashboards_from_marts
     from ledgerlake.plans.pipeline import run_pipeline
     from ledgerlake.session import build_session
     from ledgerlake.sources.crosswalk import RawLayer
@@ -53,6 +56,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         raw = read_raw_csv(spark, args.csv, multiline=not args.single_line_csv)
     result = run_pipeline(spark, raw)
+    if args.dashboards:
+        for name, card in dashboards_from_marts(spark).items():
+            card.write.mode("overwrite").parquet(f"{args.dashboards.rstrip('/')}/{name}")
     print(json.dumps({"raw_rows": result.raw_counts, "mart_rows": result.mart_counts,
                       "failed_checks": result.failed_checks}, indent=2))
     spark.stop()

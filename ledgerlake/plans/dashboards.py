@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import asc_pg, banded, desc_pg, exact_ratio
@@ -236,3 +236,9 @@ DASHBOARDS = {
     "dash_driver_verdict": (dash_driver_verdict, "driver_ranking"),
     "dash_driver_table": (dash_driver_table, "driver_ranking"),
 }
+
+
+def dashboards_from_marts(spark: SparkSession, db: str = "marts") -> dict[str, DataFrame]:
+    """Every dashboard query over the written marts, by name."""
+    return {name: builder(spark.table(f"{db}.{mart}"))
+            for name, (builder, mart) in DASHBOARDS.items()}

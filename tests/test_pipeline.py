@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from ledgerlake.plans.dashboards import DASHBOARDS, dashboards_from_marts
 from ledgerlake.plans.pipeline import run_pipeline
 from ledgerlake.sources.crosswalk import RawLayer
 
@@ -35,6 +36,10 @@ def test_pipeline_end_to_end(spark):
     assert listed == sorted(listed)
     engagement = [r for r in catalog.collect() if r["model_name"] == "client_engagement"][0]
     assert engagement["row_count"] == 150 and engagement["description"]
+    cards = dashboards_from_marts(spark)
+    assert set(cards) == set(DASHBOARDS)
+    assert cards["dash_kpi_cards"].first()["total_clientes"] == 150
+    assert cards["dash_cross_sell"].count() == 398
     audit = spark.table("metadata.test_results")
     assert audit.count() == 69
     assert spark.table("metadata.model_runs").count() == 11
