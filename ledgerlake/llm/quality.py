@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, written
+from ledgerlake.llm.common import WORD, smallest_hashes, written
 
 #: Words in a window whose second appearance counts as a repetition.
 WINDOW = 8
@@ -174,9 +174,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, carry: list[
     The documents with the smallest hashes of their ids: the same at every
     run. The ids (``most`` rows at most) are broadcast, so texts don't move.
     """
-    chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-              .groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_label"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(most))
+    known = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+             .groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_label")))
+    chosen = smallest_hashes(known, most, "_id")
     return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id"), "inner") \
         .select(*[docs[c] for c in carry], "_label")
 

@@ -41,6 +41,7 @@ from ledgerlake.llm.common import (
     WordTable,
     by_length,
     codepoints,
+    smallest_hashes,
     text_groups,
     written,
 )
@@ -268,9 +269,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, allowed: Column | None = None)
     if allowed is not None:
         known = known.where(allowed)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.where("_toxic = 1").orderBy(*order).limit(MAX_TOXIC).unionAll(
-        known.where("_toxic = 0").orderBy(*order).limit(MAX_CLEAN))
+    chosen = smallest_hashes(known.where("_toxic = 1"), MAX_TOXIC, "doc_id").unionAll(
+        smallest_hashes(known.where("_toxic = 0"), MAX_CLEAN, "doc_id"))
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "_toxic"))
     return written(docs.join(chosen, docs["doc_id"] == F.col("_id"))
                    .select(docs["text"].alias("text"), F.col("_toxic").alias("toxic"))

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import smallest_hashes
+
 _LAST = "\U0010ffff"
 _LEAST = -(2**63)
 #: Sampled URLs per range, from which the bounds are taken.
@@ -59,9 +61,8 @@ def host_key(host: Column) -> Column:
 def _bounds(rows: DataFrame, ranges: int) -> list[tuple[str, str, int]]:
     """At most ``ranges`` - 1 places that cut a bounded sample into equal parts."""
     sample = sorted(tuple(r) for r in
-                    rows.select("_key", "_path", "_id")
-                    .orderBy(F.xxhash64("_id", "_path"), "_id")
-                    .limit(ranges * SAMPLE_PER_RANGE).collect())
+                    smallest_hashes(rows.select("_key", "_path", "_id"),
+                                    ranges * SAMPLE_PER_RANGE, "_id", "_path").collect())
     step = len(sample) / ranges
     return sorted({sample[int(k * step)] for k in range(1, ranges)}) if sample else []
 
