@@ -304,13 +304,14 @@ def associated(sample: DataFrame, most: int = 400) -> dict[str, float]:
 
 def choose_landmarks(words: dict[str, float], most: int = LANDMARKS) -> list[str]:
     """The strongest words, leaving out those close to one already chosen."""
-    out: list[str] = []
-    for w in words:
-        if len(out) == most:
-            break
-        if not out or Landmarks(out).features([w]).max() < 0.7 ** POWER:
-            out.append(w)
-    return out
+    if not words:
+        return []
+    names, out = list(words), []
+    kernel = Landmarks(names).features(names)
+    for i in range(len(names)):
+        if len(out) < most and (kernel[i, out] < 0.7 ** POWER).all():
+            out.append(i)
+    return [names[i] for i in out]
 
 
 def _sentences(sample: DataFrame, marks: list[str], words: dict[str, float],
