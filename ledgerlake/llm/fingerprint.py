@@ -248,9 +248,11 @@ def next_texts(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Rows (_range, doc_id, text, _last) dealt and sorted so that each text's next follows it.
 
     Rows with ``_last`` only end a range: they are the next of the row before.
+    Ranges hold about equally many rows; four per partition, dealt by a hash,
+    spread a stretch of ids with long texts over several partitions.
     """
-    spark = docs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 4 * partitions
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     cuts = rows.select("doc_id").where("doc_id is not null").approxQuantile(
@@ -278,7 +280,7 @@ def next_texts(docs: DataFrame, ranges: int | None = None) -> DataFrame:
                                          F.lit(False).alias("_last")))).otherwise(
         F.array(F.struct(F.col("_range").alias("_range"), F.lit(False).alias("_last")),
                 F.struct(again.alias("_range"), F.lit(True).alias("_last"))))).alias("x"))
-    return twice.select("x._range", "doc_id", "text", "x._last").repartition(ranges, "_range") \
+    return twice.select("x._range", "doc_id", "text", "x._last").repartition(partitions, "_range") \
         .sortWithinPartitions("_range", "_last", F.asc_nulls_first("doc_id"), "text")
 
 
