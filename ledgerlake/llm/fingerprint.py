@@ -4,11 +4,15 @@ Every window of ``WINDOW`` bytes has an entropy; how rare each (quantised)
 entropy is in the corpus ranks the windows, the rarest first. Entropies of no
 use (nearly constant windows) never count. Among ``NEAR`` neighbouring windows
 the rarest, leftmost first, gets a point; windows with at least ``POINTS``
-points are the text's features. Each feature's hash sets ``BITS_PER_FEATURE``
-bits of a Bloom filter of ``FILTER_BYTES`` bytes; after ``PER_FILTER`` features
-the next filter of the chain starts. Two fingerprints are compared by the best
-match of each filter of the shorter chain in the longer one: common bits beyond
-what chance explains, over what they could be.
+points are the text's features. In repetitive text the points may be spread
+over so many windows that none gets there: in a stretch of ``BARE`` windows or
+more without a feature, every window with a point is one. A text that still
+has none (all its windows are of no use) has all its windows as features. Each
+feature's hash sets ``BITS_PER_FEATURE`` bits of a Bloom filter of
+``FILTER_BYTES`` bytes; after ``PER_FILTER`` features the next filter of the
+chain starts. Two fingerprints are compared by the best match of each filter of
+the shorter chain in the longer one: common bits beyond what chance explains,
+over what they could be.
 
 Texts shorter than ``SHORT`` code points have too few long windows: all their
 windows of ``SHORT_WINDOW`` bytes (or the text, if shorter) are features. An
@@ -42,6 +46,8 @@ from ledgerlake.llm.common import text_groups
 WINDOW = 32
 NEAR = 32
 POINTS = 8
+#: Windows in a row without a feature from which one point is enough.
+BARE = 2 * NEAR
 LEVELS = 200
 FILTER_BYTES = 256
 BITS_PER_FEATURE = 5
@@ -118,8 +124,8 @@ def rank_table(counts: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def feature_starts(data: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """Start of each feature of the texts that ``bounds`` cut ``data`` into, in order.
+def window_points(data: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Points of the window at each byte of the texts that ``bounds`` cut ``data`` into.
 
     Windows that cross a bound never count, and neither do neighbourhoods.
     """
@@ -146,7 +152,24 @@ def feature_starts(data: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> n
             at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
             got = np.bincount(at, minlength=m)
             points[a:a + m] += got[:m].astype(np.uint8)
-    return np.flatnonzero(points >= POINTS)
+    return points
+
+
+def feature_starts(data: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Start of each window with ``POINTS`` points or more, in order."""
+    return np.flatnonzero(window_points(data, bounds, ranks) >= POINTS)
+
+
+def with_bare_stretches(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of the windows with ``POINTS`` points, and in bare stretches of those with any."""
+    picked = points >= POINTS
+    # a stretch ends at a feature and at the ends of its text
+    stops = np.sort(np.concatenate(
+        [np.flatnonzero(picked), bounds[:-1] - 1, bounds[1:] - WINDOW + 1]))
+    weak = np.flatnonzero((points > 0) & ~picked)
+    after = np.searchsorted(stops, weak)
+    picked[weak[stops[after] - stops[after - 1] > BARE]] = True
+    return np.flatnonzero(picked)
 
 
 _rng = np.random.default_rng(20240301)
@@ -163,6 +186,20 @@ def _hashes(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _all_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the windows of ``width`` bytes, each once, in order of appearance."""
+    found = []
+    for a in range(0, len(data) - width + 1, _CHUNK):
+        found.append(_once(_hashes(
+            data, np.arange(a, min(a + _CHUNK, len(data) - width + 1)), width)))
+    return _once(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def _once(hashes: np.ndarray) -> np.ndarray:
+    _, first = np.unique(hashes, return_index=True)
+    return hashes[np.sort(first)]
+
+
 class Fingerprint:
     """A chain of Bloom filters and how many features each holds."""
 
@@ -190,9 +227,7 @@ class Fingerprint:
 
 def chain(hashes: np.ndarray) -> Fingerprint:
     """The fingerprint of features in order, equal hashes only once."""
-    if len(hashes):
-        _, first = np.unique(hashes, return_index=True)
-        hashes = hashes[np.sort(first)]
+    hashes = _once(hashes)
     n = -(-len(hashes) // PER_FILTER)
     bits = np.zeros((n, FILTER_BYTES * 8), bool)
     row = np.arange(len(hashes)) // PER_FILTER
@@ -207,7 +242,7 @@ def fingerprints(texts: list[str], ranks: np.ndarray) -> list[Fingerprint]:
     out: list[Fingerprint | None] = [None] * len(texts)
     flat = np.frombuffer(b"".join(data), np.uint8)
     bounds = np.cumsum([0, *map(len, data)])
-    starts = feature_starts(flat, bounds, ranks)
+    starts = with_bare_stretches(window_points(flat, bounds, ranks), bounds)
     cut = np.searchsorted(starts, bounds)
     hashes = _hashes(flat, starts, WINDOW)
     for i, t in enumerate(texts):
@@ -216,7 +251,8 @@ def fingerprints(texts: list[str], ranks: np.ndarray) -> list[Fingerprint]:
             own = np.arange(bounds[i], bounds[i + 1] - width + 1) if width else np.zeros(0, int)
             out[i] = chain(_hashes(flat, own, width))
         else:
-            out[i] = chain(hashes[cut[i]:cut[i + 1]])
+            own = hashes[cut[i]:cut[i + 1]]
+            out[i] = chain(own if len(own) else _all_hashes(flat[bounds[i]:bounds[i + 1]], WINDOW))
     return out
 
 

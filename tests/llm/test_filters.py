@@ -216,6 +216,26 @@ def test_fingerprints_of_odd_rows(odd, empty, spark):
     assert r["near_next"] == 1.0
 
 
+def test_repetitive_texts_have_features():
+    rng = np.random.default_rng(3)
+    other = "".join(map(chr, rng.integers(97, 123, 4000)))
+    ranks = fingerprint.rank_table(np.bincount(fingerprint.window_levels(np.frombuffer(
+        other.encode(), np.uint8)), minlength=fingerprint.LEVELS + 1))
+    phrases = ["Shti ", "thly ", "ha ", "lorem ipsum ", *(
+        "".join(map(chr, rng.choice(np.arange(97, 97 + max(26, k)), k, replace=False)))
+        for k in range(2, 33))]
+    for n in (130, 400, 2000):
+        texts = [(p * n)[:n] for p in phrases]
+        edited = [t[:n - n // 4] + other[:n // 4] for t in texts]
+        made = fingerprint.fingerprints(texts, ranks)
+        changed = fingerprint.fingerprints(edited, ranks)
+        assert all(map(str, made))
+        assert all(fingerprint.likeness(a, b) > 0.5 for a, b in zip(made, changed))
+        assert max(fingerprint.likeness(a, b) for a, b in itertools.combinations(made, 2)) < 0.5
+    dull, blank = fingerprint.fingerprints(["x" * 500, ""], ranks)
+    assert str(dull) and not str(blank) and fingerprint.likeness(dull, blank) == 0
+
+
 # --- n-gram join ---------------------------------------------------------------------
 
 
