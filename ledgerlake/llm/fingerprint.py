@@ -14,10 +14,15 @@ chain starts. Two fingerprints are compared by the best match of each filter of
 the shorter chain in the longer one: common bits beyond what chance explains,
 over what they could be.
 
-Texts shorter than ``SHORT`` code points have too few long windows: all their
-windows of ``SHORT_WINDOW`` bytes (or the text, if shorter) are features. An
-empty text has no feature; two fingerprints without features are alike (1), one
-with and one without are not (0).
+Texts shorter than ``SHORT`` code points have few long windows. They have two
+chains: all their windows of ``SHORT_WINDOW`` bytes (or the text, if shorter)
+are features of the first, the second has the features of a long text. Two
+short texts are compared by their first chains, a short and a long one by the
+features that both have; a text of fewer than ``WINDOW`` bytes has none of
+these, and shares nothing with a long text (one of fewer than ``WINDOW`` +
+``NEAR`` - 1 bytes rarely does, even if the long text contains it). An empty text has no feature; two
+fingerprints without features are alike (1), one with and one without are not
+(0).
 
 The rank table is learned from the corpus itself: a histogram of quantised
 window entropies over all texts, summed in Spark (``LEVELS`` + 1 counts).
@@ -201,23 +206,34 @@ def _once(hashes: np.ndarray) -> np.ndarray:
 
 
 class Fingerprint:
-    """A chain of Bloom filters and how many features each holds."""
+    """A chain of Bloom filters and how many features each holds.
 
-    __slots__ = ("filters", "features")
+    ``as_long``: a short text's second chain, to compare it with long texts.
+    """
+
+    __slots__ = ("filters", "features", "as_long")
 
-    def __init__(self, filters: np.ndarray, features: np.ndarray):
-        self.filters, self.features = filters, features
+    def __init__(self, filters: np.ndarray, features: np.ndarray,
+                 as_long: Fingerprint | None = None):
+        self.filters, self.features, self.as_long = filters, features, as_long
 
     def __str__(self) -> str:
-        """Feature counts and the filters, base 64; empty without features."""
+        """Feature counts and the filters, base 64, a second chain after ``;``; empty without
+        features."""
         if not len(self.features):
             return ""
-        return f"{int(self.features.sum())}:" + base64.b64encode(self.filters.tobytes()).decode()
+        own = f"{int(self.features.sum())}:" + base64.b64encode(self.filters.tobytes()).decode()
+        return own if self.as_long is None else f"{own};{self.as_long}"
 
     @classmethod
     def parse(cls, text: str) -> Fingerprint:
         if not text:
             return cls(np.zeros((0, FILTER_BYTES), np.uint8), np.zeros(0, np.int64))
+        text, short, second = text.partition(";")
+        if short:
+            out = cls.parse(text)
+            out.as_long = cls.parse(second)
+            return out
         total, _, body = text.partition(":")
         filters = np.frombuffer(base64.b64decode(body), np.uint8).reshape(-1, FILTER_BYTES)
         counts = np.full(len(filters), PER_FILTER, np.int64)
@@ -246,13 +262,14 @@ def fingerprints(texts: list[str], ranks: np.ndarray) -> list[Fingerprint]:
     cut = np.searchsorted(starts, bounds)
     hashes = _hashes(flat, starts, WINDOW)
     for i, t in enumerate(texts):
+        own = hashes[cut[i]:cut[i + 1]]
+        made = chain(own if len(own) else _all_hashes(flat[bounds[i]:bounds[i + 1]], WINDOW))
         if len(t) < SHORT:
             width = min(SHORT_WINDOW, len(data[i]))
             own = np.arange(bounds[i], bounds[i + 1] - width + 1) if width else np.zeros(0, int)
-            out[i] = chain(_hashes(flat, own, width))
-        else:
-            own = hashes[cut[i]:cut[i + 1]]
-            out[i] = chain(own if len(own) else _all_hashes(flat[bounds[i]:bounds[i + 1]], WINDOW))
+            as_long, made = made, chain(_hashes(flat, own, width))
+            made.as_long = as_long
+        out[i] = made
     return out
 
 
@@ -260,6 +277,10 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
     """From 0 to 1: mean over the shorter chain of the best match in the longer one."""
     if not len(a.features) or not len(b.features):
         return float(len(a.features) == len(b.features))
+    if (a.as_long is None) != (b.as_long is None):  # a short and a long text
+        a, b = a.as_long or a, b.as_long or b
+        if not len(a.features) or not len(b.features):
+            return 0.0
     if a.filters.shape == b.filters.shape and (a.filters == b.filters).all():
         return 1.0
     if len(a.features) > len(b.features) or (

@@ -236,6 +236,24 @@ def test_repetitive_texts_have_features():
     assert str(dull) and not str(blank) and fingerprint.likeness(dull, blank) == 0
 
 
+def test_near_copies_across_the_short_border():
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(97, 123, 140))) for _ in range(40)]
+    ranks = fingerprint.rank_table(np.bincount(fingerprint.window_levels(np.frombuffer(
+        "".join(texts).encode(), np.uint8)), minlength=fingerprint.LEVELS + 1))
+    whole = fingerprint.fingerprints(texts, ranks)
+    for cut in (slice(120), slice(20, 140), slice(90)):
+        parts = fingerprint.fingerprints([t[cut] for t in texts], ranks)
+        got = [fingerprint.likeness(a, b) for a, b in zip(whole, parts)]
+        assert np.mean(got) > 0.9
+        unlike = [fingerprint.likeness(a, b) for a, b in zip(whole, parts[1:])]
+        assert np.mean(unlike) < 0.05
+        for p in parts:
+            again = fingerprint.Fingerprint.parse(str(p))
+            assert str(again) == str(p) and fingerprint.likeness(p, again) == 1
+    assert fingerprint.likeness(*fingerprint.fingerprints([texts[0], texts[0][:20]], ranks)) == 0
+
+
 # --- n-gram join ---------------------------------------------------------------------
 
 
