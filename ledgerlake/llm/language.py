@@ -155,38 +155,49 @@ def log_probabilities(words: list[str], finder: PieceFinder, probs: np.ndarray)
     return out
 
 
+def _log_sums(logs: np.ndarray, at: int, weight: np.ndarray) -> np.ndarray:
+    """Log of the sums of exp(``logs``) times ``weight`` [word, k]; ``logs`` [word, k] may hold
+    -inf, but not in column ``at``."""
+    top = logs[:, at]
+    return top + np.log((np.exp(logs - top[:, None]) * weight).sum(axis=1))
+
+
 def expected_uses(words: list[str], counts: np.ndarray, finder: PieceFinder,
                   probs: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece in words of one language (``probs``: one column)."""
+    """Expected uses of each piece in words of one language (``probs``: one column).
+
+    The passes keep logarithms of the sums over prefixes and suffixes, so words
+    of any length count.
+    """
     uses = np.zeros(len(probs))
     flat, starts = codepoints(words)
     unknown = len(probs) - 1
     for length, rows in by_length(starts):
-        if length > 64:
-            continue  # the unscaled pass would underflow; such words only take part in prediction
         step = max(1, 200_000 // max(1, length))
         for a in range(0, len(rows), step):
             some = rows[a:a + step]
             found = finder.find(flat[starts[some][:, None] + np.arange(length)])
-            n = len(some)
-            alpha = np.zeros((n, length + 1))
-            beta = np.zeros((n, length + 1))
-            alpha[:, 0] = beta[:, length] = 1
+            n, _, most = found.shape
             found[:, :, 0] = np.where(found[:, :, 0] < 0, unknown, found[:, :, 0])
             weight = np.where(found >= 0, probs[found.clip(0), 0], 0.0)
+            # prefixes [end + most] and suffixes [start], nothing beyond the word's ends
+            alpha = np.full((n, length + 1 + most), -np.inf)
+            beta = np.full((n, length + 1 + most), -np.inf)
+            alpha[:, most] = beta[:, length] = 0
+            back = np.arange(most)[::-1]  # length - 1 of the piece from each of the last starts
             for end in range(1, length + 1):
-                for k in range(min(MAX_PIECE, end)):
-                    alpha[:, end] += alpha[:, end - 1 - k] * weight[:, end - 1 - k, k]
+                from_ = end - 1 - back
+                own = np.where(from_ >= 0, weight[:, from_.clip(0), back], 0.0)
+                alpha[:, end + most] = _log_sums(alpha[:, end:end + most], most - 1, own)
             for start in range(length - 1, -1, -1):
-                for k in range(min(MAX_PIECE, length - start)):
-                    beta[:, start] += weight[:, start, k] * beta[:, start + k + 1]
-            total = np.maximum(alpha[:, length], 1e-300)
-            for k in range(min(MAX_PIECE, length)):
-                part = (alpha[:, :length - k] * weight[:, :length - k, k] * beta[:, k + 1:]
-                        / total[:, None] * counts[some][:, None])
-                piece = found[:, :length - k, k]
-                use = piece >= 0
-                uses += np.bincount(piece[use], part[use], len(uses))
+                beta[:, start] = _log_sums(beta[:, start + 1:start + 1 + most], 0, weight[:, start])
+            alpha = alpha[:, most:]
+            total = alpha[:, length]
+            for k in range(min(most, length)):
+                word, start = np.nonzero(weight[:, :length - k, k])
+                part = np.exp(alpha[word, start] + beta[word, start + k + 1] - total[word]) \
+                    * weight[word, start, k] * counts[some][word]
+                uses += np.bincount(found[word, start, k], part, len(uses))
     return uses
 
 

@@ -161,6 +161,45 @@ def test_language_forward_sums_all_segmentations():
     assert np.isfinite(long).all() and long[0, 0] < -1000
 
 
+def test_language_learns_from_long_words():
+    pieces = ("▁", "a", "ab", "b", "▁a")
+    finder = language.PieceFinder(pieces)
+    probs = np.array([[0.2], [0.3], [0.1], [0.25], [0.15], [1e-7]])
+
+    def cuts(word):  # probability and pieces of every segmentation
+        if not word:
+            yield 1.0, []
+        for i, p in enumerate(pieces):
+            if word.startswith(p):
+                for rest, used in cuts(word[len(p):]):
+                    yield rest * probs[i, 0], [i, *used]
+
+    for word in ("▁ab", "▁abbab"):
+        total = sum(p for p, _ in cuts(word))
+        want = np.zeros(6)
+        for p, used in cuts(word):
+            np.add.at(want, used, 3 * p / total)
+        got = language.expected_uses([word], np.array([3]), finder, probs)
+        assert got == pytest.approx(want, rel=1e-9)
+    for n in (33, 1000):
+        long = language.expected_uses(["▁" + "ab" * n], np.array([1]), finder, probs)
+        cut = .3 * .25 / (.3 * .25 + .1)  # share of each ab that is cut in two
+        assert long[3] == pytest.approx(n - long[2], rel=1e-9)
+        assert long[2] == pytest.approx((n - 1) * (1 - cut) + .2 * .1 / (
+            .2 * (.3 * .25 + .1) + .15 * .25), rel=1e-9)
+
+
+def test_language_tells_texts_without_blanks_apart(spark):
+    rnd = random.Random(6)
+    rows = [(i, "".join(rnd.choice(("abcde", "cdefg")[i % 2]) for _ in range(100)), "xy"[i % 2])
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    path = registry.vocabulary_path("piece_bpe_32k.model")
+    model = language.learn(df, path, F.col("doc_id") < 20)
+    got = language.predict(df.where("doc_id >= 20"), model, path, ["doc_id", "lang"]).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
 def test_language_odd_rows(odd, empty):
     pieces = registry.vocabulary_path("piece_bpe_32k.model")
     model = language.learn(odd, pieces, F.lit(True))
