@@ -45,8 +45,6 @@ from ledgerlake.llm.common import (
 #: Documents of a language that the model is fitted on, about.
 SAMPLE = 1000
 ROUNDS = 2
-#: Pieces are at most so long (longer entries of the vocabulary are left out).
-MAX_PIECE = 8
 MARK = "▁"
 UNKNOWN = 1e-7
 _P = np.uint64(0x100000001B3)
@@ -54,13 +52,13 @@ _P = np.uint64(0x100000001B3)
 
 @functools.lru_cache(maxsize=4)
 def read_pieces(path: str) -> tuple[str, ...]:
-    """The pieces of a sentencepiece vocabulary that are plain text, lower case, not too long."""
+    """The pieces of a sentencepiece vocabulary that are plain text, lower case."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {model.id_to_piece(i) for i in range(model.get_piece_size())
              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    return tuple(sorted({p.lower() for p in found if 0 < len(p) <= MAX_PIECE}))
+    return tuple(sorted({p.lower() for p in found if p}))
 
 
 class PieceFinder:
@@ -68,6 +66,7 @@ class PieceFinder:
 
     def __init__(self, pieces: tuple[str, ...]):
         self.pieces = pieces
+        self.longest = max(map(len, pieces))
         bits = 20
         self.shift = np.uint64(64 - bits)
         self.slots: list[tuple[np.ndarray, np.ndarray]] = []
@@ -97,10 +96,10 @@ class PieceFinder:
     def find(self, chars: np.ndarray) -> np.ndarray:
         """Numbers [word, start, length - 1] of the pieces in words of equal length; -1: none."""
         n, length = chars.shape
-        out = np.full((n, length, MAX_PIECE), -1, np.int32)
+        out = np.full((n, length, self.longest), -1, np.int32)
         wide = chars.astype(np.uint64)
         h = np.zeros((n, length), np.uint64)
-        for k in range(min(MAX_PIECE, length)):
+        for k in range(min(self.longest, length)):
             h = self._step(h[:, :length - k], wide[:, k:])
             at = self._slot(h)
             got = np.full(h.shape, -1, np.int32)
@@ -115,15 +114,18 @@ def _forward(found: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
     ``probs`` has a row per piece and one more for unknown characters.
     """
-    n, length, _ = found.shape
+    n, length, most = found.shape
     langs = probs.shape[1]
     alpha = np.zeros((n, length + 1, langs))
     alpha[:, 0] = 1
     scale = np.zeros((n, langs))
     unknown = len(probs) - 1
+    present = (found >= 0).any(axis=0).tolist()
     for end in range(1, length + 1):
         total = np.zeros((n, langs))
-        for k in range(min(MAX_PIECE, end)):
+        for k in range(min(most, end)):
+            if k and not present[end - 1 - k][k]:
+                continue
             piece = found[:, end - 1 - k, k]
             if k == 0:
                 piece = np.where(piece < 0, unknown, piece)
@@ -136,7 +138,7 @@ def _forward(found: np.ndarray, probs: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if end % 16 == 0:  # keep long words within range
             top = total.copy()
             top[top == 0] = 1
-            alpha[:, max(0, end - MAX_PIECE):end + 1] /= top[:, None]
+            alpha[:, max(0, end - most):end + 1] /= top[:, None]
             scale += np.log(top)
     return alpha, scale
 
@@ -173,7 +175,7 @@ def expected_uses(words: list[str], counts: np.ndarray, finder: PieceFinder,
     flat, starts = codepoints(words)
     unknown = len(probs) - 1
     for length, rows in by_length(starts):
-        step = max(1, 200_000 // max(1, length))
+        step = max(1, 100_000 // max(1, length))
         for a in range(0, len(rows), step):
             some = rows[a:a + step]
             found = finder.find(flat[starts[some][:, None] + np.arange(length)])

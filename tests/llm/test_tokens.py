@@ -161,6 +161,21 @@ def test_language_forward_sums_all_segmentations():
     assert np.isfinite(long).all() and long[0, 0] < -1000
 
 
+def test_language_pieces_are_the_whole_vocabulary():
+    import sentencepiece
+
+    path = registry.vocabulary_path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    plain = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
+             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    pieces = language.read_pieces(path)
+    assert set(pieces) == plain
+    finder = language.PieceFinder(pieces)
+    for word in ("▁something", "▁information"):
+        found = finder.find(np.array([[ord(c) for c in word]], np.uint32))
+        assert pieces[found[0, 0, len(word) - 1]] == word
+
+
 def test_language_learns_from_long_words():
     pieces = ("▁", "a", "ab", "b", "▁a")
     finder = language.PieceFinder(pieces)
