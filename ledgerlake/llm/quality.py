@@ -5,10 +5,11 @@ decision list is learned by sequential covering from labelled statistics
 (label 1 means keep, 0 means reject): a rule grows one threshold at a time by
 information gain on two thirds of the labelled rows, is pruned back on the
 other third, and is kept while it is precise enough there; the rows it covers
-leave the training set and the next rule starts. Each growth step is one Spark
-aggregate (a histogram per statistic over at most ``cuts`` + 1 bins), so what
-reaches the driver is bounded by statistics times bins at any input size. The
-list becomes one ordered conditional expression.
+leave the training set and the next rule starts. A threshold lies midway
+between two neighbouring observed values, on neither class's own edge. Each
+growth step is one Spark aggregate (a histogram per statistic over at most
+``cuts`` + 1 bins), so what reaches the driver is bounded by statistics times
+bins at any input size. The list becomes one ordered conditional expression.
 
 Defined results: a null text has no words; a text without words fails the base
 rule; labels without quality, or without a matching document, are left out;
@@ -199,11 +200,12 @@ def learn(stats: DataFrame, cuts: int = 32, min_precision: float = 0.9, min_cove
         F.sum((F.col("_label") == 0).cast("long")).alias("_pos"),
         F.sum((F.col("_label") != 0).cast("long")).alias("_neg"))
     left = written(counted, "quality-bins")
+    middles = _middles(rows, names, edges)
 
     out, weak = DecisionList(), set()
     while len(out.rules) < max_rules:
         open_rows = left.where(~_any_rule(out.rules))
-        grown = _grow(open_rows.where(~F.col("_prune")), names, edges, max_conditions, weak)
+        grown = _grow(open_rows.where(~F.col("_prune")), names, middles, max_conditions, weak)
         if not grown:
             break
         kept = _prune(open_rows.where("_prune"), open_rows, grown, min_precision, min_covered)
@@ -221,6 +223,27 @@ def _bin(name: str, edges: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: F.col(name) > e))
 
 
+def _middles(rows: DataFrame, names: list[str],
+             edges: dict[str, list[float]]) -> dict[str, list[float]]:
+    """Midway from each edge to the next larger value of its statistic (an edge without: itself).
+
+    The rows on either side are the same as for the edge.
+    """
+    cells = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("n"), _bin(n, edges[n]).alias("b"), F.col(n).alias("v"))
+        for n in names])).alias("x"))
+    least: dict[str, dict[int, float]] = {n: {} for n in names}
+    for r in cells.groupBy("x.n", "x.b").agg(F.min("x.v").alias("v")).collect():
+        least[r["n"]][r["b"]] = r["v"]
+    out: dict[str, list[float]] = {n: [] for n in names}
+    for n in names:
+        for b, edge in enumerate(edges[n]):
+            above = min((v for k, v in least[n].items() if k > b), default=edge)
+            middle = edge + (above - edge) / 2
+            out[n].append(middle if edge < middle < above else edge)
+    return out
+
+
 def _any_rule(rules: list[list[Condition]]) -> Column:
     out = F.lit(False)
     for r in rules:

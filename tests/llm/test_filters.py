@@ -79,6 +79,23 @@ def test_decision_list_finds_planted_rules(spark):
     assert kept == {i for i, _, q in rows if q == 1}
 
 
+def test_a_stray_symbol_stays(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(600):
+        words = [rnd.choice(PROSE.split()) for _ in range(60)]
+        if i % 5 == 0:
+            words = [w + "###" for w in words]
+        rows.append((i, " ".join(words), int(i % 5 != 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    rules = quality.learn_from(df, df.select("doc_id", "quality"))
+    new = spark.createDataFrame(
+        [(1, rows[1][1] + " &"), (2, rows[2][1] + " costs $5"), (3, rows[0][1])],
+        "doc_id long, text string")
+    assert {r["doc_id"] for r in quality.judge(new, rules).where("kept").collect()} == {1, 2}
+    assert [r["doc_id"] for r in quality.keep_good(new, rules).orderBy("doc_id").collect()] == [1, 2]
+
+
 def test_quality_has_no_python_in_its_plan(spark):
     plan = registry.op6_quality_rules(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
