@@ -20,8 +20,10 @@ with blocks times texts.
 Words are runs without blanks (space, tab to carriage return), as they stand.
 Defined results: a text of one to ``n`` - 1 words has one n-gram, all its
 words; null and empty texts have none and link to nothing (their class is
-their own id); rows that share a doc_id count as one document (the smallest
-key), a null doc_id as an id of its own.
+their own id). For :func:`join_classes` rows that share a doc_id count as one
+document (the smallest key, one with words before none), a null doc_id as an id
+of its own; for :func:`one_of_each` rows with one doc_id and different texts are
+different documents, and rows without an id all stay.
 """
 
 from __future__ import annotations
@@ -287,8 +289,9 @@ def join_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD,
     """
     bands, rows = choose_bands(threshold, recall, max_hashes)
     sketch = sketches(docs, n, bands, rows).groupBy("doc_id").agg(
-        F.min(F.struct("k1", "k2", "n_words", "bands")).alias("s"))
-    sketch = written(sketch.select("doc_id", "s.*"), "sketches")
+        F.min(F.struct(F.col("k1").isNull().alias("wordless"), "k1", "k2", "n_words",
+                       "bands")).alias("s"))
+    sketch = written(sketch.select("doc_id", "s.*").drop("wordless"), "sketches")
     reps = written(sketch.where("k1 is not null and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
         F.first("n_words").alias("n_words"), F.first("bands").alias("bands")), "texts")
@@ -336,14 +339,31 @@ def join_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD,
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id is that of their class, and those without an id; columns as they were.
+    """The first document of each class, and the rows without an id; columns as they were.
 
-    Of rows that share such a doc_id one stays (the one with the smallest text).
+    Rows with the same doc_id and text are one document, rows with the same
+    doc_id and different texts are several. The first has the smallest doc_id,
+    and of several texts of that the smallest key.
     """
-    kept = join_classes(docs, **options).where("class_id = doc_id").select(
-        F.col("doc_id").alias("_id"))
-    packed = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct("*").alias("_row"))
-    first = packed.join(kept, "_id").groupBy("_id").agg(
-        F.min_by("_row", F.coalesce(F.xxhash64("_row.text"), F.lit(0))).alias("_row"))
+    row = F.struct("*").alias("_row")
+    packed = docs.select(F.col("doc_id").cast("long").alias("_id"),
+                         F.xxhash64("text").alias("_key"), row)
+    named = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"), "text")
+    several = named.groupBy("_id").agg(F.min("_key").alias("a"), F.max("_key").alias("b")) \
+        .where("a <> b")
+    if several.isEmpty():
+        kept = join_classes(docs, **options).where("class_id = doc_id").select(
+            F.col("doc_id").alias("_id"))
+        first = packed.join(kept, "_id").groupBy("_id").agg(F.min_by("_row", "_key").alias("_row"))
+    else:  # each text of an id gets a number of its own to be joined by
+        numbers = written(named.select("_id", "_key").distinct().withColumn(
+            "_number", F.monotonically_increasing_id()), "numbers")
+        classes = join_classes(named.join(numbers, ["_id", "_key"]).select(
+            F.col("_number").alias("doc_id"), "text"), **options)
+        kept = numbers.join(classes, F.col("_number") == F.col("doc_id")).groupBy("class_id").agg(
+            F.min(F.struct("_id", "_key")).alias("x")).select("x.*")
+        first = packed.join(kept, ["_id", "_key"]).groupBy("_id", "_key").agg(
+            F.first("_row").alias("_row"))
     nameless = packed.where("_id is null")
     return first.select("_row.*").unionByName(nameless.select("_row.*"))

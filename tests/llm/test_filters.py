@@ -345,6 +345,21 @@ def test_join_odd_rows(odd, empty):
     assert ngram_join.one_of_each(empty).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    near = PROSE + " again"
+    own = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcde"]
+    rows = [(1, None), (1, PROSE), (2, own[4]), (2, own[0]), (2, own[1]), (3, near),
+            (4, own[1] + " more"), (4, own[2]), (5, own[2]), (5, own[3]), (5, own[3]), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in ngram_join.one_of_each(df).collect())
+    # near, own[1] + " more" and the second own[2] go, as does the repeated row
+    assert got == Counter([(1, None), (1, PROSE), (2, own[4]), (2, own[0]), (2, own[1]),
+                           (4, own[2]), (5, own[3]), (6, "")])
+    links = {r["doc_id"]: (r["class_id"], r["n_links"])
+             for r in ngram_join.join_classes(df.where("doc_id in (1, 3)")).collect()}
+    assert links == {1: (1, 1), 3: (1, 1)}  # a text with words comes before one without
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.choose_bands()
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.99 and bands * rows <= ngram_join.MAX_HASHES
