@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    audit,
     bpe,
     fingerprint,
     language,
+    negatives,
     ngram_join,
     packing,
     quality,
@@ -120,6 +122,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three negatives for each of the five positives of every anchor."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, label, F.col("vec_id") % 50 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, by language."""
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc": op2_warc,
@@ -131,6 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quotation_linking": op9_quotation_linking,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 # Host and path of a URL, as the contract cuts them.
@@ -165,4 +181,71 @@ f AS (
        AND starts_with(u.path, rule_path)
   GROUP BY u.page_id, u.host, u.path)
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM f""",
+    "op11_hard_negatives": """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS a_r, a.vec_id AS anchor_id, c.r AS c_r, c.vec_id AS other_id,
+         a.label = c.label AS same, CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.r <> c.r),
+p AS (
+  SELECT a_r, anchor_id, other_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY a_r ORDER BY score DESC, other_id, c_r) AS place
+  FROM s WHERE same QUALIFY place <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score,
+         s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.a_r, p.place
+                                 ORDER BY s.score DESC, s.other_id, s.c_r) AS INTEGER) AS rank
+  FROM p JOIN s ON s.a_r = p.a_r AND NOT s.same
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3""",
+    "op13_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+s AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+           len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+           100 * length(regexp_replace(s.t, '[^A-Z]', '', 'g')) > 3 * length(s.t),
+           regexp_matches(s.t, '[#$%&*|]'),
+           coalesce(s.doc_id > first_id, false)] AS fails
+  FROM s JOIN firsts USING (t) LEFT JOIN marks ON marks.doc_id = s.doc_id),
+c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic
+  FROM f GROUP BY part, fails),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+r AS (
+  SELECT c.*, filter_order,
+         list_min(list_transform([1, 2, 3, 4, 5], lambda i:
+           CASE WHEN fails[i] THEN strpos(filter_order, substr('ABCDE', i, 1)) ELSE 6 END)) AS gone
+  FROM c, orders),
+g AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+         strpos('ABCDE', substr(filter_order, step, 1)) AS own,
+         CAST(sum(CASE WHEN gone > step THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN gone = step THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN gone < step AND fails[own] THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN fails[own] AND len(list_filter(fails, lambda b: b)) = 1
+                       THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN gone = step THEN n_good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN gone = step THEN n_toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM r, (SELECT unnest([1, 2, 3, 4, 5]) AS step) GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g""",
 }
