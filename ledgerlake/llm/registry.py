@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import (
     audit,
     bpe,
+    extraction,
     fingerprint,
     language,
     negatives,
@@ -129,6 +130,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, label, F.col("vec_id") % 50 == 0)
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    return extraction.extracted(pages, extraction.learn(pages))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders, by language."""
     return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -146,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quotation_linking": op9_quotation_linking,
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_html_extraction": op12_html_extraction,
     "op13_filter_audit": op13_filter_audit,
 }
 
