@@ -49,75 +49,90 @@ MOST_PERCENT = 95
 SCALE = 256
 #: Most rows of a block of candidates, least rows, and blocks wanted of small tables.
 CANDIDATE_BLOCK = 16_384
-LEAST_BLOCK = 1_024
+LEAST_BLOCK = 2_048
 BLOCKS = 32
 ANCHOR_BLOCK = 8_192
 #: Places read in each list in the first round; each later round reads as many as all before.
-FIRST_DEPTH = 32
+FIRST_DEPTH = 64
 _MOST = 1 << 26
 _NO_ID = np.iinfo(np.int64).max
+_LEAST_SCORE = -_NO_ID
 
 
 class SortedLists:
-    """A block of candidates with, per dimension, its rows sorted by component."""
+    """A block of candidates with, per dimension, its rows sorted by component both ways."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
+        rising = np.argsort(vectors, axis=0, kind="stable").astype(np.int32).T
+        components = np.take_along_axis(vectors.T, rising, axis=1)
+        #: List j falls by component j, list d + j rises.
+        self.rows = np.ascontiguousarray(np.concatenate([rising[:, ::-1], rising]))
+        self.components = np.concatenate([components[:, ::-1], components])
 
     def access(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         """Rounds: rows seen for the first time, their scores, and the most that an unseen
         row can score (minus infinity once all were seen)."""
-        n = len(self.vectors)
-        falling, rising = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        if not len(falling) and not len(rising):  # no list says anything: all scores are 0
+        n, d = self.vectors.shape
+        lists = np.concatenate([np.flatnonzero(anchor > 0), d + np.flatnonzero(anchor < 0)])
+        if not len(lists):  # no list says anything: all scores are 0
             yield np.arange(n), np.zeros(n, np.int64), -np.inf
             return
+        weights = anchor[lists % d].astype(np.float64)
         seen = np.zeros(n, bool)
-        low, high = 0, min(n, FIRST_DEPTH)
-        while low < n:
+        low, high, left = 0, min(n, FIRST_DEPTH), n
+        while left:
             fresh = np.zeros(n, bool)
-            fresh[self.order[n - high:n - low, falling]] = True
-            fresh[self.order[low:high, rising]] = True
-            rows = np.flatnonzero(fresh & ~seen)
+            fresh[self.rows[lists, low:high]] = True
+            rows = np.flatnonzero(fresh > seen)
             seen[rows] = True
-            bound = -np.inf if high == n else float(
-                self.sorted[n - high, falling] @ anchor[falling]
-                + self.sorted[high - 1, rising] @ anchor[rising])
+            left -= len(rows)
+            bound = weights @ self.components[lists, high - 1] if left else -np.inf
             yield rows, (self.vectors[rows] @ anchor).astype(np.int64), bound
             low, high = high, min(n, 2 * high)
 
 
-class Best:
-    """The best ``k`` rows of a window of scores: highest score, then smallest id."""
+class Windows:
+    """The best ``k`` rows of each of some windows of scores: highest score, then smallest id."""
 
-    def __init__(self, k: int, least: float, most: float):
-        self.k, self.least, self.most = k, least, most
-        self.found = np.empty((0, 3), np.int64)  # score, id, row number
-        self.kth = least
+    def __init__(self, k: int, least: list[int], most: list[int]):
+        self.k = k
+        self.least, self.most = np.array(least, np.int64), np.array(most, np.int64)
+        self.score = self.id = self.row = np.empty(0, np.int64)  # best first
+        self.first = np.zeros(len(least), np.int64)
+        #: No row below these can come into the windows any more.
+        self.kth = self.least
 
     def add(self, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        fits = (scores >= self.kth) & (scores <= self.most)
-        if not fits.any():
-            return
-        both = np.concatenate([self.found, np.stack([scores[fits], ids[fits], rows[fits]], 1)])
-        best = np.lexsort((both[:, 2], both[:, 1], -both[:, 0]))[:self.k]
-        self.found = both[best]
-        if len(best) == self.k:
-            self.kth = self.found[-1, 0]
-
-
-def search(lists: SortedLists, ids: np.ndarray, rows: np.ndarray, usable: np.ndarray | None,
-           anchor: np.ndarray, windows: list[Best]) -> None:
+        score = np.concatenate([self.score, scores])
+        id_, row = np.concatenate([self.id, ids]), np.concatenate([self.row, rows])
+        best = np.lexsort((row, id_, -score))
+        self.score, self.id, self.row = score[best], id_[best], row[best]
+        self.first = np.searchsorted(-self.score, -self.most)
+        last = self.first + self.k - 1
+        full = last < len(best)
+        kth = self.score[np.where(full, last, 0)] if len(best) else self.least
+        self.kth = np.where(full & (kth > self.least), kth, self.least)
+        fewest = np.searchsorted(-self.score, -self.kth.min(), "right")
+        self.score, self.id, self.row = self.score[:fewest], self.id[:fewest], self.row[:fewest]
+
+    def found(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores, ids and row numbers of window ``i``."""
+        a, b = self.first[i], self.first[i] + self.k
+        own = self.score[a:b] >= self.least[i]
+        return self.score[a:b][own], self.id[a:b][own], self.row[a:b][own]
+
+
+def search(lists: SortedLists, ids: np.ndarray, rows: np.ndarray, usable: np.ndarray,
+           anchor: np.ndarray, windows: Windows) -> None:
     """Fills ``windows`` with the usable candidates of a block by the threshold algorithm."""
+    most = windows.most.max()
     for new, scores, bound in lists.access(anchor):
-        if usable is not None:
-            of_use = usable[new]
-            new, scores = new[of_use], scores[of_use]
-        for w in windows:
-            w.add(scores, ids[new], rows[new])
-        if all(bound < w.kth for w in windows):
+        new_at = np.flatnonzero(usable[new] & (scores >= windows.kth.min()) & (scores <= most))
+        if len(new_at):
+            new, scores = new[new_at], scores[new_at]
+            windows.add(scores, ids[new], rows[new])
+        if bound < windows.kth.min():
             return
 
 
@@ -158,9 +173,12 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _exact(anchors: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both as doubles if those hold every score exactly (products run fastest), else as longs."""
-    largest = max(1, int(np.abs(anchors).max(initial=0))) * max(1, int(np.abs(rows).max(initial=0)))
-    kind = np.float64 if largest * max(1, rows.shape[1]) < 1 << 53 else np.int64
+    """Both as the narrowest floats that hold every score exactly (products run fastest), or
+    else as longs."""
+    most = max(1, rows.shape[1])
+    for part in (anchors, rows):
+        most *= max(1, int(np.abs(part).max(initial=0)))
+    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
     return anchors.astype(kind), rows.astype(kind)
 
 
@@ -187,13 +205,13 @@ def _over_blocks(anchors: DataFrame, rows: DataFrame, sizes: tuple[int, int, int
         dealt(rows, "c_block", c_blocks, "a_block", a_blocks)).applyInArrow(find, schema)
 
 
-def _table(columns: dict[str, tuple[list, pa.DataType]]) -> pa.Table:
+def _table(columns: dict[str, list[np.ndarray]]) -> pa.Table:
     """Columns put together from parts; ids that stand for none become null."""
     out = {}
-    for name, (parts, kind) in columns.items():
+    for name, parts in columns.items():
         values = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        none = values == _NO_ID if name.endswith("id") else None
-        out[name] = pa.array(values, kind, mask=none)
+        out[name] = pa.array(values, pa.int64(),
+                             mask=values == _NO_ID if name.endswith("id") else None)
     return pa.table(out)
 
 
@@ -214,14 +232,13 @@ def positives(rows: DataFrame, sizes: tuple[int, int, int], k: int = POSITIVES)
                 continue
             lists = SortedLists(x[here])
             for i in np.flatnonzero(a_label == value):
-                best = Best(k, -np.inf, np.inf)
-                search(lists, ids[here], row[here], row[here] != a_row[i], a[i], [best])
-                own.append(np.full(len(best.found), a_row[i]))
-                found.append(best.found)
-        return _table({"row": (own, pa.int64()),
-                       "positive_id": ([f[:, 1] for f in found], pa.int64()),
-                       "positive_row": ([f[:, 2] for f in found], pa.int64()),
-                       "positive_score": ([f[:, 0] for f in found], pa.int64())})
+                best = Windows(k, [_LEAST_SCORE], [-_LEAST_SCORE])
+                search(lists, ids[here], row[here], row[here] != a_row[i], a[i], best)
+                found.append(best.found(0))
+                own.append(np.full(len(found[-1][0]), a_row[i]))
+        return _table({"row": own, "positive_id": [f[1] for f in found],
+                       "positive_row": [f[2] for f in found],
+                       "positive_score": [f[0] for f in found]})
 
     found = _over_blocks(rows.where("anchor"), rows, sizes, find,
                          "row long, positive_id long, positive_row long, positive_score long")
@@ -252,23 +269,26 @@ def negatives(rows: DataFrame, chosen: DataFrame, sizes: tuple[int, int, int],
         row, label, ids = block.column("row").to_numpy(), block.column("label").to_numpy(), \
             _ids(block.column("id"))
         lists = SortedLists(x) if len(x) else None
-        out: dict[str, list] = {c: [] for c in _NEGATIVE}
+        out: dict[str, list[np.ndarray]] = {c: [] for c in _NEGATIVE}
         for i in range(len(a) if lists else 0):
             # 50 p <= 100 s <= 95 p over integers
-            best = [Best(k, -(-LEAST_PERCENT * p // 100), MOST_PERCENT * p // 100)
-                    for p in p_scores[i]]
-            open_ = [w for w in best if w.least <= w.most]
-            if open_:
-                search(lists, ids, row, label != a_label[i], a[i], open_)
-            for place, p_id, p, w in zip(places[i], p_ids[i], p_scores[i], best):
-                n = len(w.found)
-                for c, value in (("row", a_row[i]), ("place", place), ("anchor_id", a_id[i]),
-                                 ("positive_id", _NO_ID if p_id is None else p_id),
-                                 ("positive_score", p)):
-                    out[c].append(np.full(n, value, np.int64))
-                for c, values in zip(("negative_score", "negative_id", "negative_row"), w.found.T):
-                    out[c].append(values)
-        return _table({c: (out[c], pa.int64()) for c in _NEGATIVE})
+            # of a negative positive's window the ends have changed places: it is empty
+            of = [j for j, p in enumerate(p_scores[i]) if p >= 0]
+            if not of:
+                continue
+            best = Windows(k, [-(-LEAST_PERCENT * p_scores[i][j] // 100) for j in of],
+                           [MOST_PERCENT * p_scores[i][j] // 100 for j in of])
+            search(lists, ids, row, label != a_label[i], a[i], best)
+            for w, j in enumerate(of):
+                found = best.found(w)
+                values = {"row": a_row[i], "place": places[i][j], "anchor_id": a_id[i],
+                          "positive_id": _NO_ID if p_ids[i][j] is None else p_ids[i][j],
+                          "positive_score": p_scores[i][j]}
+                for c, value in values.items():
+                    out[c].append(np.full(len(found[0]), value, np.int64))
+                for c, part in zip(("negative_score", "negative_id", "negative_row"), found):
+                    out[c].append(part)
+        return _table(out)
 
     found = _over_blocks(anchors, rows, sizes, find, ", ".join(f"{c} long" for c in _NEGATIVE))
     rank = F.row_number().over(Window.partitionBy("row", "place").orderBy(
