@@ -367,6 +367,13 @@ class TextEncoder:
         return runs(self.flat, starts, counts), ends[last] - ends[last - per_text]
 
 
+@functools.lru_cache(maxsize=1)
+def text_encoder(path: str) -> TextEncoder:
+    """The encoder of a file's vocabulary, one per Python worker: what a task has put into its
+    word table (bounded) serves the next tasks of that worker."""
+    return TextEncoder(vocabulary(path))
+
+
 # --- decoding ------------------------------------------------------------------
 
 

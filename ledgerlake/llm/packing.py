@@ -13,7 +13,8 @@ Pieces are dealt over groups by a hash of (document, piece); each group is
 packed by itself. The number of groups follows the total number of tokens
 (``GROUP_TOKENS`` each), so a group costs at most a few half-filled sequences
 among tens of thousands. Within a group pieces come in the order of another
-hash, so that large and small ones mix and a rerun gives the same result.
+hash, so that large and small ones mix and a rerun gives the same result. Each
+group is one task.
 
 Defined results: a null text is empty (its piece holds only the end mark);
 rows with the same doc_id are packed row by row; a null doc_id stays null.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.bpe import TextEncoder, vocabulary
+from ledgerlake.llm.bpe import text_encoder
 from ledgerlake.llm.common import text_groups, written
 
 LENGTH = 2048
@@ -74,31 +75,31 @@ class BestFit:
         return sequence, self.length - free
 
 
+def cut(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``sizes`` in pieces of at most ``length``: row, number and size of each piece."""
+    many = -(-sizes // length)
+    row = np.repeat(np.arange(len(sizes)), many)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    return row, number, np.minimum(length, sizes[row] - number * length)
+
+
 def pieces(docs: DataFrame, vocabulary_path: str, length: int = LENGTH,
            end: int = END) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(vocabulary(vocabulary_path))
+        encoder = text_encoder(vocabulary_path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in text_groups(texts):
                 ids, counts = encoder.encode(texts[a:b])
-                row, number, sums, sizes = [], [], [], []
-                at = 0
-                for k, n in enumerate(counts.tolist()):
-                    own = np.append(ids[at:at + n], end).astype("<u4")
-                    at += n
-                    for j in range(0, n + 1, length):
-                        part = own[j:j + length]
-                        row.append(a + k)
-                        number.append(j // length)
-                        sizes.append(len(part))
-                        sums.append(zlib.crc32(part.tobytes()))
-                number = np.array(number, np.int32)
+                marked = np.insert(ids, np.cumsum(counts), end).astype("<u4")
+                row, number, sizes = cut(counts + 1, length)
+                at = 4 * (np.cumsum(sizes) - sizes)  # pieces follow each other
+                data = memoryview(marked.tobytes())
+                sums = [zlib.crc32(data[x:x + 4 * n]) for x, n in zip(at.tolist(), sizes.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), pa.array(number),
-                     pa.array(number.astype(np.int64) * length),
-                     pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())],
+                    [batch.column(0).take(pa.array(a + row)), pa.array(number.astype(np.int32)),
+                     pa.array(number * length), pa.array(sizes), pa.array(sums, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -114,7 +115,7 @@ def pack(rows: DataFrame, length: int = LENGTH, open_sequences: int = OPEN_SEQUE
     total = rows.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
     dealt = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups))) \
-        .repartition(groups, "_group") \
+        .repartitionById(groups, F.col("_group").cast("int")) \
         .sortWithinPartitions("_group", F.xxhash64(F.lit(7), F.col("doc_id"), F.col("piece")),
                               "doc_id", "piece", "length", "ids_crc32")
     names = rows.columns

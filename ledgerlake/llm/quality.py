@@ -178,8 +178,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, carry: list[
     known = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").alias("_id")).agg(F.min(label).alias("_label")))
     chosen = smallest_hashes(known, most, "_id")
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id"), "inner") \
-        .select(*[docs[c] for c in carry], "_label")
+    own = docs.select("doc_id", *[c for c in carry if c != "doc_id"])  # other names can clash
+    return own.join(F.broadcast(chosen), own["doc_id"] == F.col("_id"), "inner") \
+        .select(*carry, "_label")
 
 
 def learn(stats: DataFrame, cuts: int = 32, min_precision: float = 0.9, min_covered: int = 3,

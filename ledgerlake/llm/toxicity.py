@@ -272,9 +272,9 @@ def sample_of(docs: DataFrame, labels: DataFrame, allowed: Column | None = None)
     chosen = smallest_hashes(known.where("_toxic = 1"), MAX_TOXIC, "doc_id").unionAll(
         smallest_hashes(known.where("_toxic = 0"), MAX_CLEAN, "doc_id"))
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "_toxic"))
-    return written(docs.join(chosen, docs["doc_id"] == F.col("_id"))
-                   .select(docs["text"].alias("text"), F.col("_toxic").alias("toxic"))
-                   .where(F.col("text").isNotNull()), "toxicity-sample")
+    own = docs.select("doc_id", "text").where(F.col("text").isNotNull())  # other names can clash
+    return written(own.join(chosen, own["doc_id"] == F.col("_id"))
+                   .select("text", F.col("_toxic").alias("toxic")), "toxicity-sample")
 
 
 def associated(sample: DataFrame, most: int = 400) -> dict[str, float]:

@@ -3,7 +3,8 @@
 SF = "/root/testdata/sf0.001"
 
 DOC_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-              "n_words string, score string, _row string")
+              "n_words string, score string, _row string, _id string, _label string, "
+              "_toxic string, _range string, _salt string, _key string")
 
 PROSE = ("the quick brown fox jumps over the lazy dog while seven wise owls watch from the "
          "old oak tree and the river runs quietly past the mill toward the distant sea")
@@ -15,8 +16,8 @@ def odd_rows() -> list[tuple]:
     long_text = " ".join(f"word{i % 977} {PROSE.split()[i % 25]}" for i in range(30_000))
     texts = [None, "", " \t\n ", "a", "one two three", "x" * 5000, long_text, PROSE, PROSE,
              PROSE + " again", "Ünïcödé ΣΑΣ 漢字 🎉 ﬁn <|endoftext|> 'll", "\x1c\x1d\x00 \x0b", PROSE]
-    rows = [(i, t, "en", "s", 1, "n", "s", "r") for i, t in enumerate(texts)]
+    rows = [(i, t, "en", "s", 1, "n", "s", "r", *"abcdef") for i, t in enumerate(texts)]
     rows.append(rows[7])  # a repeated row
-    rows.append((None, PROSE, None, None, None, None, None, None))
-    rows.append((None, None, None, None, None, None, None, None))
+    rows.append((None, PROSE, *[None] * 12))
+    rows.append((None, None, *[None] * 12))
     return rows

@@ -7,7 +7,6 @@ import random
 import re
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 from llm_fixtures import PROSE, SF
@@ -18,20 +17,6 @@ from ledgerlake.llm import audit, boosting, dom, extraction, negatives, registry
 VEC_SCHEMA = "vec_id long, embedding array<float>, label int, row string, q string, anchor string"
 
 
-def _oracle(key, **tables):
-    con = duckdb.connect()
-    for name, frame in tables.items():
-        con.register(name, frame)
-    rel = con.sql(registry.ORACLE_SQL[key])
-    return sorted(rel.fetchall(), key=repr), rel.columns
-
-
-def _same_as_oracle(spark_rows, key, **tables):
-    want, names = _oracle(key, **tables)
-    assert sorted((tuple(r[c] for c in names) for r in spark_rows), key=repr) == want
-    return len(want)
-
-
 # --- hard negatives ----------------------------------------------------------
 
 
@@ -96,14 +81,6 @@ def test_negatives_of_odd_rows(spark):
     assert _mine(spark, [(0, [0.1], 1)]) == []
 
 
-def test_negatives_query_equals_sql(spark):
-    rows = registry.op11_hard_negatives(spark, SF).collect()
-    con = duckdb.connect()
-    frame = con.sql(f"select * from '{SF}/embeddings.parquet'").arrow()
-    frame = frame.read_all() if hasattr(frame, "read_all") else frame
-    assert _same_as_oracle(rows, "op11_hard_negatives", embeddings=frame) > 0
-
-
 def test_threshold_algorithm_stops_early_and_misses_nothing():
     rnd = np.random.default_rng(3)
     vectors = rnd.integers(-100, 100, (4000, 2)).astype(np.float64)
@@ -328,17 +305,6 @@ def test_audit_equals_brute_force(spark):
     assert all(r["good_lost"] == r["toxic_lost"] == 0 for r in unlabelled)
 
 
-def test_audit_query_equals_sql(spark):
-    con = duckdb.connect()
-
-    def table(name):
-        got = con.sql(f"select * from '{SF}/{name}.parquet'").arrow()
-        return got.read_all() if hasattr(got, "read_all") else got
-    rows = registry.op13_filter_audit(spark, SF).collect()
-    assert _same_as_oracle(rows, "op13_filter_audit", documents=table("documents"),
-                           labels=table("labels")) > 0
-
-
 def test_removal_steps_are_the_first_failing_filter():
     n = 4
     steps = audit.removal_steps(audit.mask_matrix(n), audit.position_matrix(n))

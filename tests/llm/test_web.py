@@ -219,7 +219,7 @@ def test_queries_equal_their_sql(spark, key):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("pages", "documents", "conversations"):
+    for table in ("pages", "documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(registry.ORACLE_SQL[key])
     names = [c[0] for c in want.description]
