@@ -11,17 +11,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators import staging as stg
 from ledgerlake.operators.activity import account_activity, transactions_by_account
 from ledgerlake.operators.credit import agency_performance, credit_funnel, credit_kpis
 from ledgerlake.operators.cross_sell import cross_sell
 from ledgerlake.operators.drivers import driver_ranking
+from ledgerlake.operators.distribution import transaction_statistics
 from ledgerlake.operators.engagement import client_engagement, commercial_kpis
+from ledgerlake.operators.fees import agency_fee_revenue, client_fee_revenue, fee_table
+from ledgerlake.operators.gaps import account_alerts, transaction_gaps
 from ledgerlake.operators.quality import quality_dashboard
 from ledgerlake.operators.volume import daily_volume
 
+#: Raw table of transaction fees; without one the reference's fees hold.
+FEE_TABLE = "tarifas_transacao"
+
 # Staging model -> (raw table, builder).
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "stg_agencies": ("agencias", stg.stg_agencies),
@@ -56,6 +62,15 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
                           ("stg_clients", "stg_agencies", "stg_accounts", "stg_proposals")),
 }
 
+# Planned marts, written only where a run names them -> (builder, upstream models).
+EXTENSIONS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "transaction_gaps": (transaction_gaps, ("stg_transactions",)),
+    "account_alerts": (account_alerts, ("transaction_gaps",)),
+    "transaction_statistics": (transaction_statistics, ("stg_transactions",)),
+    "client_fee_revenue": (client_fee_revenue, ("stg_transactions", "stg_accounts", FEE_TABLE)),
+    "agency_fee_revenue": (agency_fee_revenue, ("stg_transactions", "stg_accounts", FEE_TABLE)),
+}
+
 
 class Models:
     """Lazily resolved model graph over a mapping of raw tables."""
@@ -77,9 +92,15 @@ class Models:
         if name in STAGING:
             raw_name, builder = STAGING[name]
             return builder(self.raw[raw_name])
-        if name in MARTS or name in SHARED:
-            builder, deps = MARTS.get(name) or SHARED[name]
-            return builder(*(self[d] for d in deps))
+        for group in (MARTS, SHARED, EXTENSIONS):
+            if name in group:
+                builder, deps = group[name]
+                return builder(*(self[d] for d in deps))
+        if name == FEE_TABLE:
+            try:
+                return self.raw[FEE_TABLE]
+            except KeyError:
+                return fee_table(SparkSession.active())
         raise KeyError(f"unknown model {name!r}")
 
 

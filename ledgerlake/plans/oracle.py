@@ -390,3 +390,79 @@ def checks_sql(checks) -> str:
         CASE WHEN failures = 0 THEN '' ELSE 'Got ' || failures || ' ' || CASE WHEN failures = 1 THEN 'result' ELSE 'results' END || ', configured to '
              || CASE WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END || ' if != 0' END AS message
     FROM ({body}) t"""
+
+
+# --- planned marts ---------------------------------------------------------------
+
+def gaps_sql(tx: str) -> str:
+    return f"""
+    SELECT g.transaction_id, g.account_id, g.transaction_at, g.prev_transaction_at,
+           (epoch_us(g.transaction_at) - epoch_us(g.prev_transaction_at)) / 1000000.0
+               AS seconds_since_prev,
+           CASE WHEN g.transaction_at - g.prev_transaction_at < INTERVAL 1 MINUTE THEN 'suspeita_alta'
+                WHEN g.transaction_at - g.prev_transaction_at <= INTERVAL 5 MINUTE
+                THEN 'suspeita_media' ELSE 'normal' END AS fraud_flag,
+           g.transaction_type, g.transaction_amount
+    FROM (SELECT t.*, lag(t.transaction_at) OVER (
+              PARTITION BY t.account_id ORDER BY t.transaction_at, t.transaction_id,
+                                                 t.transaction_amount, t.transaction_type)
+              AS prev_transaction_at
+          FROM {tx} t) g"""
+
+
+_mart("transaction_gaps", ("stg_transactions",), gaps_sql("stg_transactions"))
+_mart("account_alerts", ("transaction_gaps",), """
+    SELECT account_id, count(*) AS transaction_count,
+           count(*) FILTER (WHERE fraud_flag = 'suspeita_alta') AS high_alerts,
+           count(*) FILTER (WHERE fraud_flag = 'suspeita_media') AS medium_alerts,
+           coalesce(sum(transaction_amount) FILTER (WHERE fraud_flag <> 'normal'), 0) AS alert_amount,
+           CAST(max(transaction_at) FILTER (WHERE fraud_flag <> 'normal') AS DATE) AS last_alert_date
+    FROM transaction_gaps GROUP BY account_id""")
+
+
+def _statistics(scope: str, kind: str, group: str) -> str:
+    x = "CAST(round(transaction_amount * 100) AS HUGEINT)"
+    n = "CAST(count(transaction_amount) AS HUGEINT)"
+    spread = (f"CAST({n} * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE) "
+              f"/ CAST(nullif({n} * ({n} - 1), 0) AS DOUBLE) / 10000")
+    return f"""
+    SELECT '{scope}' AS scope, {kind} AS transaction_type,
+           count(transaction_amount) AS transaction_count,
+           {rr(f"sum({x})", f"({n} * 100)", 4)} AS mean_amount,
+           round({spread}, 2) AS variance_amount, round(sqrt({spread}), 2) AS stddev_amount,
+           min(transaction_amount) AS min_amount, max(transaction_amount) AS max_amount,
+           round(quantile_cont(CAST(transaction_amount AS DOUBLE), 0.5), 4) AS median_amount,
+           round(quantile_cont(CAST(transaction_amount AS DOUBLE), 0.95), 4) AS p95_amount,
+           sqrt({spread}) > 2 * avg(CAST(transaction_amount AS DOUBLE)) AS is_skewed
+    FROM stg_transactions {group}"""
+
+
+_mart("transaction_statistics", ("stg_transactions",),
+      _statistics("type", "transaction_type", "GROUP BY transaction_type") + " UNION ALL "
+      + _statistics("all", "CAST(NULL AS VARCHAR)", "HAVING count(*) > 0"))
+
+# Each transaction with its own fee, joined row by row.
+_mart("priced_transactions", ("stg_transactions", "stg_accounts"), """
+    SELECT a.client_id, a.agency_id, t.transaction_type,
+           coalesce(f.fixed_fee + f.amount_share * t.transaction_amount, 0) AS fee
+    FROM stg_transactions t JOIN stg_accounts a ON a.account_id = t.account_id
+    LEFT JOIN (VALUES ('A', CAST(12 AS DECIMAL(10,2)), CAST(0 AS DECIMAL(6,3))),
+                      ('N', CAST(0 AS DECIMAL(10,2)), CAST(0 AS DECIMAL(6,3))),
+                      ('R', CAST(2.5 AS DECIMAL(10,2)), CAST(0.015 AS DECIMAL(6,3))))
+              f(transaction_type, fixed_fee, amount_share)
+           ON f.transaction_type = t.transaction_type""")
+_FEE5 = "CAST(sum(fee) * 100000 AS HUGEINT)"
+_mart("client_fee_revenue", ("priced_transactions",), f"""
+    SELECT r.*, m.transaction_type AS most_used_type
+    FROM (SELECT client_id AS client_fk, count(*) AS transaction_count, sum(fee) AS fee_revenue,
+                 {rr(_FEE5, "count(*) * 100000", 4)} AS mean_fee
+          FROM priced_transactions GROUP BY client_id) r
+    JOIN (SELECT client_id, transaction_type, row_number() OVER (
+              PARTITION BY client_id ORDER BY count(*) DESC, transaction_type) AS place
+          FROM priced_transactions GROUP BY client_id, transaction_type) m
+      ON m.client_id IS NOT DISTINCT FROM r.client_fk AND m.place = 1""")
+_mart("agency_fee_revenue", ("priced_transactions",), f"""
+    SELECT agency_id AS agency_fk, sum(fee) AS fee_revenue,
+           count(DISTINCT client_id) AS client_count, count(*) AS transaction_count,
+           {rr(_FEE5, "count(DISTINCT client_id) * 100000", 2)} AS fee_per_client
+    FROM priced_transactions GROUP BY agency_id""")

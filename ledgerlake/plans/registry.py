@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.dashboards import DASHBOARDS, dash_volume_anomaly
 from ledgerlake.operators.drivers import DEFAULT_DRIVERS, driver_ranking
-from ledgerlake.plans.models import MARTS, STAGING, Models
+from ledgerlake.plans.models import EXTENSIONS, MARTS, STAGING, Models
 from ledgerlake.operators.quality import (
     Check,
     audit_rows,
@@ -147,6 +147,21 @@ MODEL_COLUMNS: dict[str, list[tuple[str, str]]] = {
     "driver_ranking": [("driver", ""), ("correlation", "d"), ("abs_correlation", "d"),
                        ("r_squared_pct", "d"), ("direction", ""), ("sample_size", "b"),
                        ("t_statistic", "d"), ("significant_at_5pct", ""), ("impact_rank", "b")],
+    "transaction_gaps": [("transaction_id", "b"), ("account_id", "b"), ("transaction_at", ""),
+                         ("prev_transaction_at", ""), ("seconds_since_prev", "d"),
+                         ("fraud_flag", ""), ("transaction_type", ""),
+                         ("transaction_amount", "d")],
+    "account_alerts": [("account_id", "b"), ("transaction_count", "b"), ("high_alerts", "b"),
+                       ("medium_alerts", "b"), ("alert_amount", "d"), ("last_alert_date", "")],
+    "transaction_statistics": [("scope", ""), ("transaction_type", ""),
+                               ("transaction_count", "b"), ("mean_amount", "d"),
+                               ("variance_amount", "d"), ("stddev_amount", "d"),
+                               ("min_amount", "d"), ("max_amount", "d"), ("median_amount", "d"),
+                               ("p95_amount", "d"), ("is_skewed", "")],
+    "client_fee_revenue": [("client_fk", "b"), ("transaction_count", "b"), ("fee_revenue", "d"),
+                           ("mean_fee", "d"), ("most_used_type", "")],
+    "agency_fee_revenue": [("agency_fk", "b"), ("fee_revenue", "d"), ("client_count", "b"),
+                           ("transaction_count", "b"), ("fee_per_client", "d")],
 }
 
 
@@ -505,6 +520,12 @@ def build_registry() -> tuple[dict[str, QueryFn], dict[str, str]]:
     for name in list(STAGING) + list(MARTS):
         queries[name] = _model_query(name)
         sql[name] = model_oracle(name)
+    for name in EXTENSIONS:
+        queries[name] = _model_query(name)
+        sql[name] = model_oracle(name)
+    for name in ("transaction_gaps", "account_alerts", "transaction_statistics"):
+        queries[f"{name}_events"] = _model_query(name, "events")
+        sql[f"{name}_events"] = model_oracle(name, "events")
     # The events table spans one month with several events per user and day,
     # so the daily-volume views also run on it.
     queries["daily_volume_events"] = _model_query("daily_volume", "events")

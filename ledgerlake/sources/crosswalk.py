@@ -28,6 +28,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.fees import fee_table
 from ledgerlake.schemas import MONEY, RATE
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events",
@@ -82,6 +83,12 @@ class DriverTables:
         return reader.parquet(path)
 
 
+def _one_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``value`` of each key as an aggregate, which proves to the optimizer that keys are unique:
+    a left join to it is dropped wherever the value isn't read."""
+    return df.groupBy(key).agg(F.min(value).alias(value))
+
+
 def raw_agencias(d: DriverTables) -> DataFrame:
     nation = d.table("nation")
     region = d.table("region")
@@ -140,7 +147,7 @@ def raw_colaborador_agencia(d: DriverTables) -> DataFrame:
 
 def raw_contas(d: DriverTables) -> DataFrame:
     orders = d.table("orders")
-    customer = d.table("customer").select("c_custkey", "c_nationkey")
+    customer = _one_per_key(d.table("customer"), "c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     return _project(joined, [
         ("o_orderkey", "num_conta"),
@@ -159,7 +166,7 @@ def raw_propostas_credito(d: DriverTables) -> DataFrame:
     lines = d.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
                                        "l_discount", "l_extendedprice", "l_quantity",
                                        "l_returnflag")
-    orders = d.table("orders").select("o_orderkey", "o_custkey")
+    orders = _one_per_key(d.table("orders"), "o_orderkey", "o_custkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
     money = MONEY.simpleString()
     return _project(joined, [
@@ -204,6 +211,14 @@ def raw_transacoes(d: DriverTables, source: str = "lineitem") -> DataFrame:
     raise ValueError(f"unknown transaction source {source!r}")
 
 
+# Fees of the transaction types that the driver's tables have; one type has none.
+DRIVER_FEES = [
+    ("A", "12.00", "0.000", "fixed"),
+    ("N", "0.00", "0.000", "free"),
+    ("R", "2.50", "0.015", "fixed and a share of the amount"),
+]
+
+
 RAW_BUILDERS = {
     "agencias": raw_agencias,
     "clientes": raw_clientes,
@@ -225,7 +240,9 @@ class RawLayer:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            if name == "transacoes":
+            if name == "tarifas_transacao":
+                self._cache[name] = fee_table(self.driver.spark, DRIVER_FEES)
+            elif name == "transacoes":
                 self._cache[name] = raw_transacoes(self.driver, self.tx_source)
             else:
                 self._cache[name] = RAW_BUILDERS[name](self.driver)
