@@ -18,7 +18,7 @@ from ledgerlake.operators.joins import lookup_join
 from ledgerlake.sources.scratch import written_once
 
 #: Steps per interval and pass.
-STEPS = 1024
+STEPS = 4096
 #: Percentiles that are interpolated between their two neighbouring ranks.
 PERCENTILES = (50, 95)
 
@@ -31,24 +31,38 @@ def _scope(of: str) -> Column:
     return F.when(F.col(of).isNull(), F.lit("missing")).otherwise(F.concat(F.lit("type:"), of))
 
 
+def _counted(inside: DataFrame, step: int) -> DataFrame:
+    """Rows per scope, interval (its ``low``) and step within it."""
+    return inside.groupBy("scope", "low", F.expr(f"(v - low) div {step}").alias("at")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def values_at_ranks(rows: DataFrame, wanted: DataFrame, low: int, high: int, scopes: int,
-                    steps: int = STEPS) -> DataFrame:
+                    steps: int = STEPS, overall: str = _ALL) -> DataFrame:
     """``scope``, ``rank`` and the value ``v`` that stands there in the scope's sorted values.
 
-    ``rows`` has ``scope`` and ``v`` (a whole number from ``low`` to ``high``); ``wanted``
-    has ``scope`` and ``rank`` from 0, a few per scope. The number of passes is
+    ``rows`` has ``scope`` and ``v`` (a whole number from ``low`` to ``high``); a scope
+    named ``overall`` holds all rows. ``wanted`` has ``scope`` and ``rank`` from 0, a few
+    per scope. The number of passes is
     the logarithm of the range of values to the base ``steps``, at least one.
     """
     targets = wanted.select("scope", "rank", F.lit(low).cast("long").alias("low"),
                             F.col("rank").alias("left"))
     width = high - low + 1
+    first = True
     while True:
         step = max(1, -(-width // steps))
-        spots = targets.select("scope", "low").distinct()  # at most one per wanted rank
-        inside = lookup_join(rows, spots, ["scope"], ["v"], side_rows=scopes * 2 * len(PERCENTILES)) \
-            .where((F.col("v") >= F.col("low")) & (F.col("v") - F.col("low") < width))
-        counts = inside.groupBy("scope", "low", F.expr(f"(v - low) div {step}").alias("at")).agg(
-            F.count(F.lit(1)).alias("n"))
+        if first:  # one interval for all: what all scopes count is the sum over them
+            own = _counted(rows.withColumn("low", F.lit(low).cast("long")), step)
+            counts = own.unionByName(own.groupBy("low", "at").agg(F.sum("n").alias("n"))
+                                     .withColumn("scope", F.lit(overall)))
+            first = False
+        else:
+            spots = targets.select("scope", "low").distinct()  # at most one per wanted rank
+            both = rows.select(F.explode(F.array("scope", F.lit(overall))).alias("scope"), "v")
+            counts = _counted(lookup_join(
+                both, spots, ["scope"], ["v"], side_rows=scopes * 2 * len(PERCENTILES))
+                .where((F.col("v") >= F.col("low")) & (F.col("v") - F.col("low") < width)), step)
         upto = F.sum("n").over(Window.partitionBy("scope", "rank").orderBy("at"))
         picked = targets.join(counts, ["scope", "low"]).withColumn("upto", upto).where(
             (F.col("left") < F.col("upto")) & (F.col("left") >= F.col("upto") - F.col("n")))
@@ -98,9 +112,9 @@ def transaction_statistics(transactions: DataFrame, steps: int = STEPS) -> DataF
         wanted = sums.where("n > 0").select(
             F.col("key").alias("scope"),
             F.explode(F.array_distinct(F.array(*places))).alias("rank"))
-        both = rows.where(F.col("v").isNotNull()).select(
-            F.explode(F.array(_scope("transaction_type"), F.lit(_ALL))).alias("scope"), "v")
-        found = values_at_ranks(both, wanted, low, high, types + 1, steps)
+        scoped = rows.where(F.col("v").isNotNull()).select(
+            _scope("transaction_type").alias("scope"), "v")
+        found = values_at_ranks(scoped, wanted, low, high, types + 1, steps)
         ranked = found.groupBy(F.col("scope").alias("key")).agg(F.map_from_entries(
             F.collect_list(F.struct("rank", "v"))).alias("at"))  # four ranks a scope at most
     return _summary(sums.join(ranked, "key", "left"))

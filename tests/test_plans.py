@@ -69,3 +69,14 @@ def test_no_cross_joins_reference_date_is_a_scalar_subquery(spark):
         plan = _plan(m[name])
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
         assert "Subquery" in plan
+
+
+def test_unread_joins_are_dropped(spark):
+    """No proposal query that reads no client shuffles the lines to fetch one."""
+    m = models_for(spark, SF)
+    for name in ("credit_funnel", "credit_kpis"):
+        opt = _optimized(m[name])
+        assert "Join" not in opt and "orders" not in opt, name
+    assert "customer" not in _optimized(m["stg_accounts"].select("account_id", "client_id"))
+    # where the client is read, its join is one on the order
+    assert "Join" in _optimized(m["stg_proposals"].select("client_id"))
