@@ -9,7 +9,8 @@ recomputes from the last written table, never from the raw sources).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from ledgerlake.plans.models import MARTS, SHARED, Models, build_levels
 from ledgerlake.session import configure
 from ledgerlake.sources.gate import validate_load
 from ledgerlake.sources.sinks import (
-    append_rows,
+    RUN,
     create_layers,
     create_view,
     ensure_audit_tables,
@@ -36,6 +37,7 @@ from ledgerlake.sources.sinks import (
     model_run_rows,
     overwrite_table,
     set_comment,
+    write_batch,
 )
 
 # Marts written at the same time.
@@ -89,12 +91,17 @@ class _Catalog(Mapping):
 
 
 def run_pipeline(spark: SparkSession, raw_tables: Mapping[str, DataFrame],
-                 parallel_models: int = PARALLEL_MODELS) -> PipelineResult:
+                 parallel_models: int = PARALLEL_MODELS, run_id: str | None = None,
+                 extensions: Sequence[str] = ()) -> PipelineResult:
     """Build every layer from ``raw_tables`` (the seven raw relations, e.g. from
     :func:`ledgerlake.sources.readers.read_raw_csv` or the crosswalk).
 
-    ``parallel_models`` marts of one dependency level are written at a time.
+    ``parallel_models`` marts of one dependency level are written at a time, then
+    those of the planned marts (``EXTENSIONS``) that ``extensions`` names. ``run_id``
+    names the run in the audit tables (by default a new one): a run that is
+    repeated under its old name replaces what it left there.
     """
+    run_id = run_id or uuid.uuid4().hex
     configure(spark)
     create_layers(spark)
     ensure_audit_tables(spark)
@@ -124,6 +131,10 @@ def run_pipeline(spark: SparkSession, raw_tables: Mapping[str, DataFrame],
         with ThreadPoolExecutor(max_workers=parallel_models) as pool:
             for level in build_levels():
                 _build_level(spark, models, level, pool, runs, mart_counts)
+        for name in extensions:
+            mart_counts[name] = _recorded(
+                runs, name, lambda n=name: overwrite_table(models[n], f"marts.{n}"))
+            models.replace(name, spark.table(f"marts.{name}"))
         known = {f"raw.{t}": n for t, n in raw_counts.items()}
         known.update({f"marts.{t}": n for t, n in mart_counts.items()})
         rows = _recorded(runs, "model_catalog", lambda: overwrite_table(
@@ -132,14 +143,14 @@ def run_pipeline(spark: SparkSession, raw_tables: Mapping[str, DataFrame],
         set_comment(spark, "marts.model_catalog", MODEL_DOCS["model_catalog"])
     finally:  # a failed run leaves its record too
         if runs:
-            append_rows(model_run_rows(spark, runs), "metadata.model_runs")
+            write_batch(model_run_rows(spark, runs), "metadata.model_runs", run_id)
 
-    # 4. declared tests over the written layers: appended to the audit table,
-    #    then this run's batch is read back from it
+    # 4. declared tests over the written layers: this run's batch in the audit
+    #    table, read back from it
     stamp = F.lit(dt.datetime.now(dt.timezone.utc))
-    append_rows(audit_rows(run_checks(declared_checks(), _Catalog(spark)), stamp),
-                "metadata.test_results")
-    results = spark.table("metadata.test_results").where(F.col("executed_at") == stamp)
+    write_batch(audit_rows(run_checks(declared_checks(), _Catalog(spark)), stamp),
+                "metadata.test_results", run_id)
+    results = spark.table("metadata.test_results").where(F.col(RUN) == run_id).drop(RUN)
     failed = sorted(r["test_name"] for r in
                     results.where("status = 'fail'").select("test_name").collect())
     return PipelineResult(raw_counts, mart_counts, results, failed)
