@@ -147,6 +147,8 @@ class Vocabulary:
             [tokenizers.normalizers.NFC(), tokenizers.normalizers.Lowercase()])
         self._library_split = tokenizers.pre_tokenizers.Split(
             tokenizers.Regex(split), "removed", invert=True)
+        #: Whether a special token is made of letters only, so that it can be part of a word.
+        self.special_letters = any(map(str.isalpha, self.special))
         self._special = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
 
         letters = byte_letters()
@@ -276,7 +278,8 @@ class Vocabulary:
 
     def _cut(self, word: str) -> list[str]:
         """Parts of a run without white space, normalised; special tokens stay whole."""
-        if any(s in word for s in self.special):
+        letters = word.isalpha() and not self.special_letters
+        if not letters and self._special.search(word):
             out, at = [], 0
             for m in self._special.finditer(word):
                 out += self._cut(word[at:m.start()]) + [m.group()]
@@ -284,7 +287,8 @@ class Vocabulary:
             return out + self._cut(word[at:])
         if word.isascii():
             word = word.lower()
-        elif any(map(_unassigned, word)):  # newer characters: as the library's Unicode has them
+        elif not letters and any(map(_unassigned, word)):
+            # newer characters: as the library's Unicode has them
             word = self._library_normal.normalize_str(word)
             return [p for p, _ in self._library_split.pre_tokenize_str(word)]
         else:
@@ -367,11 +371,15 @@ class TextEncoder:
         return runs(self.flat, starts, counts), ends[last] - ends[last - per_text]
 
 
+#: Words that the encoder of a worker remembers (about 250 bytes each).
+PACKING_WORDS = 1_000_000
+
+
 @functools.lru_cache(maxsize=1)
 def text_encoder(path: str) -> TextEncoder:
     """The encoder of a file's vocabulary, one per Python worker: what a task has put into its
     word table (bounded) serves the next tasks of that worker."""
-    return TextEncoder(vocabulary(path))
+    return TextEncoder(vocabulary(path), PACKING_WORDS)
 
 
 # --- decoding ------------------------------------------------------------------
