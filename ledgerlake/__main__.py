@@ -26,7 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--jdbc-partitions", type=int, default=16,
                         help="range queries per table, by its numeric key (default 16)")
     parser.add_argument("--single-line-csv", action="store_true",
-                        help="no quoted field holds a newline, so large files can be split")
+                        help="no quoted field holds a newline: the files aren't searched for them")
     parser.add_argument("--dashboards", metavar="FOLDER",
                         help="then write every dashboard query over the marts as Parquet there")
     parser.add_argument("--local", type=int, help="run on this many local cores")
@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     from ledgerlake.sources.crosswalk import RawLayer
     from ledgerlake.sources.readers import (
         credentials_from_env,
-        key_range_options,
+        key_ranges,
         read_jdbc_table,
         read_raw_csv,
     )
@@ -50,8 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         raw = RawLayer(spark, args.driver).as_dict()
     elif args.jdbc:
         creds = credentials_from_env()
-        raw = {t: read_jdbc_table(spark, args.jdbc, t, **creds, **key_range_options(
-            spark, args.jdbc, t, args.jdbc_partitions, **creds)) for t in RELATIONAL_TABLES}
+        raw = {t: read_jdbc_table(spark, args.jdbc, t, key_ranges(
+            spark, args.jdbc, t, args.jdbc_partitions, **creds), **creds) for t in RELATIONAL_TABLES}
         raw.update(read_raw_csv(spark, args.csv, CSV_TABLES, not args.single_line_csv))
     else:
         raw = read_raw_csv(spark, args.csv, multiline=not args.single_line_csv)

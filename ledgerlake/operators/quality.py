@@ -430,9 +430,9 @@ def check_row_parity(source: Mapping[str, DataFrame], raw: Mapping[str, DataFram
 def csv_records(spark, path: str, multiline: bool = True) -> DataFrame:
     """L-01 for one or several files: data records (quoted newlines and each file's header
     understood), counted distributed."""
-    from ledgerlake.sources.readers import csv_reader
+    from ledgerlake.sources.readers import csv_texts_table
 
-    return csv_reader(spark, multiline=multiline).csv(path).agg(F.count(F.lit(1)).alias("csv_rows"))
+    return csv_texts_table(spark, path, multiline=multiline).agg(F.count(F.lit(1)).alias("csv_rows"))
 
 
 def check_values_not_null(tables: Mapping[str, DataFrame],

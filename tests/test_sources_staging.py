@@ -122,6 +122,26 @@ def test_jdbc_reads_are_split_by_numeric_key(spark, monkeypatch):
     assert readers.key_range_options(spark, "jdbc:x", "contas", 1) == {}
 
 
+def test_jdbc_ranges_follow_the_rows(spark, monkeypatch):
+    """A sparse key: ranges of equal rows, every row (a NULL key, too) in exactly one."""
+    from ledgerlake.sources import readers
+
+    keys = [*range(1, 901), *range(10**9, 10**9 + 100)]
+    low = [keys[i * len(keys) // 8] for i in range(8)]
+    monkeypatch.setattr(readers, "key_quantiles", lambda *_, **__: low[::-1])
+    predicates = readers.key_ranges(spark, "jdbc:x", "contas", 8)
+    column = readers.RAW_KEYS["contas"][0]
+    rows = spark.createDataFrame([(k,) for k in [*keys, None, -5, 2**40]], f"{column} long")
+    held = [rows.where(p).count() for p in predicates]
+    assert len(held) == 8 and sum(held) == len(keys) + 3
+    assert max(held) <= len(keys) / 8 + 3
+    assert sum(rows.where(p).where(f"{column} is null").count() for p in predicates) == 1
+    assert readers.key_ranges(spark, "jdbc:x", "contas", 1) == []
+    assert readers.range_predicates("k", []) == []
+    assert readers.range_predicates("k", [5, 5]) == ["1 = 1"]
+    assert readers.range_predicates("k", [5, 5, 7]) == ["k < 7 OR k IS NULL", "k >= 7"]
+
+
 def test_gate_names_empty_tables(spark):
     full = spark.createDataFrame([(1, 2)], "cod_colaborador int, cod_agencia int")
     empty = spark.createDataFrame([], "cod_agencia int")
