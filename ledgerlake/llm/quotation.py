@@ -14,14 +14,21 @@
    finds each message's thread (the first message of its reply chain) and its
    depth in about log(depth) joins.
 
-Rows ordered by conversation, thread, depth and turn are the conversations in
-reply order, without quotes (:func:`ordered`).
+4. The place of a message in its conversation is one more than what stands
+   before it: the earlier threads, and on its way up to the thread's first message
+   each ancestor and the earlier answers to it with all below them. Pointer jumping
+   counts the replies below each message, prefix sums over ranges add up earlier
+   answers, and a second pointer jumping adds these up along the way.
+
+Rows ordered by conversation and position are the conversations in reply
+order, without quotes (:func:`ordered`).
 
 Defined results: null and empty texts have no passages; a message without a
 linked quote begins a thread of its own; a quote never links to the message
 itself or a later one; rows with a null conversation or turn are kept, without
-links; of several rows with the same conversation and turn each is parsed by
-itself, and all share one place in the thread (that of the latest message they
+links and position; an empty table gives no rows; texts of any length are parsed
+whole, and other columns of any name are ignored; of several rows with the same conversation and turn each is parsed by
+itself, and all share one place and position (that of the latest message they
 answer).
 """
 
@@ -32,7 +39,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import salted_join, written
@@ -133,42 +140,99 @@ def links(parts: DataFrame) -> DataFrame:
         "conv_id", "turn", F.col("best.first").alias("reply_to"), "n_linked")
 
 
-def threads(replies: DataFrame, most_rounds: int = 64) -> DataFrame:
-    """conv_id, turn, root_turn and reply_depth of each reply, by pointer jumping."""
-    state = written(replies.select("conv_id", "turn", F.col("reply_to").alias("root_turn"),
-                                   F.lit(1).cast("long").alias("reply_depth")), "threads")
+def threads(replies: DataFrame, steps: str | None = None, most_rounds: int = 64) -> DataFrame:
+    """conv_id, turn, root_turn, reply_depth and size of each reply, by pointer jumping.
+
+    ``size`` counts the message and all replies below it: a round adds the
+    counts of those that it moves up from a message to that message. With a
+    column ``steps``, its sum along the way to the root is returned instead of
+    depth and size.
+    """
+    state = written(replies.select(
+        "conv_id", "turn", F.col("reply_to").alias("root_turn"),
+        (F.col(steps) if steps else F.lit(1)).cast("long").alias("way"), F.lit(1).cast("long").alias("size")),
+        "threads")
     for _ in range(most_rounds):
         # only targets that are replies themselves move on
         above = state.select("conv_id", F.col("turn").alias("root_turn"),
-                             F.col("root_turn").alias("up"), F.col("reply_depth").alias("more"))
+                             F.col("root_turn").alias("up"), F.col("way").alias("more"))
         above = above.join(state.select("conv_id", "root_turn").distinct(),
                            ["conv_id", "root_turn"], "left_semi")
         joined = salted_join(state, above, ["conv_id", "root_turn"], "turn", "left")
         moved = written(joined.select(
             "conv_id", "turn", F.coalesce("up", "root_turn").alias("root_turn"),
-            (F.col("reply_depth") + F.coalesce("more", F.lit(0))).alias("reply_depth"),
-            F.col("up").isNotNull().alias("_moved")), "threads")
-        state = moved.drop("_moved")
-        if moved.where("_moved").limit(1).count() == 0:
-            return state
+            (F.col("way") + F.coalesce("more", F.lit(0))).alias("way"), "size",
+            F.when(F.col("up").isNotNull(), F.col("root_turn")).alias("_passed")), "threads")
+        state = moved.drop("_passed")
+        last = moved.where("_passed is not null").limit(1).count() == 0
+        if steps is None and not last:
+            below = moved.where("_passed is not null").groupBy(
+                "conv_id", F.col("_passed").alias("turn")).agg(F.sum("size").alias("more"))
+            state = written(state.join(below, ["conv_id", "turn"], "left").select(
+                "conv_id", "turn", "root_turn", "way",
+                (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")), "threads")
+        if last:
+            return (state.withColumnRenamed("way", "reply_depth") if steps is None
+                    else state.withColumnRenamed("way", steps).drop("size"))
     raise RuntimeError(f"reply chains longer than 2**{most_rounds}")
 
 
+def earlier_sums(rows: DataFrame, group: list[str], order: str, value: str, out: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows before each in its group.
+
+    Rows are dealt into ranges of (group, order), so a group of any size is
+    summed by many tasks; a range takes over the sums of the ranges before it
+    (one small row per range and group).
+    """
+    ranged = written(rows.repartitionByRange(*group, order).withColumn(
+        "_range", F.spark_partition_id()), "ranges")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*group, "_range").agg(F.sum(value).alias("_sum"))
+    carried = sums.select(*group, "_range", F.sum("_sum").over(
+        before.partitionBy(*group).orderBy("_range")).alias("_carried"))
+    within = ranged.withColumn("_within", F.sum(value).over(
+        before.partitionBy("_range", *group).orderBy(order)))
+    return within.join(carried, [*group, "_range"]).withColumn(
+        out, F.coalesce("_carried", F.lit(0)) + F.coalesce("_within", F.lit(0))).drop(
+        "_range", "_carried", "_within")
+
+
+def positions(parts: DataFrame, placed: DataFrame) -> DataFrame:
+    """conv_id, turn and position (from 1) of each message in its conversation's reply order:
+    threads by their first turn, each answer after what it answers, with all answers to it
+    before the next answer to the same message."""
+    nodes = parts.where("conv_id is not null and turn is not null").select(
+        "conv_id", "turn").distinct()
+    trees = nodes.join(placed.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti").join(
+        placed.groupBy("conv_id", F.col("root_turn").alias("turn")).agg(
+            F.count(F.lit(1)).alias("n")), ["conv_id", "turn"], "left")
+    first = written(earlier_sums(
+        trees.withColumn("size", F.coalesce("n", F.lit(0)) + 1), ["conv_id"], "turn", "size",
+        "position").select("conv_id", "turn", (F.col("position") + 1).alias("position"), "n"), "trees")
+    siblings = earlier_sums(placed.select("conv_id", "turn", "reply_to", "size"),
+                            ["conv_id", "reply_to"], "turn", "size", "steps")
+    inner = threads(siblings.withColumn("steps", F.col("steps") + 1), "steps")
+    roots = first.where("n > 0").select("conv_id", F.col("turn").alias("root_turn"), "position")
+    below = salted_join(inner, roots, ["conv_id", "root_turn"], "turn").select(
+        "conv_id", "turn", (F.col("position") + F.col("steps")).alias("position"))
+    return first.select("conv_id", "turn", "position").unionByName(below)
+
+
 def link_quotations(messages: DataFrame) -> DataFrame:
-    """Every message without its quotes, the message it answers, its thread and depth."""
+    """Every message without its quotes, the message it answers, its thread, depth and position."""
     parts = written(parsed(messages), "messages")
     found = written(links(parts), "replies")
-    placed = threads(found).join(found, ["conv_id", "turn"])
+    placed = written(threads(found).join(found, ["conv_id", "turn"]), "placed")
+    places = positions(parts, placed).join(placed.drop("size"), ["conv_id", "turn"], "left")
     body = parts.select("conv_id", "turn", "role", "text", "quote_level", "n_quoted_lines")
-    out = salted_join(body.withColumn("_spread", F.xxhash64("text")), placed,
-                      ["conv_id", "turn"], "_spread", "left")
-    return out.select(
+    # rows that repeat a turn are few or, if many, a skewed partition that Spark splits
+    return body.join(places, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "text", "quote_level", "n_quoted_lines",
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "reply_to",
         F.coalesce("root_turn", "turn").alias("root_turn"),
-        F.coalesce("reply_depth", F.lit(0)).cast("long").alias("reply_depth"))
+        F.coalesce("reply_depth", F.lit(0)).cast("long").alias("reply_depth"), "position")
 
 
 def ordered(linked: DataFrame) -> DataFrame:
-    """The messages in reply order."""
-    return linked.orderBy("conv_id", "root_turn", "reply_depth", "turn")
+    """The conversations in reply order, without quotes."""
+    return linked.orderBy("conv_id", "position", "turn")

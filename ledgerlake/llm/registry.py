@@ -109,8 +109,8 @@ def op9_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message's place in reply order, and its text without quotes as a digest."""
     linked = quotation.link_quotations(read_table(spark, sf_dir, "conversations"))
     return linked.select(
-        "conv_id", "turn", "role", "reply_to", "root_turn", "reply_depth", "quote_level",
-        "n_quoted_lines", "n_linked", F.char_length("text").cast("long").alias("n_chars"),
+        "conv_id", "turn", "role", "reply_to", "root_turn", "reply_depth", "position",
+        "quote_level", "n_quoted_lines", "n_linked", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 

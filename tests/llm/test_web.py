@@ -192,6 +192,39 @@ def test_threads_equal_brute_force(spark):
             assert order.index((at[0], want[at][0])) < i
 
 
+def _reply_order(rows):
+    """Position of each (conversation, turn) by walking every thread from its first message."""
+    want, reply = {}, {at: up for at, (up, _, _) in _threads(rows).items()}
+    for c in {c for c, *_ in rows}:
+        answers = {}
+        for (d, t), up in sorted(reply.items()):
+            if d == c:
+                answers.setdefault(up, []).append(t)
+        todo = answers[None][::-1]
+        while todo:
+            t = todo.pop()
+            want[c, t] = sum(d == c for d, _ in want) + 1
+            todo += answers.get(t, [])[::-1]
+    return want
+
+
+def test_positions_equal_a_walk(spark):
+    rnd = random.Random(3)
+    rows = [(1, 1, "u", "m1"), (1, 2, "u", "> m1\nm2"), (1, 3, "u", "> m1\nm3"),
+            (1, 4, "u", "> m2\nm4"), (1, 5, "u", "> m3\nm5")]
+    for c in range(2, 8):  # trees of any shape, some messages begin threads of their own
+        for t in range(rnd.randint(1, 60)):
+            up = rnd.randrange(t) if t and rnd.random() < 0.85 else None
+            rows.append((c, t, "u", (f"> line {up}\n" if up is not None else "") + f"line {t}"))
+    rows += [(9, 0, "u", "line 0"), *[(9, t, "u", f"> line {t - 1}\nline {t}") for t in range(1, 40)]]
+    rows += [(10, 0, "u", "line 0"), *[  # a third of all rows answer one message
+        (10, t, "u", f"> line 0\nline {t}") for t in range(1, len(rows) // 2)]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r["position"] for r in quotation.link_quotations(df).collect()}
+    assert got == _reply_order(rows)
+    assert [got[1, t] for t in (1, 2, 4, 3, 5)] == [1, 2, 3, 4, 5]
+
+
 def test_odd_messages(spark):
     rows = [(1, 0, "u", None), (1, 1, None, ""), (None, 1, "u", "> x"), (1, None, "u", "> x"),
             (1, 2, "u", "> > >"), (1, 3, "u", "same"), (1, 3, "u", "same"), (1, 4, "u", "> same\nyes"),
@@ -201,6 +234,9 @@ def test_odd_messages(spark):
     got = quotation.link_quotations(df).collect()
     assert len(got) == len(rows)
     at = {(r["conv_id"], r["turn"]): (r["reply_to"], r["root_turn"], r["reply_depth"]) for r in got}
+    places = {(r["conv_id"], r["turn"]): r["position"] for r in got}
+    assert places == {(1, 0): 1, (1, 1): 2, (1, 2): 3, (1, 3): 4, (1, 4): 5, (1, 5): 6,
+                      (None, 1): None, (1, None): None}
     assert at[1, 4] == (3, 3, 1) and at[1, 5] == (4, 3, 2) and at[1, 0] == (None, 0, 0)
     assert quotation.link_quotations(df.limit(0)).count() == 0
 
