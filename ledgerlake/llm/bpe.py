@@ -2,19 +2,30 @@
 
 The merge list bounds how far a later character can reach back: two merge
 orders that differ beyond a window's end differ at most :attr:`Vocabulary.
-lookahead` bytes before it (see :func:`sufficient_lookahead`). The transducer
-holds a window of bytes, merges it by rank, emits the tokens that end at least
-that far before the window's end, and goes on with the rest; what was emitted
-never changes, so memory stays constant on words of any length. Words that fit
-in a window need no second one. Windows of equal length are merged together as
-rows of one matrix: each step merges the best pair of every row.
-
-Decoding is a state machine over the ids: each id adds the bytes of its
-vocabulary entry, the UTF-8 state carries incomplete characters from id to id.
+lookahead` bytes before it (see :func:`sufficient_lookahead`). A word's stream
+(:class:`WordStream`) holds a window of bytes, merges it by rank, emits the
+tokens that end at least that far before the window's end, and goes on with the
+rest; what was emitted never changes, so memory stays constant on words of any
+length.
+
+Texts pass through a :class:`Transducer` in chunks of characters. It carries
+the characters after the last blank into the next chunk, and emits the ids of
+whatever no later character can change: of all ended words, looked up in a
+memo of words (new words of a chunk are merged together, windows of equal
+length as rows of one matrix), and of the settled part of a run without blanks
+that outgrows :data:`RUN` characters. A chunk border changes no id.
+
+Decoding is a state machine over the ids in order: each id adds the bytes of
+its vocabulary entry, the UTF-8 state carries incomplete characters from id to
+id and from chunk to chunk.
 
 A vocabulary file is the tokenizers library's JSON of a BPE with word ends:
 NFC, white space collapsed, lower case; words cut by the file's pattern.
-Defined results: a null text is empty and has no ids.
+Defined results: a null text is empty and has no ids, an empty table gives an
+empty result; a very long text takes many chunks, a very long run many windows
+(only a run of combining characters without any other is held whole); rows that
+are repeated, or share an id, are each encoded; of other columns only those
+named by ``carry`` are read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -39,10 +50,19 @@ from ledgerlake.llm.common import WordTable, by_length, text_groups
 
 #: Bytes of a window at least; longer words take several.
 WINDOW = 64
+#: Characters of a text that are read at a time.
+CHUNK = 1 << 16
+#: A run without blanks that is longer than this (in characters) is encoded while it goes on.
+RUN = 4096
+#: Characters held back at the end of such a run: more than any special token or fixed
+#: alternative of a pattern has.
+HOLD = 32
 _NONE = np.int32(2**31 - 1)
 #: Fixed value: white space for the normaliser (Unicode White_Space).
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _NOT_SPACE = re.compile(f"[^{SPACES}]+")
+_FIRST_BLANK = re.compile(f"[{SPACES}]")
+_TAIL = re.compile(f"[^{SPACES}]*\\Z")
 #: Python's str.split() also splits at these.
 _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -232,22 +252,9 @@ class Vocabulary:
 
     def encode_word(self, data: bytes, window: int | None = None) -> Iterator[np.ndarray]:
         """Stable ids of one word, in order, from a window that slides over its bytes."""
-        window = max(window or 0, WINDOW, 2 * self.lookahead + int(self.widths.max()))
-        at = 0
-        while True:
-            part = np.frombuffer(data, np.uint8, min(window, len(data) - at), at)
-            last = at + len(part) == len(data)
-            row = self.inner[part]
-            if last:
-                row[-1] = self.final[part[-1]]
-            ids = np.array(self._merge_one(row.tolist()), np.int32)
-            if last:
-                yield ids
-                return
-            ends = np.cumsum(self.widths[ids])
-            stable = int(np.searchsorted(ends, len(part) - self.lookahead, "right"))
-            yield ids[:stable]
-            at += int(ends[stable - 1])
+        stream = WordStream(self, window)
+        yield stream.feed(data)
+        yield stream.finish()
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words as the pattern cuts them: all in one array, and how many each has."""
@@ -285,17 +292,43 @@ class Vocabulary:
                 out += self._cut(word[at:m.start()]) + [m.group()]
                 at = m.end()
             return out + self._cut(word[at:])
-        if word.isascii():
-            word = word.lower()
-        elif not letters and any(map(_unassigned, word)):
-            # newer characters: as the library's Unicode has them
-            word = self._library_normal.normalize_str(word)
-            return [p for p, _ in self._library_split.pre_tokenize_str(word)]
-        else:
-            word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        word = self.normal(word, letters)
         if word.isalpha() and self.letters_whole:
             return [word]
-        return self.pattern.findall(word)
+        return [word[a:b] for a, b in self.spans(word)]
+
+    def normal(self, word: str, letters: bool = False) -> str:
+        """Characters as the vocabulary has them (``letters``: known to be letters only)."""
+        if word.isascii():
+            return word.lower()
+        if not letters and any(map(_unassigned, word)):
+            # newer characters: as the library's Unicode has them
+            return self._library_normal.normalize_str(word)
+        return unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+
+    def spans(self, word: str) -> list[tuple[int, int]]:
+        """Where the parts of a normalised run begin and end."""
+        if not word.isascii() and any(map(_unassigned, word)):
+            return [at for _, at in self._library_split.pre_tokenize_str(word)]
+        return [m.span() for m in self.pattern.finditer(word)]
+
+    @functools.cached_property
+    def entries(self) -> dict[int, bytes]:
+        """Each id's entry as the vocabulary writes it, after a separating space."""
+        return {i: b" " + t.encode() for i, t in self.strings.items()}
+
+    @functools.cached_property
+    def word_bytes(self) -> dict[int, bytes]:
+        """The bytes of text that each id stands for, a space at a word's end."""
+        byte_of, end = {c: b for b, c in enumerate(byte_letters())}, self.suffix
+        return {i: t.encode() if t in self.special else
+                bytes(byte_of[c] for c in t.removesuffix(end)) + b" " * t.endswith(end)
+                for i, t in self.strings.items()}
+
+    @functools.cached_property
+    def numbers(self) -> dict[int, bytes]:
+        """Each id in decimal, after a separating space."""
+        return {i: b" %d" % i for i in self.strings}
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of runs without white space: all in one array, and how many each has."""
@@ -319,6 +352,138 @@ class Vocabulary:
         return ids, each.astype(np.int64)
 
 
+class WordStream:
+    """Bytes of one word to ids: ``feed`` returns those that no later byte can change."""
+
+    def __init__(self, vocabulary: Vocabulary, window: int | None = None):
+        self.vocabulary = vocabulary
+        self.window = max(window or 0, WINDOW,
+                          2 * vocabulary.lookahead + int(vocabulary.widths.max()))
+        self.held = bytearray()
+
+    def feed(self, data: bytes) -> np.ndarray:
+        v, out, at = self.vocabulary, [np.zeros(0, np.int32)], 0
+        self.held += data
+        while len(self.held) - at > self.window:
+            part = np.frombuffer(bytes(self.held[at:at + self.window]), np.uint8)
+            ids = np.array(v._merge_one(v.inner[part].tolist()), np.int32)
+            ends = np.cumsum(v.widths[ids])
+            stable = int(np.searchsorted(ends, self.window - v.lookahead, "right"))
+            out.append(ids[:stable])
+            at += int(ends[stable - 1])
+        del self.held[:at]
+        return np.concatenate(out)
+
+    def finish(self) -> np.ndarray:
+        part = np.frombuffer(bytes(self.held), np.uint8)
+        row = self.vocabulary.inner[part]
+        row[-1] = self.vocabulary.final[part[-1]]
+        return np.array(self.vocabulary._merge_one(row.tolist()), np.int32)
+
+
+class RunStream:
+    """Characters of one long run without blanks to ids, while the run goes on.
+
+    Held are the last characters of the run as they came (a special token or a
+    combining character may follow), the last normalised ones (the pattern may
+    cut them otherwise), and the window of the part that is open. Of an open
+    part that is in the window already, :data:`HOLD` characters stay before the
+    new ones, so the pattern goes on with the same kind of part.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.raw = self.normal = ""
+        self.seen = 0  # characters of ``normal`` that the window has
+        self.part: WordStream | None = None
+
+    def feed(self, chars: str, last: bool = False) -> list[np.ndarray]:
+        v, out, at = self.vocabulary, [], 0
+        raw = self.raw + chars
+        end = len(raw)
+        if not last:
+            end = max(0, end - HOLD)
+            while end and _joins_before(raw[end]):
+                end -= 1
+        for m in v._special.finditer(raw) if v.special else ():
+            if m.start() >= end:
+                break
+            out += self._plain(raw[at:m.start()], True)
+            out.append(np.array([v.special[m.group()]], np.int32))
+            at, end = m.end(), max(end, m.end())
+        out += self._plain(raw[at:end], last)
+        self.raw = raw[end:]
+        return out
+
+    def _plain(self, chars: str, closed: bool) -> list[np.ndarray]:
+        """Ids that characters without special tokens settle; all of them, if the run is closed."""
+        v, out = self.vocabulary, []
+        text = self.normal + v.normal(chars)
+        for a, b in v.spans(text):
+            seen = self.seen if a == 0 else 0
+            if not closed and b > len(text) - HOLD:
+                if b - max(a, seen) > 4 * HOLD:
+                    self.part = self.part or WordStream(v)
+                    out.append(self.part.feed(text[max(a, seen):b - HOLD].encode()))
+                    a, seen = b - 2 * HOLD, HOLD
+                self.normal, self.seen = text[a:], seen
+                return out
+            if seen:
+                out += [self.part.feed(text[seen:b].encode()), self.part.finish()]
+                self.part = None
+            else:
+                out.append(v.encode_parts([text[a:b]])[0])
+        self.normal, self.seen = "", 0
+        return out
+
+
+def _joins_before(c: str) -> bool:
+    """Whether a character may change the one before it when text is composed."""
+    return unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn") or "\u1160" <= c <= "\u11ff"
+
+
+class Transducer:
+    """Texts in chunks to ids, several texts side by side (for the memo's sake)."""
+
+    def __init__(self, encoder: TextEncoder, streams: int):
+        self.encoder = encoder
+        self.open = [""] * streams  # the characters after the last blank
+        self.long: dict[int, RunStream] = {}  # streams within a long run
+
+    def feed(self, chunks: list[tuple[int, str, bool]]) -> list[np.ndarray]:
+        """Settled ids for each (stream, next characters, whether they are its last)."""
+        words: list[str] = []
+        spans, before, after = [], [], []
+        for stream, chunk, last in chunks:
+            head, text = [], self.open[stream] + chunk
+            if stream in self.long:
+                blank = _FIRST_BLANK.search(text)
+                upto = blank.start() if blank else len(text)
+                ended = last or blank is not None
+                head = self.long[stream].feed(text[:upto], ended)
+                if ended:
+                    del self.long[stream]
+                text = text[upto:]
+            cut = len(text) if last else _after_last_blank(text)
+            own, rest, tail = split_words(text[:cut]), text[cut:], []
+            if len(rest) > RUN and stream not in self.long:
+                self.long[stream] = RunStream(self.encoder.vocabulary)
+                tail, rest = self.long[stream].feed(rest), ""
+            self.open[stream] = rest
+            spans.append(len(own))
+            words += own
+            before.append(head)
+            after.append(tail)
+        flat, counts = self.encoder.encode_words(words)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *spans])]
+        return [np.concatenate([*head, flat[a:b], *tail]) if head or tail else flat[a:b]
+                for head, tail, a, b in zip(before, after, ends, ends[1:])]
+
+
+def _after_last_blank(text: str) -> int:
+    return len(text) - len(_TAIL.search(text).group())
+
+
 def runs(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Runs of ``flat`` one after the other."""
     total = int(counts.sum())
@@ -362,13 +527,18 @@ class TextEncoder:
             own = split_words(t)
             per_text[i] = len(own)
             words += own
+        flat, counts = self.encode_words(words)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        last = np.cumsum(per_text)
+        return flat, ends[last] - ends[last - per_text]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and how many each word has."""
         if not words:
-            return np.zeros(0, np.int32), per_text
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         at = self.words.lookup(words)
         starts, counts = (c[at] for c in self.words.columns)
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        last = np.cumsum(per_text)
-        return runs(self.flat, starts, counts), ends[last] - ends[last - per_text]
+        return runs(self.flat, starts, counts), counts
 
 
 #: Words that the encoder of a worker remembers (about 250 bytes each).
@@ -386,32 +556,24 @@ def text_encoder(path: str) -> TextEncoder:
 
 
 class Decoder:
-    """Ids to text, one at a time: ``feed`` returns the characters that an id completes.
+    """Ids to text in order: ``feed`` returns the characters that the next ids complete.
 
     With ``words``, ids give their bytes and a word end gives a space (the text
     itself, normalised). Without, entries appear as the vocabulary writes them,
     separated by spaces (the library's decode() of a file without a decoder).
+    The state is whether an id came before, and the bytes of an unfinished character.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: bool = False):
-        self.vocabulary, self.words = vocabulary, words
+        self.table = vocabulary.word_bytes if words else vocabulary.entries
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
-        self.first = True
-        self.bytes_of = {c: b for b, c in enumerate(byte_letters())}
-
-    def data(self, i: int) -> bytes:
-        """Bytes that the id stands for."""
-        entry = self.vocabulary.strings.get(i, "")
-        if not self.words or entry in self.vocabulary.special:
-            return entry.encode()
-        end = entry.endswith(self.vocabulary.suffix)
-        letters = entry[:-len(self.vocabulary.suffix)] if end else entry
-        return bytes(self.bytes_of[c] for c in letters) + b" " * end
-
-    def feed(self, i: int) -> str:
-        gap = "" if self.first or self.words else " "
-        self.first = False
-        return self.state.decode((gap.encode()) + self.data(i))
+        self.first = not words
+
+    def feed(self, ids: Iterable[int]) -> str:
+        data = b"".join(map(self.table.__getitem__, ids))
+        if self.first and data:
+            self.first, data = False, data[1:]
+        return self.state.decode(data)
 
     def finish(self) -> str:
         return self.state.decode(b"", final=True)
@@ -419,85 +581,57 @@ class Decoder:
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary, words: bool = False) -> str:
     machine = Decoder(vocabulary, words)
-    return "".join([machine.feed(int(i)) for i in ids]) + machine.finish()
+    return machine.feed(map(int, ids)) + machine.finish()
 
 
 # --- over a table -----------------------------------------------------------------
 
 
-class _Digester:
-    """Count, digest of the ids and digest of the decoded text of texts.
-
-    Ids are shown and decoded once per distinct word and joined per text: the
-    decoder is between characters after each entry.
-    """
+class _TextDigest:
+    """What the ids of one text, as they come, add up to."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.encoder = TextEncoder(vocabulary)
-        self.machine = Decoder(vocabulary)
-        self.entries: dict[int, bytes] = {}
-        self.shown: list[bytes] = []
-        self.decoded: list[bytes] = []
-
-    def _entry(self, i: int) -> bytes:
-        if i not in self.entries:
-            self.machine.first = True  # the joins put in the separator
-            self.entries[i] = self.machine.feed(i).encode()
-        return self.entries[i]
-
-    def _lookup(self, words: list[str]) -> np.ndarray:
-        table = self.encoder.words
-        before = table.restarts
-        at = table.lookup(words)
-        if table.restarts > before:
-            self.shown, self.decoded = [], []
-        known, n = len(self.shown), len(table.index)
-        if known < n:
-            starts, counts = (c[known:n] for c in table.columns)
-            ids = self.encoder.flat[starts[0]:starts[-1] + counts[-1]].tolist()
-            numbers = [b"%d" % i for i in ids]
-            entries = list(map(self._entry, ids))
-            end = 0
-            for c in counts.tolist():
-                start, end = end, end + c
-                self.shown.append(b" ".join(numbers[start:end]))
-                self.decoded.append(b" ".join(entries[start:end]))
-        return at
-
-    def digest(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
-        words = [split_words(t) for t in texts]
-        flat = [w for own in words for w in own]
-        at = self._lookup(flat) if flat else np.zeros(0, np.int64)
-        counts = self.encoder.words.columns[1][at] if flat else at
-        n, id_hash, text_hash = [], [], []
-        pos = 0
-        for own in words:
-            each = counts[pos:pos + len(own)]
-            rows = at[pos:pos + len(own)][each > 0].tolist()
-            pos += len(own)
-            n.append(int(each.sum()))
-            id_hash.append(hashlib.sha256(
-                b" ".join(map(self.shown.__getitem__, rows))).hexdigest())
-            text_hash.append(hashlib.sha256(
-                b" ".join(map(self.decoded.__getitem__, rows))).hexdigest())
-        return n, id_hash, text_hash
+        self.numbers, self.decoder = vocabulary.numbers, Decoder(vocabulary)
+        self.n, self.ids, self.decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+    def feed(self, ids: np.ndarray) -> None:
+        if not len(ids):
+            return
+        some = ids.tolist()
+        shown = b"".join(map(self.numbers.__getitem__, some))
+        self.ids.update(shown if self.n else shown[1:])
+        self.decoded.update(self.decoder.feed(some).encode())
+        self.n += len(some)
+
+    def finish(self) -> tuple[int, str, str]:
+        self.decoded.update(self.decoder.finish().encode())
+        return self.n, self.ids.hexdigest(), self.decoded.hexdigest()
+
+
+def digest(texts: list[str], encoder: TextEncoder, chunk: int = CHUNK) -> list[tuple[int, str, str]]:
+    """Number of ids, digest of the ids and of the decoded text, of each text: chunks go
+    through the transducer, its ids through the decoder."""
+    transducer = Transducer(encoder, len(texts))
+    found = [_TextDigest(encoder.vocabulary) for _ in texts]
+    for at in range(0, max(map(len, texts), default=0), chunk):
+        some = [(i, t[at:at + chunk], at + chunk >= len(t))
+                for i, t in enumerate(texts) if at < len(t)]
+        for (i, _, _), ids in zip(some, transducer.feed(some)):
+            found[i].feed(ids)
+    return [f.finish() for f in found]
 
 
 def digests(docs: DataFrame, vocabulary_path: str, carry: list[str]) -> DataFrame:
     """``carry`` and n_tokens, ids_sha256, decoded_sha256 of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digester = _Digester(vocabulary(vocabulary_path))
+        encoder = text_encoder(vocabulary_path)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            n, ids, decoded = [], [], []
-            for a, b in text_groups(texts):
-                x, y, z = digester.digest(texts[a:b])
-                n += x
-                ids += y
-                decoded += z
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)],
-                [*carry, "n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [r for a, b in text_groups(texts) for r in digest(texts[a:b], encoder)]
+            made = [pa.array([r[k] for r in rows], kind)
+                    for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made],
+                                             [*carry, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = docs.select(*carry).schema
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"),

@@ -47,12 +47,10 @@ def test_small_tables_start_anew(library):
     for t in texts:
         flat, _ = encoder.encode([t])
         assert flat.tolist() == library.encode(t, add_special_tokens=False).ids
-    digester = bpe._Digester(vocabulary(PATH))
-    digester.encoder.words.limit = 60
+    encoder = TextEncoder(vocabulary(PATH), limit=60)
     for t in texts:
-        n, ids, _ = digester.digest([t])
         want = library.encode(t, add_special_tokens=False).ids
-        assert (n[0], ids[0]) == (len(want), hashlib.sha256(
+        assert bpe.digest([t], encoder)[0][:2] == (len(want), hashlib.sha256(
             " ".join(map(str, want)).encode()).hexdigest())
 
 
@@ -94,6 +92,57 @@ def test_streaming_windows_and_decoding(library):
     assert decode(ids, v, words=True) == text + " "
 
 
+def _streamed(text, chunks, encoder):
+    transducer, out = bpe.Transducer(encoder, 1), []
+    for k, c in enumerate(chunks):
+        out += transducer.feed([(0, c, k == len(chunks) - 1)])[0].tolist()
+    return out
+
+
+def test_chunk_borders_change_no_id(library):
+    """A border at every position, and chunks of every small size, with runs longer than RUN."""
+    encoder = TextEncoder(vocabulary(PATH))
+    text = ("naïve cafe\u0301 漢字 🎉 we'll <|endoftext|>don't x<|startoftext|>y 1234 "
+            "ΣΑΣ \u1112\u1161\u11ab \U0001fae8x !!!'s  \u3000end")
+    want = library.encode(text, add_special_tokens=False).ids
+    for at in range(len(text) + 1):
+        assert _streamed(text, [text[:at], text[at:]], encoder) == want
+    for n in range(1, 9):
+        cuts = [text[k:k + n] for k in range(0, len(text), n)]
+        assert _streamed(text, cuts, encoder) == want
+
+
+def test_long_runs_stream_in_constant_memory(library, monkeypatch):
+    monkeypatch.setattr(bpe, "RUN", 50)
+    encoder, rnd = TextEncoder(vocabulary(PATH)), random.Random(8)
+    bits = ["thing", "'s", "'ll", "!!!", "é", "e\u0301", "漢字", "7", "<|endoftext|>", "<|end",
+            "a" * 300, "?!'" * 90, "\u1112\u1161\u11ab", "ΣΑΣ", "🎉", "\U0001fae8", "'"]
+    for _ in range(120):
+        text = "".join(rnd.choice(bits) * rnd.randint(1, 3) for _ in range(rnd.randint(5, 60)))
+        text += rnd.choice(["", " end", " "])
+        want = library.encode(text, add_special_tokens=False).ids
+        n = rnd.choice([1, 7, 40, 333])
+        assert _streamed(text, [text[k:k + n] for k in range(0, len(text), n)], encoder) == want
+    assert max(map(len, encoder.words.index)) <= 50 + 333
+    run, out = bpe.RunStream(vocabulary(PATH)), []
+    for _ in range(2000):  # one word of 2 M characters
+        out += run.feed("thinginghaedable" * 64)
+        assert len(run.raw) + len(run.normal) < 2000 and len(run.part.held) < 4000
+    out = np.concatenate(out + run.feed("", True))
+    assert int(vocabulary(PATH).widths[out].sum()) == 2000 * 64 * 16
+
+
+def test_decoder_carries_bytes_between_ids(library):
+    v = vocabulary(PATH)
+    text = "naïve 漢字 🎉 café ﷽"
+    ids = TextEncoder(v).encode([text])[0].tolist()
+    machine, plain = bpe.Decoder(v, words=True), bpe.Decoder(v)
+    assert "".join(machine.feed([i]) for i in ids) + machine.finish() == text + " "
+    assert "".join(plain.feed([i]) for i in ids) == library.decode(ids, skip_special_tokens=False)
+    cut = bpe.Decoder(v, words=True)
+    assert (cut.feed([int(v.inner[0xE6])]), cut.finish()) == ("", "\ufffd")
+
+
 def test_codec_query_on_odd_rows(odd, empty, library):
     rows = bpe.digests(odd, PATH, ["doc_id"]).collect()
     want = Counter()
