@@ -62,7 +62,6 @@ _NONE = np.int32(2**31 - 1)
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _NOT_SPACE = re.compile(f"[^{SPACES}]+")
 _FIRST_BLANK = re.compile(f"[{SPACES}]")
-_TAIL = re.compile(f"[^{SPACES}]*\\Z")
 #: Python's str.split() also splits at these.
 _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -481,7 +480,8 @@ class Transducer:
 
 
 def _after_last_blank(text: str) -> int:
-    return len(text) - len(_TAIL.search(text).group())
+    last = _NOT_SPACE.match(text[::-1])
+    return len(text) - (last.end() if last else 0)
 
 
 def runs(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
