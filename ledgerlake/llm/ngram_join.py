@@ -10,7 +10,9 @@
 4. Within a component all pairs of representatives are compared by their
    whole n-gram sets, in blocks of bounded size: a large component is cut into
    blocks, each pair of blocks is one group of rows, and a group emits only
-   its link counts and a spanning forest, never its pairs.
+   its link counts and a spanning forest, never its pairs. Rare n-grams are
+   merged, so texts that a chain of others has brought into one component cost
+   only what they share.
 5. Counts are summed, the forests' components are the classes.
 
 Nothing is capped: a group of near copies of any size is compared in full. The
@@ -18,7 +20,9 @@ work in a component grows with the square of its different texts, the rows
 with blocks times texts.
 
 Words are runs without blanks (space, tab to carriage return), as they stand.
-Defined results: a text of one to ``n`` - 1 words has one n-gram, all its
+Defined results: an empty table gives an empty result; texts are read whole, a
+very long one is a block of its own; only doc_id and text are read, so other
+columns' names can't clash; a text of one to ``n`` - 1 words has one n-gram, all its
 words; null and empty texts have none and link to nothing (their class is
 their own id). For :func:`join_classes` rows that share a doc_id count as one
 document (the smallest key, one with words before none), a null doc_id as an id
@@ -46,7 +50,11 @@ THRESHOLD = 0.8
 RECALL = 0.99
 MAX_HASHES = 100
 #: N-grams and texts in a block at most, on average.
-BLOCK_NGRAMS, BLOCK_TEXTS = 1_000_000, 4096
+BLOCK_NGRAMS, BLOCK_TEXTS = 1_000_000, 512
+#: A visit to a pair that shares an n-gram costs as much as this many counts of a bit.
+MERGE_COST = 320
+#: Such visits at a time.
+MOST_VISITS = 4_000_000
 
 _WORDS = re.compile(WORD)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -177,37 +185,66 @@ def ngram_sets(rows: DataFrame, n: int) -> DataFrame:
                                 "rep long, copies long, grams array<long>")
 
 
+def common_ngrams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many n-grams each set of ``left`` has in common with each of ``right``.
+
+    An n-gram of many sets is one bit of each, counted for all pairs at once;
+    the sets of a rarer one are merged by n-gram, so their pairs alone are
+    visited. The border is where a merge would cost more than a bit, so pairs
+    without a common n-gram cost next to nothing.
+    """
+    shape = len(left), len(right)
+    both = np.zeros(shape, np.int64)
+    size_l, size_r = ([len(s) for s in side] for side in (left, right))
+    term = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    term_l, term_r = term[:sum(size_l)], term[sum(size_l):]
+    owner_l, owner_r = (np.repeat(np.arange(len(s)), s) for s in (size_l, size_r))
+    n = int(term.max()) + 1 if len(term) else 0
+    in_l, in_r = np.bincount(term_l, minlength=n), np.bincount(term_r, minlength=n)
+    dense = in_l * in_r * MERGE_COST > both.size
+
+    number = np.cumsum(dense) - 1
+    width = -(-int(dense.sum()) // 64)
+
+    def as_bits(term: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        bits, use = np.zeros((width, texts), np.uint64), dense[term]
+        bit = number[term[use]]
+        np.bitwise_or.at(bits, (bit // 64, owner[use]), np.uint64(1) << (bit % 64).astype(np.uint64))
+        return bits
+
+    for x, y in zip(as_bits(term_l, owner_l, shape[0]), as_bits(term_r, owner_r, shape[1])):
+        both += np.bitwise_count(x[:, None] & y[None, :])  # 64 n-grams at a time
+
+    order = np.argsort(term_r, kind="stable")
+    begin = np.cumsum(in_r) - in_r
+    use = np.flatnonzero(~dense[term_l] & (in_r[term_l] > 0))
+    ends = np.cumsum(in_r[term_l[use]])
+    at = 0
+    while at < len(use):  # a bounded number of visits at a time
+        past = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, past + MOST_VISITS, "right")))
+        some = use[at:upto]
+        count = in_r[term_l[some]]
+        shift = np.repeat(begin[term_l[some]] - (np.cumsum(count) - count), count)
+        hit = owner_r[order[np.arange(len(shift)) + shift]]
+        both += np.bincount(np.repeat(owner_l[some], count) * shape[1] + hit,
+                            minlength=both.size).reshape(shape)
+        at = upto
+    return both
+
+
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, copies: np.ndarray,
            threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Linked copies of each text, and a label per text: the first text it is connected to.
 
     ``left`` and ``right`` are the texts of the two sides (the same for a
-    block with itself). Only n-grams of at least two texts can be shared; they
-    become bits, so an intersection is a count of common bits.
+    block with itself).
     """
     size = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(flat, kind="stable")
-    new = np.diff(flat[order], prepend=flat[order[0]] - 1) != 0 if len(flat) else np.zeros(0, bool)
-    term = np.cumsum(new) - 1
-    shared = np.bincount(term) > 1
-    number = np.cumsum(shared) - 1
-    use = shared[term]
-    width = max(1, -(-int(shared.sum()) // 64))
-    bits = np.zeros((len(sets), width), np.uint64)
-    bit = number[term[use]]
-    np.bitwise_or.at(bits, (owner[order][use], bit // 64),
-                     np.uint64(1) << (bit % 64).astype(np.uint64))
-    linked = np.zeros((len(left), len(right)), bool)
+    both = common_ngrams([sets[i] for i in left], [sets[i] for i in right])
+    union = size[left][:, None] + size[right][None, :] - both
+    linked = (both >= threshold * union - 1e-9) & (left[:, None] != right[None, :])
     step = max(1, 4_000_000 // max(1, len(right) * 8))
-    for a in range(0, len(left), step):
-        rows = left[a:a + step]
-        both = np.zeros((len(rows), len(right)), np.int64)
-        for w in range(width):  # one word of bits at a time bounds the memory
-            both += np.bitwise_count(bits[rows, w][:, None] & bits[right, w][None, :])
-        union = size[rows][:, None] + size[right][None, :] - both
-        linked[a:a + step] = (both >= threshold * union - 1e-9) & (rows[:, None] != right[None, :])
     total = np.zeros(len(sets), np.int64)
     total[left] += linked @ copies[right]
     if left is not right:

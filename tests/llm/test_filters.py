@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -14,7 +15,6 @@ from ledgerlake.llm import components, fingerprint, ngram_join, quality, registr
 from ledgerlake.llm.common import WORD
 
 
-
 # --- quality rules -------------------------------------------------------------
 
 
@@ -328,6 +328,59 @@ def test_blocks_make_no_difference(spark, monkeypatch):
     assert got == _brute(rows)
 
 
+def test_common_ngrams_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate([rng.choice(40, rng.integers(0, 30)),  # frequent
+                                      rng.integers(1000, 4000, rng.integers(0, 60))]))
+            for _ in range(90)]
+    for visits in (4_000_000, 50):
+        monkeypatch.setattr(ngram_join, "MOST_VISITS", visits)
+        for left, right in ((sets, sets), (sets[:30], sets[30:]), (sets[:1], sets[1:3])):
+            want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+            assert (ngram_join.common_ngrams(left, right) == want).all()
+    assert (ngram_join.common_ngrams([sets[0][:0]], [sets[0][:0]]) == 0).all()
+
+
+def test_a_block_of_texts_that_share_little_is_fast():
+    """4,096 texts, each like one other: the cost follows the shared n-grams, not all n-grams."""
+    rng = np.random.default_rng(9)
+    half = rng.integers(0, 2**62, (2048, 244))
+    sets = [np.sort(x) for x in np.concatenate([half, half])]
+    begun = time.process_time()
+    every = np.arange(4096)
+    links, label = ngram_join._links(sets, every, every, np.ones(4096, np.int64), 0.8)
+    assert (links == 1).all() and (label == np.tile(np.arange(2048), 2)).all()
+    assert time.process_time() - begun < 30
+
+
+def test_recall_of_near_copies(spark):
+    """Of the pairs of a document and its edited copy whose similarity is at the threshold or
+    above, at least 0.97 are in one class (0.99 at the threshold itself, by the bands' formula)."""
+    rnd = random.Random(12)
+    texts = dict(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+                 .select("doc_id", "text").collect())
+
+    def grams(words):
+        return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
+
+    rows, pairs = [], []
+    for i, t in texts.items():
+        words = re.findall(WORD, t or "")
+        if len(words) < 40:
+            continue
+        copy = list(words)
+        for _ in range(rnd.randint(1, max(1, len(words) // 40))):
+            copy[rnd.randrange(len(copy))] = f"changed{rnd.randrange(10**6)}"
+        x, y = grams(words), grams(copy)
+        rows += [(2 * i, t), (2 * i + 1, " ".join(copy))]
+        if len(x & y) >= 0.8 * len(x | y):
+            pairs.append((2 * i, 2 * i + 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = {r["doc_id"]: r["class_id"] for r in ngram_join.join_classes(df).collect()}
+    assert len(pairs) > 100
+    assert sum(classes[a] == classes[b] for a, b in pairs) >= 0.97 * len(pairs)
+
+
 def test_join_odd_rows(odd, empty):
     rows = ngram_join.join_classes(odd).collect()
     ids = [i for i, *_ in odd_rows()]
