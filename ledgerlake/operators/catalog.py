@@ -9,6 +9,7 @@ driver).
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from ledgerlake.functions import pretty_size
 MEDALLION = {"raw": "bronze", "staging": "silver", "marts": "gold"}
 EXCLUDED_PATTERNS = ("pg_%", "dbt_%")
 
+#: Relations whose statistics are gathered at the same time.
+PARALLEL_RELATIONS = 8
+
 _STATS = re.compile(r"(\d+) bytes(?:, (\d+) rows)?")
 
 
@@ -55,22 +59,22 @@ def model_catalog(spark: SparkSession, databases: tuple[str, ...] = ("raw", "sta
     table is never scanned again just to count it.
     """
     known_rows = known_rows or {}
-    entries = []
-    for db in databases:
-        if not spark.catalog.databaseExists(db):
-            continue
-        for t in _listed(spark, db):
-            qualified = f"{db}.{t.name}"
-            if t.tableType == "VIEW":
-                kind, nbytes, nrows = "view", 0, 0
-            else:
-                kind = "table"
-                if analyze:
-                    noscan = " NOSCAN" if qualified in known_rows else ""
-                    spark.sql(f"ANALYZE TABLE {qualified} COMPUTE STATISTICS{noscan}")
-                nbytes, nrows = _statistics(spark, qualified)
-                nrows = known_rows.get(qualified, nrows)
-            entries.append((t.name, db, kind, nrows, nbytes, t.description))
+
+    def entry(relation: tuple) -> tuple:
+        db, t = relation
+        qualified = f"{db}.{t.name}"
+        if t.tableType == "VIEW":
+            return t.name, db, "view", 0, 0, t.description
+        if analyze:
+            noscan = " NOSCAN" if qualified in known_rows else ""
+            spark.sql(f"ANALYZE TABLE {qualified} COMPUTE STATISTICS{noscan}")
+        nbytes, nrows = _statistics(spark, qualified)
+        return t.name, db, "table", known_rows.get(qualified, nrows), nbytes, t.description
+
+    relations = [(db, t) for db in databases if spark.catalog.databaseExists(db)
+                 for t in _listed(spark, db)]
+    with ThreadPoolExecutor(max_workers=PARALLEL_RELATIONS) as pool:
+        entries = list(pool.map(entry, relations))
     base = spark.createDataFrame(
         entries, "model_name string, schema_name string, materialization string, "
                  "row_count long, size_bytes long, description string")
