@@ -134,3 +134,17 @@ def test_assert_checks_pass_names_failures(spark):
     bad = run_checks([Check("unique", "t", "k")], {"t": df})
     with pytest.raises(AssertionError, match="unique_t_k=1"):
         assert_checks_pass(bad)
+
+
+def test_kpis_of_an_empty_bank_are_one_row(spark):
+    """The single-row check can fail: on no data each KPI mart still has its one row of zeros."""
+    from ledgerlake.plans.models import Models
+    from ledgerlake.schemas import RAW_SCHEMAS
+
+    models = Models({t: spark.createDataFrame([], s) for t, s in RAW_SCHEMAS.items()})
+    for mart in ("commercial_kpis", "credit_kpis"):
+        rows = models[mart].collect()
+        assert len(rows) == 1, mart
+        assert check_single_row(models[mart]).collect()[0]["is_single_row"] is True
+        assert not any(rows[0].asDict().values()), rows  # zero or null, nothing made up
+    assert check_single_row(models["stg_clients"]).collect()[0]["is_single_row"] is False
