@@ -46,7 +46,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordTable, by_length, text_groups
+from ledgerlake.llm.common import WordTable, by_length, text_parts
 
 #: Bytes of a window at least; longer words take several.
 WINDOW = 64
@@ -541,8 +541,9 @@ class TextEncoder:
         return runs(self.flat, starts, counts), counts
 
 
-#: Words that the encoder of a worker remembers (about 250 bytes each).
-PACKING_WORDS = 1_000_000
+#: Words that the encoder of a worker remembers (about 250 bytes each). Each worker of an
+#: executor has its own table and keeps it while it serves other stages.
+PACKING_WORDS = 300_000
 
 
 @functools.lru_cache(maxsize=1)
@@ -626,8 +627,8 @@ def digests(docs: DataFrame, vocabulary_path: str, carry: list[str]) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            rows = [r for a, b in text_groups(texts) for r in digest(texts[a:b], encoder)]
+            rows = [r for _, texts in text_parts(batch.column(batch.num_columns - 1))
+                    for r in digest(texts, encoder)]
             made = [pa.array([r[k] for r in rows], kind)
                     for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made],

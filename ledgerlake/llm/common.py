@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +92,18 @@ def text_groups(texts: list[str], most_chars: int = 1_000_000) -> Iterator[tuple
         yield start, len(texts)
 
 
+def text_parts(column: pa.Array, most_bytes: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts (null: empty) of about ``most_bytes`` (one text at least), each part
+    with the row of its first. Only one part's texts are Python strings at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(column):
+        past = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, past + most_bytes, "right")))
+        yield start, [t or "" for t in column.slice(start, stop - start).to_pylist()]
+        start = stop
+
+
 class WordTable:
     """Words numbered in order of arrival, with numpy columns computed once per word.
 

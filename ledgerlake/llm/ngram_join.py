@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WORD, WordTable, salted_join, text_groups, written
+from ledgerlake.llm.common import WORD, WordTable, salted_join, text_parts, written
 from ledgerlake.llm.components import components
 
 N = 5
@@ -116,11 +116,10 @@ def sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = NgramReader(n)
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            keys, sizes = [], []
-            band = np.zeros((len(texts), bands), np.uint64)
-            for a, b in text_groups(texts):
-                words, grams, owner = reader.read(texts[a:b])
+            ids, keys, sizes = batch.column(0), [], []
+            band = np.zeros((batch.num_rows, bands), np.uint64)
+            for a, texts in text_parts(batch.column(1)):
+                words, grams, owner = reader.read(texts)
                 for w in words:
                     d = xxhash.xxh3_128_digest(w.tobytes()) if len(w) else None
                     keys.append(d)
@@ -161,11 +160,10 @@ def ngram_sets(rows: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = NgramReader(n)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             k1, k2 = (batch.column(k).to_pylist() for k in ("k1", "k2"))
-            for a, b in text_groups(texts):
-                words, grams, owner = reader.read(texts[a:b])
-                cuts = np.searchsorted(owner, np.arange(b - a + 1))
+            for a, texts in text_parts(batch.column("text")):
+                words, grams, owner = reader.read(texts)
+                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
                 kept, sets = [], []
                 for i, w in enumerate(words):
                     d = xxhash.xxh3_128_digest(w.tobytes())

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.bpe import text_encoder
-from ledgerlake.llm.common import text_groups, written
+from ledgerlake.llm.common import text_parts, written
 
 LENGTH = 2048
 OPEN_SEQUENCES = 1024
@@ -89,9 +89,8 @@ def pieces(docs: DataFrame, vocabulary_path: str, length: int = LENGTH,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_groups(texts):
-                ids, counts = encoder.encode(texts[a:b])
+            for a, texts in text_parts(batch.column(1)):
+                ids, counts = encoder.encode(texts)
                 marked = np.insert(ids, np.cumsum(counts), end).astype("<u4")
                 row, number, sizes = cut(counts + 1, length)
                 at = 4 * (np.cumsum(sizes) - sizes)  # pieces follow each other

@@ -43,6 +43,7 @@ from ledgerlake.llm.common import (
     codepoints,
     smallest_hashes,
     text_groups,
+    text_parts,
     written,
 )
 
@@ -244,6 +245,11 @@ class ToxicityModel:
                     self.bias, np.maximum.reduceat(sums[:, 0], first) + self.bias)
         return out
 
+    def scores(self, texts: pa.Array, reader: SentenceReader) -> np.ndarray:
+        """The score of each text of a column."""
+        return self.score(np.concatenate([np.zeros(0), *(
+            self.decide(part, reader) for _, part in text_parts(texts))]))
+
     def score(self, decision: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.offset, -500, 500)))
 
@@ -431,8 +437,7 @@ def scored(docs: DataFrame, model: ToxicityModel, carry: list[str]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.reader()
         for batch in batches:
-            score = model.score(model.decide(batch.column(batch.num_columns - 1).to_pylist(),
-                                             reader))
+            score = model.scores(batch.column(batch.num_columns - 1), reader)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)],
                                              [*carry, "score"])
 
@@ -448,7 +453,7 @@ def clean_only(docs: DataFrame, model: ToxicityModel, at_least: float = 0.5) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.reader()
         for batch in batches:
-            score = model.score(model.decide(batch.column(place).to_pylist(), reader))
+            score = model.scores(batch.column(place), reader)
             yield batch.filter(pa.array(score < at_least))
 
     return docs.mapInArrow(run, docs.schema)
