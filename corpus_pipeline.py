@@ -14,6 +14,10 @@ from ledgerlake.llm import ngram_join, packing, quality, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
 from ledgerlake.llm.registry import word_vocabulary
 
+#: Words that the encoder of a Python worker holds in the packing stage: the executors' JVMs have
+#: grown by the stages before, and a worker keeps its table while it serves the next.
+REMEMBERED = 100_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list (operator 6)."""
@@ -32,7 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of the documents' tokens and its place in a sequence (operator 1)."""
-    return packing.packed(docs, word_vocabulary())
+    return packing.packed(docs, word_vocabulary(), remembered=REMEMBERED)
 
 
 STAGES = [

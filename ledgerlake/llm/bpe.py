@@ -542,15 +542,16 @@ class TextEncoder:
 
 
 #: Words that the encoder of a worker remembers (about 250 bytes each). Each worker of an
-#: executor has its own table and keeps it while it serves other stages.
-PACKING_WORDS = 300_000
+#: executor has its own table and keeps it while it serves other stages; a job with other
+#: stages names a smaller number.
+PACKING_WORDS = 1_000_000
 
 
 @functools.lru_cache(maxsize=1)
-def text_encoder(path: str) -> TextEncoder:
+def text_encoder(path: str, limit: int = PACKING_WORDS) -> TextEncoder:
     """The encoder of a file's vocabulary, one per Python worker: what a task has put into its
     word table (bounded) serves the next tasks of that worker."""
-    return TextEncoder(vocabulary(path), PACKING_WORDS)
+    return TextEncoder(vocabulary(path), limit)
 
 
 # --- decoding ------------------------------------------------------------------

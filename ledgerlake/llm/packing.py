@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.bpe import text_encoder
+from ledgerlake.llm.bpe import PACKING_WORDS, text_encoder
 from ledgerlake.llm.common import text_parts, written
 
 LENGTH = 2048
@@ -84,10 +84,13 @@ def cut(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def pieces(docs: DataFrame, vocabulary_path: str, length: int = LENGTH,
-           end: int = END) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of every piece of every document."""
+           end: int = END, remembered: int = PACKING_WORDS) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of every piece of every document.
+
+    ``remembered``: words that the encoder of a Python worker holds.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(vocabulary_path)
+        encoder = text_encoder(vocabulary_path, remembered)
         for batch in batches:
             for a, texts in text_parts(batch.column(1)):
                 ids, counts = encoder.encode(texts)
@@ -137,6 +140,8 @@ def pack(rows: DataFrame, length: int = LENGTH, open_sequences: int = OPEN_SEQUE
     return dealt.mapInArrow(run, rows.schema.add("sequence_id", "long").add("offset", "long"))
 
 
-def packed(docs: DataFrame, vocabulary_path: str, length: int = LENGTH) -> DataFrame:
+def packed(docs: DataFrame, vocabulary_path: str, length: int = LENGTH,
+           remembered: int = PACKING_WORDS) -> DataFrame:
     """Every piece of every document and its place."""
-    return pack(written(pieces(docs, vocabulary_path, length), "pieces"), length)
+    made = pieces(docs, vocabulary_path, length, remembered=remembered)
+    return pack(written(made, "pieces"), length)

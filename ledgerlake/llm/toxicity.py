@@ -54,6 +54,8 @@ LANDMARKS = 96
 MAX_TOXIC, MAX_CLEAN = 3000, 5000
 #: Longer words are compared in overlapping windows of this length.
 WINDOW = 24
+#: Words, and pairs of a word and a landmark, that are compared at a time (about 10 MB each).
+ROWS, PAIRS = 5_000, 10_000
 
 
 # --- the kernel ---------------------------------------------------------------
@@ -137,15 +139,15 @@ class Landmarks:
         for length, rows in by_length(starts):
             if length < ORDER:
                 continue
-            for rows_ in np.array_split(rows, max(1, len(rows) // 20_000)):
+            for rows_ in np.array_split(rows, max(1, len(rows) // ROWS)):
                 chars = flat[starts[rows_][:, None] + np.arange(length)]
                 i, j = np.nonzero(common_length(chars, self.words) >= ORDER)
                 if not len(i):
                     continue
                 used, back = np.unique(i, return_inverse=True)
                 norms = np.sqrt(kernel_of_pairs(chars[used], chars[used]))
-                for a in range(0, len(i), 50_000):
-                    s = slice(a, a + 50_000)
+                for a in range(0, len(i), PAIRS):
+                    s = slice(a, a + PAIRS)
                     k = kernel_of_pairs(chars[i[s]], self.rows[j[s]])
                     k /= norms[back[s]] * self.norms[j[s]]
                     np.add.at(out, (owner[rows_[i[s]]], j[s]), k ** POWER)

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from ledgerlake.llm import bpe, ngram_join, packing, registry, toxicity
 from ledgerlake.llm.common import text_parts
 
@@ -67,6 +68,30 @@ def test_a_batch_is_never_whole_in_python(spark, name):
     assert peak < 0.8 * TEXTS * len(text)
 
 
-def test_word_tables_of_an_executor():
-    """Four workers' tables of about 250 bytes a word stay under a tenth of 3 GB."""
-    assert 4 * 250 * bpe.text_encoder(PATH).words.limit <= 300e6
+def test_the_pipeline_remembers_fewer_words(spark, monkeypatch):
+    """Four workers' tables of about 250 bytes a word stay under a twentieth of 3 GB."""
+    limits = []
+    monkeypatch.setattr(packing, "written", lambda made, _: made)
+    monkeypatch.setattr(packing, "pack", lambda made, _: made)
+    monkeypatch.setattr(packing, "text_encoder", lambda path, limit=bpe.PACKING_WORDS: (
+        limits.append(limit), bpe.text_encoder(path, limit))[1])
+    task = corpus_pipeline.packing_stage(spark, Task(), "")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["two words"]})
+    assert sum(b.num_rows for b in task.run(iter([batch]))) == 1
+    assert len(limits) == 1 and 4 * 250 * limits[0] <= 150e6
+
+
+def test_kernel_works_on_few_pairs_at_a_time():
+    """Features of many words: the temporary arrays don't grow with the words."""
+    marks = toxicity.Landmarks([f"land{c}mark" for c in "abcdefgh"])
+    words = [f"lan{i:05d}mark" for i in range(40_000)]
+    marks.features(words[:10])
+    tracemalloc.start()
+    try:
+        got = marks.features(words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    some = slice(19_990, 20_010)
+    assert np.allclose(got[some], marks.features(words[some]), atol=1e-6)
+    assert peak < 20e6
